@@ -270,6 +270,58 @@ from {orders} where cast(o_orderdate as date) < date '2001-07-01'
 """
 
 
+VIEWS["w_dup_member"] = """
+select member_key, household_key,
+  case when member_key % 8 = 2 then null else first_name end as first_name,
+  case when member_key % 8 = 2 then 'UNKNOWN' else last_name end as last_name,
+  case when member_key % 8 = 2 then null else address1 end as address1_scrubbed,
+  case when member_key % 8 = 2 then null else address2 end as address2_scrubbed,
+  city as city_scrubbed, state as state_scrubbed,
+  case when member_key % 8 = 2 then ' ' else zip_code end as zip_code_scrubbed,
+  loyalty_id, case when trim(loyalty_id) <> '' then 'YES' else 'NO' end as is_loyalty_member, member_status, ip_code,
+  tier_key as current_tier_key, enrollment_date as member_acct_enroll_date,
+  customer_introduction_date, source_overlay_rank, overlay_rank_key, dpv_key, last_updated_date, latitude, longitude,
+  gender, direct_mail_consent, direct_mail_consent_date, birth_date, deceased,
+  case when member_key % 3 = 0 then 'NO' when member_key % 11 = 0 then 'YES' else null end as promotion_consent,
+  original_source_key, current_source_key, open_close_ind, first_trxn_date, first_trxn_store_key,
+  last_store_purchase_date as last_store_purch_date, last_web_purchase_date as last_web_purch_date,
+  cast(promotion_count as bigint) as prospect_contact_count, email_address, record_type, phone_nbr, batch_id, status
+from {w_member}
+"""
+
+VIEWS["w_dup_card"] = """
+select k + 1 as member_key, case when k % 8 = 1 then '000' || cast(7000 + cast(floor(k / 128) as bigint) as string)
+    else '00' || cast(40000000 + k as string) end as tokenized_cc_nbr
+from {w_base} where k % 8 <> 1 or floor(k / 8) % 4 = 0
+union all
+select k + 1 as member_key, '0' || cast(9000 + k as string) as tokenized_cc_nbr from {w_base} where k % 256 = 33
+"""
+
+VIEWS["w_dup_email"] = """
+select k + 1 as member_key, case when k % 8 <> 1 then 'user' || cast(e as string) || '@mail.example'
+    when floor(k / 8) % 4 = 1 then 'grp' || cast(cast(floor(k / 64) as bigint) as string) || '@mail.example'
+    else 'both' || cast(cast(floor(k / 128) as bigint) as string) || '@mail.example' end as email_address
+from {w_base} where k % 8 <> 1 or floor(k / 8) % 2 = 1
+union all
+select k + 1 as member_key, 'only' || cast(k as string) || '@mail.example' as email_address
+from {w_base} where k % 8 = 1 and floor(k / 8) % 12 in (1, 3)
+"""
+
+VIEWS["w_dup_phone"] = """
+select k + 1 as member_key, case when k % 8 <> 1 then 2125550000 + h
+    when floor(k / 8) % 4 = 2 then 3305550000 + cast(floor(k / 96) as bigint)
+    else 4405550000 + cast(floor(k / 64) as bigint) end as phone_number
+from {w_base} where k % 8 <> 1 or floor(k / 8) % 4 in (2, 3)
+"""
+
+VIEWS["w_dup_info"] = """
+select cast(r.r_regionkey * 5 + c.r_regionkey as string) as dedupe_info_key,
+  case r.r_regionkey when 0 then 1 when 1 then 3 when 2 then 5 when 3 then 4 else 7 end as id_condition,
+  case c.r_regionkey when 0 then 1 when 1 then 2 when 2 then 3 when 3 then 4 else -1 end as collection_type,
+  'rule ' || r.r_name as id_condition_desc, 'collection ' || c.r_name as collection_type_descr
+from {region} r join {region} c on c.r_regionkey <> 5
+"""
+
 # Building blocks of other views; they are never read on their own
 INLINE = {"w_base", "w_person"}
 
@@ -306,6 +358,13 @@ class Warehouse:
                 self._frames[name] = view
         return self._frames[name]
 
+    def staged(self, name: str, build) -> DataFrame:
+        """Result of an earlier job that later jobs start from: written on first use."""
+        if name not in self._frames:
+            tag = hashlib.md5(self.folder.encode()).hexdigest()[:8]
+            self._frames[name] = stage_table(build(self), f"{tag}/{name}")
+        return self._frames[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
