@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .warehouse import Warehouse, with_views
 
+# Doubles are rounded in both engines; double7 is for quotients that may end in a 5
+DOUBLE_DIGITS = {"double": 4, "double7": 7}
+
 # Views that only the checking SQL uses
 CHECK_VIEWS: dict[str, str] = {}
 
@@ -33,14 +36,14 @@ class Query:
 
 
 def _spark_col(name: str, kind: str):
-    if kind == "double":
-        return F.round(F.col(name).cast("double"), 4).alias(name)
+    if kind in DOUBLE_DIGITS:
+        return F.round(F.col(name).cast("double"), DOUBLE_DIGITS[kind]).alias(name)
     return F.col(name).cast(kind).alias(name)
 
 
 def _duck_col(name: str, kind: str) -> str:
-    if kind == "double":
-        return f"round(cast({name} as double), 4) as {name}"
+    if kind in DOUBLE_DIGITS:
+        return f"round(cast({name} as double), {DOUBLE_DIGITS[kind]}) as {name}"
     return f"cast({name} as {kind}) as {name}"
 
 

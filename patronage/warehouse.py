@@ -270,6 +270,49 @@ from {orders} where cast(o_orderdate as date) < date '2001-07-01'
 """
 
 
+VIEWS["w_household"] = """
+select household_key, string_agg(cast(member_key as string), ',') as associated_member_key, count(*) as associated_member_count,
+  min(customer_introduction_date) as add_date, min(address1) as address1, min(zip_code) as zip_code, min(record_type) as record_type
+from {w_member} where household_key <> -1 group by household_key
+"""
+
+VIEWS["w_constant"] = """
+select r_regionkey + 1 as constant_id, 'GENDER' as constant_type,
+  case r_regionkey when 0 then ' Male' when 1 then 'FEMALE ' when 2 then 'unknown' else 'x' || r_name end as constant_value from {region}
+union all
+select r_regionkey + 11 as constant_id, 'STATUS' as constant_type,
+  case r_regionkey when 0 then 'active' when 1 then ' Inactive' else 'y' || r_name end as constant_value from {region}
+"""
+
+# stored dimension of the last batches, and the work table of the next one
+VIEWS["w_scd_backup"] = """
+select k + 1 as member_sk, k + 1 as member_key, 'G' || cast(k % 3 as string) as segment_group, fn as first_name, cty as city,
+  case when k % 9 = 0 then null else st end as state, case when k % 4 = 0 then 'A' else null end as original_source,
+  date '2001-07-31' as last_updated_date, 'current' as status, '20010731000000' as batch_id
+from {w_person} where k % 11 <> 5
+union all
+select k + 1 as member_sk, k + 1 as member_key, 'G0' as segment_group, fn as first_name, 'OLD' as city, st as state,
+  'B' as original_source, date '2001-07-01' as last_updated_date, 'current' as status, '20010701000000' as batch_id
+from {w_person} where k % 5 = 0
+union all
+select k + 1 as member_sk, k + 1 as member_key, 'G0' as segment_group, fn as first_name, 'OLDER' as city, st as state,
+  'B' as original_source, date '2001-07-31' as last_updated_date, 'history' as status, '20010731000000' as batch_id
+from {w_person} where k % 7 = 0
+"""
+
+VIEWS["w_scd_batch"] = """
+select k + 1 as member_key, 'G' || cast(k % 3 as string) as segment_group, case when k % 6 = 0 then upper(fn) else fn end as first_name,
+  case when k % 10 = 0 then 'NEWTOWN' else cty end as city,
+  case when k % 18 = 0 then st when k % 9 = 0 then null else st end as state,
+  case when k % 2 = 0 then 'Z' else null end as original_source,
+  'E' || cast(k as string) || '-20010801' as etl_unique_id
+from {w_person} where k % 13 <> 4
+union all
+select k + 1 as member_key, 'G9' as segment_group, fn as first_name, 'STALE' as city, st as state, 'Y' as original_source,
+  'E' || cast(k as string) || '-20010701' as etl_unique_id
+from {w_person} where k % 21 = 0
+"""
+
 VIEWS["w_dup_member"] = """
 select member_key, household_key,
   case when member_key % 8 = 2 then null else first_name end as first_name,
