@@ -293,15 +293,14 @@ def join_full_outer_cdc(w):
         F.count(F.lit(1)).alias("rows"))
 
 
-@query("join_full_outer_merge", "member_key bigint, city string, side string", """
-  select coalesce(a.member_key, b.member_key) as member_key, coalesce(a.city, b.city) as city,
+@query("join_full_outer_merge", "member_key bigint, city string, state string, side string", """
+  select coalesce(a.member_key, b.member_key) as member_key, coalesce(a.city, b.city) as city, coalesce(a.state, b.state) as state,
     case when b.member_key is null then 'left' when a.member_key is null then 'right' else 'both' end as side
-  from (select member_key, city from w_member where member_key % 3 <> 0) a
-  full join (select member_key, upper(city) as city from w_member where member_key % 2 = 0) b on a.member_key = b.member_key""")
+  from (select member_key, min(city) as city, max(state) as state from w_scd_batch group by 1) a
+  full join (select member_key, city, state from w_scd_backup where status = 'current' and batch_id = '20010731000000') b on a.member_key = b.member_key""")
 def join_full_outer_merge(w):
-    left = w.member.filter("member_key % 3 <> 0").select("member_key", "city")
-    right = w.member.filter("member_key % 2 = 0").select("member_key", F.upper("city").alias("city"))
-    return jo.full_outer_merge(left, right, ["member_key"])
+    left = w.scd_batch.groupBy("member_key").agg(F.min("city").alias("city"), F.max("state").alias("state"))
+    return jo.full_outer_merge(left, fi.newest_batch(w.scd_backup).select("member_key", "city", "state"), ["member_key"])
 
 
 @query("join_full_outer_periods", "kind string, y1 double, y2 double", """
@@ -589,11 +588,9 @@ def drop_duplicates(w):
     return rk.latest_per_key(w.multi_email.withColumn("email", F.lower("email_address")), "email", [F.col("member_key")])
 
 
-@query("except_distinct", "city string, zip_code string", """
-  select city, zip_code from w_member except select city, zip_code from w_member where member_key % 3 = 0""")
+@query("except_distinct", "city string, zip_code string", "select city, zip_code from w_member except select city, zip_code from w_feed")
 def except_distinct(w):
-    rows = w.member.select("city", "zip_code", "member_key")
-    return st.except_distinct(rows.drop("member_key"), rows.filter("member_key % 3 = 0").drop("member_key"))
+    return st.except_distinct(w.member.select("city", "zip_code"), w.feed.select("city", "zip_code"))
 
 
 @query("dedup_rowhash", "member_key bigint, copy boolean", """

@@ -250,9 +250,9 @@ def new_keys_sql(rows: str) -> str:
 
 
 @query("new_member_keys", "etl_unique_id string, mcd_criteria string, member_key bigint",
-       new_keys_sql("select * from o_group where etl_unique_id like 'N%'"))
+       new_keys_sql("select * from o_group"))
 def new_member_keys(w):
-    return mt.new_member_keys(w.feed.filter(F.col("etl_unique_id").startswith("N")), w.member)
+    return mt.new_member_keys(w.feed, w.member)
 
 
 def record_info_sql(member_key: str = "member_key") -> str:

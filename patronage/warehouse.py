@@ -313,6 +313,18 @@ select k + 1 as member_key, 'G9' as segment_group, fn as first_name, 'STALE' as
 from {w_person} where k % 21 = 0
 """
 
+VIEWS["w_consent"] = """
+select k + 1 as member_key, 'DM' as consent_type, case k % 3 when 0 then 'YES' when 1 then 'NO' else 'UNKNOWN' end as consent_value,
+  date '1999-01-01' + cast((k * 3) % 700 as int) as consent_date, k * 2 as consent_history_id,
+  date '2000-01-01' + cast((k * 7) % 500 as int) as last_updated_date, 'current' as status
+from {w_base}
+union all
+select k + 1 as member_key, 'SMS' as consent_type, case k % 2 when 0 then 'YES' else 'NO' end as consent_value,
+  date '1999-01-01' + cast((k * 5) % 700 as int) as consent_date, k * 2 + 1 as consent_history_id,
+  date '2000-01-01' + cast((k * 11) % 500 as int) as last_updated_date, 'current' as status
+from {w_base} where k % 4 <> 0
+"""
+
 VIEWS["w_dup_member"] = """
 select member_key, household_key,
   case when member_key % 8 = 2 then null else first_name end as first_name,
