@@ -37,3 +37,26 @@ def with_key_aggregates(df: DataFrame, keys: list[str], **aggs: Column) -> DataF
     """Add per-key aggregates (count, min, max …) to every row."""
     grouped = df.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
     return join_back(df, grouped, keys).select(*df.columns, *aggs.keys())
+
+
+def mark_best(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Flag the first row per key in a total order, keeping all rows (row_number() = 1 as a
+    column): the smallest order struct per key is joined back and compared."""
+    tagged = df.withColumn("_o", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))
+    top = tagged.groupBy(*keys).agg(F.min("_o").alias("_top"))
+    return join_back(tagged, top, keys).withColumn(name, F.col("_o").eqNullSafe(F.col("_top"))).drop("_o", "_top")
+
+
+def newest(c: str) -> Column:
+    """Order part for a date: later first, missing last."""
+    return F.coalesce(-F.unix_date(F.col(c).cast("date")), F.lit(2147483647))
+
+
+def yes_first(c: str) -> Column:
+    """Order part for a flag: YES before anything else."""
+    return F.when(F.col(c) == "YES", 0).otherwise(1)
+
+
+def largest(c: str) -> Column:
+    """Order part for a number: larger first, missing last."""
+    return F.coalesce(-F.col(c).cast("decimal(20,4)"), F.lit(10 ** 15).cast("decimal(20,4)"))
