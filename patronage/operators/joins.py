@@ -55,15 +55,17 @@ def explode_key_list(df: DataFrame, name: str, key: str, sep: str = ",") -> Data
             .withColumn(key, F.trim(key).try_cast("bigint")))
 
 
-def constant_domain(df: DataFrame, constants: DataFrame, columns: dict[str, str],
-                    type_col="constant_type", value_col="constant_value", id_col="constant_id") -> DataFrame:
-    """Replace codes by ids, column by column, from a constants table (case and blanks ignored)."""
+def constant_domain(df: DataFrame, constants: DataFrame, columns: dict, type_col="constant_type",
+                    value_col="constant_value", id_col="constant_id", fill=None) -> DataFrame:
+    """Replace codes by ids, column by column, from a constants table (case and blanks
+    ignored). Each column names its constant type, or a list of types."""
     for name, domain in columns.items():
-        side = (constants.filter(F.col(type_col) == domain)
-                .groupBy(F.lower(F.trim(value_col)).alias("_code"))
-                .agg(F.min(id_col).alias("_id")))
+        types = [domain] if isinstance(domain, str) else list(domain)
+        side = (constants.filter(F.upper(F.trim(type_col)).isin(types))
+                .groupBy(F.lower(F.trim(value_col)).alias("_code")).agg(F.min(id_col).alias("_id")))
+        found = F.col("_id") if fill is None else F.coalesce("_id", F.lit(fill))
         df = (df.join(broadcast_if_small(side), F.lower(F.trim(F.col(name))) == F.col("_code"), "left")
-              .withColumn(name, F.col("_id")).drop("_code", "_id"))
+              .withColumn(name, found).drop("_code", "_id"))
     return df
 
 

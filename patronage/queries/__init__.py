@@ -1,6 +1,6 @@
 """All registered queries."""
 
 from ..registry import REGISTRY
-from . import core, dedup, dims, enrich, facts, matching, transforms  # noqa: F401
+from . import core, dedup, dims, enrich, export, facts, feeds, matching, transforms  # noqa: F401
 
 __all__ = ["REGISTRY"]
