@@ -9,15 +9,20 @@ around. The coarsest size covers the whole globe, so the answer is always exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import haversine_miles
 from .ranking import latest_per_key
 from .sizing import broadcast_if_small
+from .staging import stage
 
-# cube sides on the unit sphere: about 30, 130, 500 and 2000 miles, then everything
-SIDES = [0.0078125, 0.03125, 0.125, 0.5, 4.0]
+# cube sides on the unit sphere, halved from level to level (about 4 miles at the finest);
+# the coarsest cube holds everything
+SIDES = [2.0 ** -k for k in range(10, -1, -1)] + [4.0]
+LAST = len(SIDES) - 1
 REACH = 2  # a cube's diagonal is below two sides
+CELL = ["level", "a", "b", "c"]
+BROADCAST_ROWS = 1_000_000  # about 80 MB
 
 
 def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -25,15 +30,18 @@ def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.withColumns({"_x": F.cos(la) * F.cos(lo), "_y": F.cos(la) * F.sin(lo), "_z": F.sin(la)})
 
 
-def _cell(side: float):
-    return [F.floor((F.col(c) + 1) / side).cast("int") for c in ("_x", "_y", "_z")]
+def _cell(side: Column) -> dict[str, Column]:
+    return {n: F.floor((F.col(c) + 1) / side).cast("int") for n, c in zip("abc", ("_x", "_y", "_z"))}
 
 
 def _per_level(df: DataFrame) -> DataFrame:
     """One row per level with the cube of the point."""
-    levels = F.array(*[F.struct(F.lit(i).alias("level"), *[c.alias(n) for c, n in zip(_cell(s), "abc")])
-                       for i, s in enumerate(SIDES)])
-    return df.withColumn("_l", F.explode(levels)).select("*", "_l.*").drop("_l")
+    each = df.withColumn("level", F.explode(F.lit(list(range(len(SIDES))))))
+    return each.withColumns(_cell(_side(F.col("level"))))
+
+
+def _side(level: Column) -> Column:
+    return F.element_at(F.lit(SIDES), level + 1)
 
 
 def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key", store_key="store_key",
@@ -41,36 +49,42 @@ def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key
     """(member_key, closest_store_key, second_closest_store_key, distance, second_distance);
     members without coordinates get nulls, ties go to the smaller store key."""
     located = members.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    m = _on_sphere(located.select(F.col(member_key).alias("_m"), F.col(lat).alias("_mlat"), F.col(lon).alias("_mlon")),
-                   "_mlat", "_mlon")
+    m = _on_sphere(located.select(F.col(member_key).alias("_m"), F.col(lat).alias("_mlat"), F.col(lon).alias("_mlon")), "_mlat", "_mlon")
     s = _on_sphere(stores.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                   .select(F.col(store_key).alias("_s"), F.col(lat).alias("_slat"), F.col(lon).alias("_slon")),
-                   "_slat", "_slon").select("_s", "_slat", "_slon", "_x", "_y", "_z")
-    s_cells = _per_level(s).drop("_x", "_y", "_z")
-
-    last = len(SIDES) - 1
-    good = (s_cells.groupBy("level", "a", "b", "c").agg(F.count("*").alias("_n"))
-            .filter((F.col("_n") >= n) | (F.col("level") == last)).drop("_n"))
-    # the table of usable cubes has at most len(SIDES) rows per store
-    m_level = (_per_level(m).join(broadcast_if_small(good), ["level", "a", "b", "c"])
-               .groupBy("_m", "_mlat", "_mlon")
-               .agg(F.min(F.struct("level", "a", "b", "c")).alias("_c")).select("_m", "_mlat", "_mlon", "_c.*"))
-
-    near = F.array(*[F.lit(i) for i in range(-REACH, REACH + 1)])
-    around = s_cells
+                   .select(F.col(store_key).alias("_s"), F.col(lat).alias("_slat"), F.col(lon).alias("_slon")), "_slat", "_slon")
+    s_cells = _per_level(s.withColumnsRenamed({"_x": "_sx", "_y": "_sy", "_z": "_sz"}).withColumns(
+        {"_x": F.col("_sx"), "_y": F.col("_sy"), "_z": F.col("_sz")})).drop("_x", "_y", "_z")
+
+    # usable cubes: at most one row per store and level
+    good = (s_cells.groupBy(*CELL).agg(F.count("*").alias("_n"))
+            .filter((F.col("_n") >= n) | (F.col("level") == LAST)).drop("_n"))
+    point = ["_m", "_mlat", "_mlon", "_x", "_y", "_z"]
+    # members are spread by key once; every later step by member keeps that placement
+    m = m.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_m")
+    finest = (_per_level(m).join(broadcast_if_small(good), CELL).groupBy(*point).agg(F.min("level").alias("level")))
+    m_cell = finest.withColumns(_cell(_side(F.col("level"))))
+
+    # stores around each cube that is in use, found once per cube and not once per member
+    used = m_cell.select(*CELL).distinct()
+    steps = F.when(F.col("level") == LAST, F.array(F.lit(0))).otherwise(F.lit(list(range(-REACH, REACH + 1))))
     for axis in "abc":
-        # at the coarsest size everything already sits in one cube
-        around = around.withColumn(axis, F.explode(
-            F.when(F.col("level") == last, F.array(F.col(axis)))
-            .otherwise(F.transform(near, lambda d: F.col(axis) + d))))
-    around = around.join(broadcast_if_small(good), ["level", "a", "b", "c"], "left_semi")
-    pairs = (m_level.join(broadcast_if_small(around), ["level", "a", "b", "c"])
-             .withColumn("_d", haversine_miles(F.col("_mlat"), F.col("_mlon"), F.col("_slat"), F.col("_slon")))
-             .select("_m", "_s", "_d"))
-    ranked = latest_per_key(pairs, "_m", [F.col("_d"), F.col("_s")], n=n, rank_col="_r")
-    wide = ranked.groupBy("_m").agg(
-        F.max(F.when(F.col("_r") == 1, F.col("_s"))).alias("closest_store_key"),
-        F.max(F.when(F.col("_r") == 2, F.col("_s"))).alias("second_closest_store_key"),
-        F.max(F.when(F.col("_r") == 1, F.col("_d"))).alias("distance"),
-        F.max(F.when(F.col("_r") == 2, F.col("_d"))).alias("second_distance"))
-    return (members.select(member_key).join(wide, F.col(member_key) == F.col("_m"), "left").drop("_m"))
+        used = used.withColumn(f"_d{axis}", F.explode(steps)).withColumn(f"_n{axis}", F.col(axis) + F.col(f"_d{axis}")).drop(f"_d{axis}")
+    around = (used.join(broadcast_if_small(s_cells.withColumnsRenamed({x: f"_n{x}" for x in "abc"})), ["level", "_na", "_nb", "_nc"])
+              .select(*CELL, "_s", "_slat", "_slon", "_sx", "_sy", "_sz"))
+
+    # the table is read for its size and for the join: compute it once; within the limit it is
+    # sent to every task, beyond it the join shuffles by cube and hot cubes are split
+    around = stage(around)
+    if around.count() <= BROADCAST_ROWS:
+        around = F.broadcast(around)
+
+    # ranked by the straight line, which grows with the distance and needs no trigonometry
+    line = sum(((F.col(f"_{c}") - F.col(f"_s{c}")) * (F.col(f"_{c}") - F.col(f"_s{c}")) for c in "xyz"), F.lit(0.0))
+    pairs = m_cell.join(around, CELL).select("_m", "_mlat", "_mlon", "_s", "_slat", "_slon", line.alias("_d"))
+    top = latest_per_key(pairs, "_m", [F.col("_d"), F.col("_s")], n=n, rank_col="_r")
+    miles = haversine_miles(F.col("_mlat"), F.col("_mlon"), F.col("_slat"), F.col("_slon"))
+    place = lambda i, c: F.max(F.when(F.col("_r") == i, c))
+    wide = top.groupBy("_m").agg(
+        place(1, F.col("_s")).alias("closest_store_key"), place(2, F.col("_s")).alias("second_closest_store_key"),
+        place(1, miles).alias("distance"), place(2, miles).alias("second_distance"))
+    return members.select(member_key).join(wide, F.col(member_key) == F.col("_m"), "left").drop("_m")

@@ -6,6 +6,10 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sizing import plan_bytes
+
+SPREAD_FROM, SPREAD_TO = 64 * 1024, 1024 ** 3
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder the cluster names; only a local session may fall back to scratch."""
@@ -37,5 +41,9 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a parquet table in the shared folder and read it back, so that later
     jobs prune columns and push filters into a plain scan."""
     path = f"{staging_folder(df.sparkSession)}/{name}"
+    if SPREAD_FROM < plan_bytes(df) < SPREAD_TO:
+        # a table out of one small file would be scanned by one task ever after; large tables
+        # have enough splits of their own and are not moved
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,14 +134,16 @@ def preferred_store(member: DataFrame, lines: DataFrame, stores: DataFrame) -> D
     return member.drop("preferred_store_key", "preferred_channel").join(best, "member_key", "left")
 
 
-def store_distance(member: DataFrame, stores: DataFrame) -> DataFrame:
-    """Distance to the preferred store (web -1, closed or unknown null) and the two nearest open stores."""
+def store_distance(member: DataFrame, stores: DataFrame, located: DataFrame | None = None) -> DataFrame:
+    """Distance to the preferred store (web -1, closed or unknown null) and the two nearest open
+    stores. `located` may give the members' coordinates from a plain table, so that the search
+    does not run the earlier steps again."""
     s = stores.select(F.col("store_key").alias("_sk"), F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon"), "district_code", "open_closed_ind")
     out = member.join(broadcast_if_small(s), F.col("preferred_store_key") == F.col("_sk"), "left")
     miles = haversine_miles(F.col("_slat"), F.col("_slon"), F.col("latitude"), F.col("longitude"))
     out = out.withColumn("distance_to_preferred_store", F.when(F.col("district_code") == WEB_DISTRICT, F.lit(-1.0))
                          .when(F.col("open_closed_ind") == "OPEN", miles)).drop("_sk", "_slat", "_slon", "district_code", "open_closed_ind")
-    near = nearest_stores(member, stores.filter("open_closed_ind = 'OPEN'")).withColumnsRenamed({
+    near = nearest_stores(located if located is not None else member, stores.filter("open_closed_ind = 'OPEN'")).withColumnsRenamed({
         "distance": "distance_to_closest_store", "second_distance": "distance_to_sec_closest_store"})
     return out.drop(*near.columns[1:]).join(near, "member_key", "left")
 
@@ -244,7 +246,7 @@ def enrich_member(member, emails, phones, consents, lines, stores, products, sou
     out = marketability(out)
     out = trxn_flags(out, lines, stores)
     out = preferred_store(out, lines, stores)
-    out = store_distance(out, stores)
+    out = store_distance(out, stores, member)
     out = store_states(out, web_stores)
     out = household(out, household_members)
     out = best_household(out, scoring, lines)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import file_date
-from ..functions.text import is_not_empty
+from ..functions.text import is_empty, is_not_empty
 from ..operators.joins import left_lookup
 from ..operators.ranking import latest_per_key
 from ..operators.sets import union_all
@@ -43,10 +43,8 @@ def complete(matched: DataFrame, member: DataFrame, record_info: DataFrame, card
 def till(feed: DataFrame, lk: mt.Lookups, stores: DataFrame, record_info: DataFrame, card_type: DataFrame) -> DataFrame:
     """Rows with a loyalty id are matched by it alone: a miss goes straight to a new key. All
     other rows run through the remaining criteria. Source key by store and match type."""
-    with_id = is_not_empty(F.col("implied_loyalty_id"))
-    by_id = mt.match_waterfall(feed.filter(with_id), lk, TILL_ORDER[:1])
-    others = mt.match_waterfall(feed.filter(~with_id), lk, TILL_ORDER[1:])
-    matched = union_all([by_id, others]).join(broadcast_if_small(stores.select("store_key", "retail_web_flag")), "store_key", "left")
+    matched = mt.match_waterfall(feed, lk, TILL_ORDER, gate=is_empty(F.col("implied_loyalty_id")))
+    matched = matched.join(broadcast_if_small(stores.select("store_key", "retail_web_flag")), "store_key", "left")
     out = complete(matched, lk.member, record_info, card_type, mt.till_source_key(F.col("retail_web_flag"), F.col("match_key")))
     loyalty = lk.member.select("member_key", F.col("loyalty_id").alias("member_loyalty"))
     return out.join(loyalty, "member_key", "left")

@@ -272,11 +272,13 @@ def tie_identify(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- the engine
 
-def _probes(feed: DataFrame, row_id: str, criteria: list[Criterion]) -> DataFrame:
+def _probes(feed: DataFrame, row_id: str, criteria: list[Criterion], gate: Column | None = None) -> DataFrame:
     f = _Feed(feed)
     arr = []
     for i, c in enumerate(criteria):
         eligible, a, b = c.probe(f)
+        if gate is not None and i > 0:
+            eligible = eligible & gate
         arr.append(F.when(eligible & a.isNotNull(), F.struct(
             F.lit(i).alias("prio"), F.lit(c.code).alias("code"), a.alias("a"),
             (b if b is not None else F.lit(None).cast("string")).alias("b"))))
@@ -343,9 +345,10 @@ def _pair_entries(probes: DataFrame, index: DataFrame) -> DataFrame:
     return union_all(out)
 
 
-def find_matches(feed: DataFrame, lk: Lookups, criteria: list[Criterion], row_id: str) -> DataFrame:
-    """(row id, match_key, member_key) for every row that some criterion hits."""
-    probes = _probes(feed, row_id, criteria)
+def find_matches(feed: DataFrame, lk: Lookups, criteria: list[Criterion], row_id: str, gate: Column | None = None) -> DataFrame:
+    """(row id, match_key, member_key) for every row that some criterion hits. With a gate,
+    only rows that pass it try the criteria after the first."""
+    probes = _probes(feed, row_id, criteria, gate)
     index = _index(lk, feed, criteria)
     singles = [c for c in criteria if not c.contact2]
     doubles = [c for c in criteria if c.contact2]
@@ -370,7 +373,8 @@ def find_matches(feed: DataFrame, lk: Lookups, criteria: list[Criterion], row_id
             .select(F.col("_rid").alias(row_id), F.col("h.code").alias("match_key"), F.col("h.member_key").alias("member_key")))
 
 
-def match_waterfall(feed: DataFrame, lk: Lookups, names: list[str], row_id: str = "etl_unique_id") -> DataFrame:
+def match_waterfall(feed: DataFrame, lk: Lookups, names: list[str], row_id: str = "etl_unique_id",
+                    gate: Column | None = None) -> DataFrame:
     """The feed with match_status, match_key, member_key and mcd_criteria; no row is lost.
 
     Rows that already have match_status = true keep their key.
@@ -379,7 +383,7 @@ def match_waterfall(feed: DataFrame, lk: Lookups, names: list[str], row_id: str
     meta = list(MATCH_META)
     carried = "match_status" in feed.columns
     open_rows = feed.filter(~F.col("match_status")) if carried else feed
-    found = find_matches(open_rows, lk, criteria, row_id).withColumnsRenamed(
+    found = find_matches(open_rows, lk, criteria, row_id, gate).withColumnsRenamed(
         {"match_key": "_code", "member_key": "_member"})
     out = feed.join(found, row_id, "left")
     prior = {m: (F.col(m) if m in feed.columns else F.lit(v)) for m, v in MATCH_META.items()}
