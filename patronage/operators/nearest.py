@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import haversine_miles
 from .ranking import latest_per_key
-from .sizing import broadcast_if_small
+from .sizing import DEFAULT_LIMIT, broadcast_if_small
 from .staging import stage
 
 # cube sides on the unit sphere, halved from level to level (about 4 miles at the finest);
@@ -23,6 +23,8 @@ LAST = len(SIDES) - 1
 REACH = 2  # a cube's diagonal is below two sides
 CELL = ["level", "a", "b", "c"]
 BROADCAST_ROWS = 1_000_000  # about 80 MB
+# the planner does not count that each store becomes a row per level
+LEVEL_LIMIT = DEFAULT_LIMIT // len(SIDES)
 
 
 def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -61,7 +63,7 @@ def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key
     point = ["_m", "_mlat", "_mlon", "_x", "_y", "_z"]
     # members are spread by key once; every later step by member keeps that placement
     m = m.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_m")
-    finest = (_per_level(m).join(broadcast_if_small(good), CELL).groupBy(*point).agg(F.min("level").alias("level")))
+    finest = (_per_level(m).join(broadcast_if_small(good, LEVEL_LIMIT), CELL).groupBy(*point).agg(F.min("level").alias("level")))
     m_cell = finest.withColumns(_cell(_side(F.col("level"))))
 
     # stores around each cube that is in use, found once per cube and not once per member
@@ -69,7 +71,7 @@ def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key
     steps = F.when(F.col("level") == LAST, F.array(F.lit(0))).otherwise(F.lit(list(range(-REACH, REACH + 1))))
     for axis in "abc":
         used = used.withColumn(f"_d{axis}", F.explode(steps)).withColumn(f"_n{axis}", F.col(axis) + F.col(f"_d{axis}")).drop(f"_d{axis}")
-    around = (used.join(broadcast_if_small(s_cells.withColumnsRenamed({x: f"_n{x}" for x in "abc"})), ["level", "_na", "_nb", "_nc"])
+    around = (used.join(broadcast_if_small(s_cells.withColumnsRenamed({x: f"_n{x}" for x in "abc"}), LEVEL_LIMIT), ["level", "_na", "_nb", "_nc"])
               .select(*CELL, "_s", "_slat", "_slon", "_sx", "_sy", "_sz"))
 
     # the table is read for its size and for the join: compute it once; within the limit it is

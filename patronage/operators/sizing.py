@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_LIMIT = 32 * 1024 * 1024
+# of files or planned rows; in memory it may be several times as much
+DEFAULT_LIMIT = 10 * 1024 * 1024
 
 
 def plan_bytes(df: DataFrame) -> int:

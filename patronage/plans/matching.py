@@ -16,7 +16,7 @@ step waits for a driver action and no lineage has to be cut.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -294,7 +294,12 @@ def _index(lk: Lookups, feed: DataFrame, criteria: list[Criterion]) -> DataFrame
     wanted = (feed.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), values[k].alias("value"))
                                              for k in sorted(kinds)])).alias("x"))
               .select("x.*").filter(F.col("value").isNotNull()).distinct())
-    rows = _contacts(lk, kinds).join(wanted, ["kind", "value"], "left_semi")
+    # what the feed asks for is about as large as the feed: with it staged, members and above
+    # all the transaction history are cut down to its members before they are aggregated
+    rows = stage(_contacts(lk, kinds).join(wanted, ["kind", "value"], "left_semi"))
+    keys = rows.select("member_key").distinct()
+    lk = replace(lk, member=lk.member.join(keys, "member_key", "left_semi"),
+                 transactions=lk.transactions.join(keys, "member_key", "left_semi"))
     named = lk.member.select("member_key", norm_text(F.col("first_name")).alias("first"),
                              norm_text(F.col("last_name")).alias("last"))
     rows = tie_order(rows.join(named, "member_key", "left"), lk,

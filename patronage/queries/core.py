@@ -433,12 +433,13 @@ def agg_collect(w):
     return rows.groupBy("household_key").agg(F.array_join(ag.non_empty_set("city"), ",").alias("cities"))
 
 
-@query("group_by_as_list", "tier_key int, chunk int, grouped_count bigint, members bigint", """
-  select tier_key, 0 as chunk, count(*) as grouped_count, count(*) as members from w_member group by tier_key""")
+@query("group_by_as_list", "tier_key int, grouped_count bigint, members bigint, smallest bigint", """
+  select tier_key, count(*) as grouped_count, count(*) as members, min(member_key) as smallest from w_member group by tier_key""")
 def group_by_as_list(w):
-    # the array holds every row of its key; a small scale fits in one chunk, see the tests for split keys
-    out = ag.group_by_as_list(w.member, ["tier_key"], ["city", "state"], ["member_key"], max_items=10_000_000)
-    return out.select("tier_key", "chunk", "grouped_count", F.size("grouped_data").alias("members"))
+    # a key comes out in bounded chunks; all of them together hold every row
+    out = ag.group_by_as_list(w.member, ["tier_key"], ["city", "state"], ["member_key"], max_items=1000)
+    return out.groupBy("tier_key").agg(F.max("grouped_count").alias("grouped_count"), F.sum(F.size("grouped_data")).alias("members"),
+                                       F.min(F.col("grouped_data")[0]["member_key"]).alias("smallest"))
 
 
 @query("agg_household_identifier", "zip_code string, household_key bigint", """
