@@ -11,14 +11,18 @@ only those pairs are scored.
 
 from __future__ import annotations
 
-import math
-from functools import lru_cache
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.skew import join_back
 
+# The helpers below run in Python workers: they travel with the task, so that executors need
+# no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 THRESHOLD = 94  # fixed value: score that counts as the same
 
 
@@ -28,17 +32,14 @@ def norm(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(clean, " +")), " ")
 
 
-@lru_cache(maxsize=None)
 def max_distance(total: int, threshold: int = THRESHOLD) -> int:
     """Largest insert/delete distance at which texts of this total length still pass."""
-    distance = 0
-    while distance < total and score_of(total, distance + 1) >= threshold:
-        distance += 1
-    return distance
+    return total * (201 - 2 * threshold) // 200
 
 
 def score_of(total: int, distance: int) -> int:
-    return math.floor(100.0 * (total - distance) / total + 0.5) if total else 100
+    """100 * (total - distance) / total, rounded half up in whole numbers."""
+    return (200 * (total - distance) + total) // (2 * total) if total else 100
 
 
 def common_length(a: str, b: str) -> int:
