@@ -37,14 +37,12 @@ WORK = {
     "tier": """select cast(r_regionkey as int) as tier_id, r_name as description, r_regionkey * 100 as entry_points,
       r_regionkey * 100 + 99 as exit_points, 1 as last_dml_id, 'x' as etl_unique_id from {region}""",
     "discount": """select cast(l_linenumber as int) - 1 as discount_type, cast(l_partkey % 16 as int) as discount_deal from {lineitem}""",
-    "scoring_model": """select r_regionkey + 50 + case x.status when 'current' then 0 else 10 end as scoring_model_key,
-      case r_regionkey when 0 then 104 when 1 then 108 else cast(200 + r_regionkey as int) end as model_id,
-      cast(r_regionkey + 3 as int) as model_version_id, r_name as model_description,
-      case when r_regionkey < 4 then 'Yes ' else 'NO' end as current_model_ind, date '2001-07-04' as effective_date,
-      date '2099-12-31' as expiration_date, cast(7 as bigint) as scored_record_count, date '2001-06-30' as data_through_date, x.status
-      from {region} join (select 'current' as status union all select 'history' as status) x on 1 = 1""",
-    "fiscal": """select sdate, date_key, date '1995-01-01' + cast(floor(date_key * 0) as int) as epoch_day,
-      cast(year(sdate) as string) as fiscal_year from {w_date}""",
+    "scoring_model": """select r_regionkey + 50 as scoring_model_key, case r_regionkey when 0 then 104 when 1 then 108 else cast(200 + r_regionkey as int) end as model_id,
+      cast(r_regionkey + 3 as int) as model_version_id, r_name as model_description, case when r_regionkey < 4 then 'Yes ' else 'NO' end as current_model_ind, date '2001-07-04' as effective_date,
+      date '2099-12-31' as expiration_date, cast(7 as bigint) as scored_record_count, date '2001-06-30' as data_through_date, 'current' as status from {region}
+      union all select r_regionkey + 60 as scoring_model_key, case r_regionkey when 0 then 104 when 1 then 108 else cast(200 + r_regionkey as int) end as model_id,
+      cast(r_regionkey + 3 as int) as model_version_id, r_name as model_description, case when r_regionkey < 4 then 'Yes ' else 'NO' end as current_model_ind, date '2001-07-04' as effective_date,
+      date '2099-12-31' as expiration_date, cast(7 as bigint) as scored_record_count, date '2001-06-30' as data_through_date, 'history' as status from {region}""",
     "item": """select cast(product_key as string) as item_number, case when product_key % 5 = 0 then '' else 'PG' || cast(product_key % 3 as string) end as price_group,
       p_size % 10 as class_code_1, p_name as item_description, 'D' || cast(p_size % 4 as string) as department, cast(p_size % 6 as string) as division,
       p_size % 7 as color, p_size % 5 as size, p_size % 8 as style, p_retailprice as ticket_price from {w_product}""",

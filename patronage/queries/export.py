@@ -342,7 +342,7 @@ def hist_fact_tender(w):
 
 VIEWS["w_hist_tier"] = """
 select event_id as id, cast(event_id % 6 as bigint) as tier_id, 'IP' || cast(user_id * 5 as string) as ipcode, '2001' || lpad(cast(1 + event_id % 12 as string), 2, '0') || '05123456' as tier_begin_date,
-  '20991231000000' as tier_end_date, 'V' || cast(user_id as string) as vckey, 'IP' || cast(user_id * 5 as string) as memberid, 'C' || cast(event_id % 400 as string) as certificate_nbr, cast(event_id % 9 as bigint) as reward_def_id
+  '2099' || lpad(cast(1 + event_id % 12 as string), 2, '0') || '11000000' as tier_end_date, 'V' || cast(user_id as string) as vckey, 'IP' || cast(user_id * 5 as string) as memberid, 'C' || cast(event_id % 400 as string) as certificate_nbr, cast(event_id % 9 as bigint) as reward_def_id
 from {events}
 """
 INLINE.add("w_hist_tier")

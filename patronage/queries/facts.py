@@ -46,7 +46,8 @@ WORK = {
       cast(tender_amount * 100 as bigint) as tender_amt, case when trxn_id % 11 = 0 then '-' else '+' end as tender_amount_sign, cast(trxn_id % 500 as bigint) as chng_due,
       '+' as change_due_sign, cast(trxn_id % 2 as int) as associate_sales_flag, cast(trxn_id % 3 as int) as post_void_flag, cast(trxn_id % 2 as int) as check_auth_enable,
       cast(trxn_id % 2 as int) as chk_swiped, 0 as check_auth_type, member_key % 60 + 95 as store_id, trxn_date, tender_type_key from {w_tender_history}""",
-    "checkauth": """select 'Y' as check_auth_enable_flag, 'Y' as check_swiped_flag, 'N' as check_auth_type, cast(r_regionkey + 7 as bigint) as check_auth_key from {region} where r_regionkey = 0""",
+    "checkauth": """select case r_regionkey % 2 when 0 then 'Y' else 'N' end as check_auth_enable_flag, case when r_regionkey < 2 then 'Y' else 'N' end as check_swiped_flag,
+      case when r_regionkey = 4 then 'Y' else 'N' end as check_auth_type, cast(r_regionkey + 7 as bigint) as check_auth_key from {region}""",
     "tsum": """select trxn_id, member_key, member_key % 40 + 1 as store_key, trxn_date, trxn_id * 3 as tender_id, tender_amount, case trxn_id % 7 when 0 then cast(11 as bigint) when 1 then cast(4 as bigint)
       when 2 then cast(16 as bigint) when 3 then cast(12 as bigint) when 4 then cast(25 as bigint) else tender_type_key + 18 end as tender_type_key from {w_tender_history}""",
     "certs": """select trxn_id, case when trxn_id % 2 = 0 then 'C' || cast(trxn_id as string) else ' ' end as c1, case when trxn_id % 3 = 0 then 'D' || cast(trxn_id as string) else null end as c2,
@@ -67,7 +68,7 @@ WORK = {
     "coupon": "select event_id as coupon_id, 'IP' || cast(user_id * 5 as string) as member_id, event_type as member_coupon_status from {events}",
     "points": """select event_id as point_transaction_id, 'V' || cast(user_id as string) as vc_key, cast(event_id % 6 as int) as transaction_type, cast(event_id % 8 as int) as owner_type,
       event_id * 2 as row_key, event_id - 1 as parent_transaction_id, date '2001-01-01' + cast(event_id % 300 as int) as txn_date, date '2000-01-01' + cast(event_id % 300 as int) as points_awarded_date,
-      date '2002-01-01' as expiration_date, value as points_earned from {events}""",
+      date '2002-01-01' + cast(event_id % 90 as int) as expiration_date, value as points_earned from {events}""",
     "vcards": """select member_key as card_history_id, 'V' || cast(cast(floor(member_key / 2) as bigint) as string) as vc_key, member_key, 'IP' || cast(member_key as string) as ip_code
       from {w_card_history}""",
     "rewards": """select event_id as id, cast(event_id % 9 as bigint) as reward_def_id, 'IP' || cast(user_id * 5 as string) as member_id, 'C' || cast(event_id % 400 as string) as certificate_nbr,
@@ -76,7 +77,7 @@ WORK = {
     "rdefs": "select cast(r_regionkey as bigint) as reward_def_id, cast(r_regionkey + 900 as bigint) as reward_def_key from {region}",
     "rtrxn": "select o_orderkey as fact_reward_trxn_history_id, 'C' || cast(o_orderkey % 300 as string) as certificate_nbr, o_orderkey + 7 as trxn_id from {orders}",
     "tiers": """select event_id as id, cast(event_id % 6 as bigint) as tier_id, 'IP' || cast(user_id * 5 as string) as member_id, date '2001-01-01' + cast(event_id % 300 as int) as from_date,
-      date '2099-12-31' as to_date, 'T' || cast(event_id as string) || '-200107' || lpad(cast(1 + event_id % 28 as string), 2, '0') as etl_unique_id from {events}""",
+      date '2099-01-01' + cast(event_id % 200 as int) as to_date, 'T' || cast(event_id as string) || '-200107' || lpad(cast(1 + event_id % 28 as string), 2, '0') as etl_unique_id from {events}""",
     "tierdim": "select cast(r_regionkey as bigint) as tier_id, cast(r_regionkey + 1 as bigint) as tier_key from {region}",
     "engage": """select event_id as id, user_id as vc_key, cast(floor(event_id / 2) as bigint) as a_parentrowkey, 100 + event_id % 150 as a_storecode, date '2001-01-01' + cast(event_id % 300 as int) as engagement_date
       from {events}""",
@@ -94,8 +95,8 @@ WORK = {
       from {w_member}""",
     "virt": """select 'IP' || cast(member_key as string) as member_id, 'L' || cast(member_key as string) as loyalty_id_number, member_key as virtual_card_key,
       case when member_key % 2 = 0 then date '2000-05-05' else null end as date_issued, cast(null as date) as date_registered from {w_member}""",
-    "segs": """select cast(p.rk as int) as segment_rank, cast(m.model_id as int) as model_id, cast(p.rk * 10 + m.model_id as bigint) as scoring_model_segment_key
-      from (select distinct p_size % 18 as rk from {part}) p join (select 104 as model_id union all select 108 as model_id) m on 1 = 1""",
+    "segs": """select distinct cast(p_size % 18 as int) as segment_rank, 104 as model_id, cast(p_size % 18 * 10 + 104 as bigint) as scoring_model_segment_key from {part}
+      union all select distinct cast(p_size % 18 as int) as segment_rank, 108 as model_id, cast(p_size % 18 * 10 + 108 as bigint) as scoring_model_segment_key from {part}""",
     "mods": """select cast(case r_regionkey when 0 then 104 when 1 then 108 else 200 + r_regionkey end as int) as model_id, cast(r_regionkey + 40 as bigint) as scoring_model_key from {region}""",
     "amounts": "select o_orderkey as trxn_id, o_custkey + 1 as member_key, cast(o_orderdate as date) as trxn_date, floor(o_totalprice / 25) / 100 as amount from {orders}",
 }
@@ -384,11 +385,13 @@ def fact_transaction_summary(w):
     coalesce(m.member_key, -1) as member_key, coalesce(m.match_key, -1) as match_type_key, case when m.match_key in (4, 92) then m.loyalty end as captured_loyalty_id,
     case when m.match_key in (24, 25, 26) then m.member_loyalty end as implied_loyalty_id, case when associate_sales_flag = 1 then 'YES' else 'NO' end as associate_sales_flag,
     case when post_void_flag = 1 then 'YES' else 'NO' end as post_void_ind, coalesce(s.store_key, -1) as store_key, coalesce(d.date_key, -1) as trxn_date_key,
-    coalesce(y.tender_type_key, -1) as tender_type_key, case when check_auth_enable = 1 then 7 else -1 end as check_auth_key
+    coalesce(y.tender_type_key, -1) as tender_type_key, coalesce(k.check_auth_key, -1) as check_auth_key
   from w_work_tender t left join w_work_matched m on m.trxn_id = t.trxn_id and lpad(m.tender_type, 2, '0') = lpad(t.tender_type, 2, '0')
     and lpad(m.tender_number, 18, '0') = lpad(t.tokenized_cc_nbr, 18, '0')
   left join w_work_shops s on s.store_id = t.store_id left join w_date d on d.sdate = t.trxn_date
-  left join (select 'CT' || substr(tender_type_code, 3) as code, tender_type_key from w_tender_type) y on y.code = t.tender_type""")
+  left join (select 'CT' || substr(tender_type_code, 3) as code, tender_type_key from w_tender_type) y on y.code = t.tender_type
+  left join w_work_checkauth k on k.check_auth_enable_flag = case when check_auth_enable = 1 then 'Y' else 'N' end and k.check_swiped_flag = case when chk_swiped = 1 then 'Y' else 'N' end
+    and k.check_auth_type = case when t.check_auth_type = 1 then 'Y' else 'N' end""")
 def fact_tender_history(w):
     types = w.tender_type.select(F.concat(F.lit("CT"), F.substring("tender_type_code", 3, 9)).alias("tender_type_code"), "tender_type_key")
     return fa.tender_history(w.work_tender.drop("tender_type_key"), w.work_matched, w.work_shops, w.date, types, w.work_checkauth)

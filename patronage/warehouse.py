@@ -370,11 +370,11 @@ from {w_base} where k % 8 <> 1 or floor(k / 8) % 4 in (2, 3)
 """
 
 VIEWS["w_dup_info"] = """
-select cast(r.r_regionkey * 5 + c.r_regionkey as string) as dedupe_info_key,
-  case r.r_regionkey when 0 then 1 when 1 then 3 when 2 then 5 when 3 then 4 else 7 end as id_condition,
-  case c.r_regionkey when 0 then 1 when 1 then 2 when 2 then 3 when 3 then 4 else -1 end as collection_type,
-  'rule ' || r.r_name as id_condition_desc, 'collection ' || c.r_name as collection_type_descr
-from {region} r join {region} c on c.r_regionkey <> 5
+select distinct cast(p_size % 25 as string) as dedupe_info_key,
+  case cast(floor(p_size % 25 / 5) as int) when 0 then 1 when 1 then 3 when 2 then 5 when 3 then 4 else 7 end as id_condition,
+  case p_size % 5 when 0 then 1 when 1 then 2 when 2 then 3 when 3 then 4 else -1 end as collection_type,
+  'rule ' || cast(cast(floor(p_size % 25 / 5) as int) as string) as id_condition_desc, 'collection ' || cast(p_size % 5 as string) as collection_type_descr
+from {part}
 """
 
 # Building blocks of other views; they are never read on their own
