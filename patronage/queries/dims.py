@@ -60,7 +60,7 @@ WORK = {
       district_code, '1' as region_code, cast(zone_code as string) as zone_code from {w_store} where store_id % 9 <> 4""",
     "shop_owner": """select store_id as shop_nbr, cast(store_id % 18 as int) as shop_dsgn_cd, case store_id % 4 when 0 then 'D' when 1 then 'W' when 2 then 'M' else 'X' end as shop_type_cd,
       case store_id % 3 when 0 then 'OPN' when 1 then 'LGL' else 'ZZZ' end as shop_stat_cd, open_date as act_open_date,
-      case when open_closed_ind = 'CLOSED' then date '2000-01-01' else null end as last_close_date, cast(sq_ft as int) as sell_sq_ft,
+      case when open_closed_ind = 'CLOSED' then date '2000-01-01' else null end as last_close_date, cast(floor(sq_ft) as int) as sell_sq_ft,
       case store_id % 4 when 0 then 'A' when 1 then 'A+' when 2 then 'C' else 'Q' end as vol_class_cd from {w_store}""",
     "process": """select member_key, segment_group, first_name, city, state, original_source, etl_unique_id,
       case when member_key % 4 = 0 then 'dedup' else 'till' end as process from {w_scd_batch}""",
