@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat
+from . import chat, toxicity, warc
 from .mixing import with_copies
 from .ngram_join import ngram_components
 from .quality_rules import quality_verdicts
 from .sharding import sharded
-from .staging import staged
+from .staging import new_path, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,39 @@ select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'key' as
 def op10(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return sharded(docs, [1.0] * 16).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+WARC_SQL = """
+with p as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as d from pages),
+f as (select d, max(page_id) as first from p where n >= 1000 group by d)
+select page_id, n::bigint as payload_bytes, p.d as payload_digest,
+  case when first is null or first is not distinct from page_id then 'response' else 'revisit' end as record_type,
+  case when first is not distinct from page_id then null else first end as refers_to
+from p left join f on p.d = f.d and n >= 1000"""
+
+
+@query("op4_warc_normalise", WARC_SQL)
+def op4(spark, folder):
+    whole, parts = new_path(spark, "warc-whole"), new_path(spark, "warc")
+    warc.write_monolithic(warc.page_records(table(spark, folder, "pages")), whole)
+    index = staged(warc.normalise(warc.archive_files(spark, whole), parts), "warc-index")
+    back = warc.read_records(index)
+    # of a response the length and digest are those of the bytes that were read
+    read = F.col("warc_type") == "response"
+    return back.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.when(read, F.octet_length("body")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(read, F.sha1("body")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def toxic_model(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, table(spark, folder, "labels"), ~toxicity.held_out(F.col("doc_id"), 5, 0))
+
+
+@query("op2_toxicity")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents")
+    out = toxicity.scored(docs, toxic_model(spark, folder, docs))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
