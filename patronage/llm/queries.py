@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, toxicity, warc
+from . import chat, quality_knn, toxicity, warc
 from .mixing import with_copies
 from .ngram_join import ngram_components
 from .quality_rules import quality_verdicts
@@ -165,3 +165,11 @@ def op2(spark, folder):
     out = toxicity.scored(docs, toxic_model(spark, folder, docs))
     return out.select("doc_id", toxicity.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
+
+
+@query("op5_quality_knn")
+def op5(spark, folder):
+    docs = table(spark, folder, "documents")
+    out_of = toxicity.held_out(F.col("doc_id"), 4, 2)
+    model = quality_knn.fit(docs, table(spark, folder, "labels"), ~out_of)
+    return quality_knn.scored(docs, model).select("doc_id", out_of.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
