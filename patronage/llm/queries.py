@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, quality_knn, toxicity, warc
+from .decontaminate import leaks
 from .mixing import with_copies
 from .ngram_join import ngram_components
 from .quality_rules import quality_verdicts
@@ -173,3 +174,8 @@ def op5(spark, folder):
     out_of = toxicity.held_out(F.col("doc_id"), 4, 2)
     model = quality_knn.fit(docs, table(spark, folder, "labels"), ~out_of)
     return quality_knn.scored(docs, model).select("doc_id", out_of.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op7_decontaminate")
+def op7(spark, folder):
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -81,20 +81,27 @@ def chunks(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Itera
 
 def words(texts: pa.Array, lower: bool = False) -> Words:
     """Words of one piece from `chunks`."""
+    kinds = np.ones(256, np.uint8)
+    kinds[SPACE] = 0
+    return tokens(texts, kinds, lower)
+
+
+def tokens(texts: pa.Array, kinds: np.ndarray, lower: bool = False) -> Words:
+    """Runs of bytes of one kind in one piece from `chunks`; kind 0 separates."""
     n = len(texts)
     at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1]
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
     at = at - at[0]
     size = len(data)
-    table = np.ones(256, bool)
-    table[SPACE] = False
-    inside = table[data]
+    kind = kinds[data]
+    inside = kind > 0
     begins = np.zeros(size + 1, bool)
     begins[at] = True
     start, end = inside.copy(), inside.copy()
-    start[1:] &= ~inside[:-1] | begins[1:size]
-    end[:-1] &= ~inside[1:] | begins[1:size]
+    changes = kind[1:] != kind[:-1]
+    start[1:] &= changes | begins[1:size]
+    end[:-1] &= changes | begins[1:size]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
     if len(starts):
         lengths = ends - starts
