@@ -13,6 +13,7 @@ from .ngram_join import ngram_components
 from .quality_rules import quality_verdicts
 from .sharding import sharded
 from .staging import new_path, staged
+from .substring_dedup import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -179,3 +180,8 @@ def op5(spark, folder):
 @query("op7_decontaminate")
 def op7(spark, folder):
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_substring_dedup")
+def op9(spark, folder):
+    return without_repeats(table(spark, folder, "documents")).drop("kept")
