@@ -38,7 +38,8 @@ from .words import chunks, mix, runs, words
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BAND = 1.5         # ratio of the largest to the smallest size of a band
-PAIRS = 200_000    # pairs of one signature that a later round may form at once
+BLOCK = 1024       # members of one signature that are compared as one block
+LEAST_BINS = 64    # of a sketch
 UNITS = 100        # thresholds are whole percents, so that sizes compare exactly
 
 
@@ -57,6 +58,29 @@ def fingerprint(s: np.ndarray) -> int:
         return int(mix(np.array([mix(s).sum(dtype=np.uint64) + np.uint64(len(s))]))[0].view(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of elements by hash range, one byte each, a power of two of them. The summed
+    differences of two sketches are at most the number of elements in which the sets differ,
+    also after neighbouring ranges are added up or counts stop at 255."""
+    bins = max(LEAST_BINS, 1 << int(len(s) // 3).bit_length())
+    got = np.bincount((s >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64), minlength=bins)
+    return np.minimum(got, 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes], bins: int) -> np.ndarray:
+    """Sketches as rows of `bins` counts."""
+    return np.stack([np.frombuffer(x, np.uint8).reshape(bins, -1).sum(1, dtype=np.int32) for x in sketches])
+
+
+def near(x: np.ndarray, size: int, ys: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of sketches can be similar enough to sketch x, by sizes and differences."""
+    low, high = np.minimum(sizes, size), np.maximum(sizes, size)
+    # similarity of at least percent bounds the difference by (100 - percent) / (100 + percent) of both sizes
+    fits = UNITS * low >= percent * high
+    differ = np.abs(ys - x).sum(1)
+    return fits & ((UNITS + percent) * differ <= (UNITS - percent) * (sizes + size))
+
+
 def band_table(largest: int) -> np.ndarray:
     """Smallest size of each band, up to one beyond the largest size."""
     low = [1]
@@ -95,15 +119,25 @@ def signatures(s: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
 def _profile(n: int):
     def run(batches):
         for batch in batches:
-            key, size = [], []
-            for _, s in ngram_sets(batch.column(1), n):
+            key, size, marks, held, at = [], [], [], 0, 0
+            for i, s in ngram_sets(batch.column(1), n):
                 size.append(len(s))
                 key.append(fingerprint(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.int64())],
-                                             names=["doc_id", "n_shingles", "set_key"])
+                marks.append(sketch(s) if len(s) else None)
+                held += len(s)
+                if held > 2_000_000:
+                    yield _profiles(batch.column(0).slice(at, i + 1 - at), size, key, marks)
+                    key, size, marks, held, at = [], [], [], 0, i + 1
+            if key:
+                yield _profiles(batch.column(0).slice(at), size, key, marks)
     return run
 
 
+def _profiles(ids: pa.Array, size: list, key: list, marks: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(marks, pa.binary())],
+                                      names=["doc_id", "n_shingles", "set_key", "sketch"])
+
+
 def _signature_rows(n: int, percent: int):
     def run(batches):
         low, seen = band_table(1 << 20), set()
@@ -172,30 +206,19 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     Work at scale: the text is read for the fingerprints, for the signatures (one shuffle of
     two numbers for each, about a quarter of the n-grams) and for the sets of candidates. Equal
     sets are one node, so a group of copies adds no pairs; in a group of near copies every
-    member meets one leader for each signature, and later rounds only compare members of
-    different components. Copies and hot leaders join on keys that can be split.
+    member meets one leader for each signature, and then only members of different components
+    are compared, in blocks, and only pairs that their sketches allow become rows. Copies and hot leaders join on keys that can be split.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(docs.mapInArrow(_profile(n), "doc_id long, n_shingles long, set_key long"), "profile")
-    nodes = staged(rows.filter("set_key is not null").groupBy(F.col("set_key").alias("node"))
-                   .agg(F.min("doc_id").alias("doc_id")), "nodes")
-    by_sig = Window.partitionBy("sig")
-    shared = staged(docs.select("text").mapInArrow(_signature_rows(n, percent), "sig long, node long")
-                    .withColumn("leader", F.min("node").over(by_sig)).withColumn("last", F.max("node").over(by_sig))
-                    .filter("leader <> last").drop("last").distinct(), "shared")
+    rows = staged(docs.mapInArrow(_profile(n), "doc_id long, n_shingles long, set_key long, sketch binary"), "profile")
+    nodes = staged(rows.filter("set_key is not null").groupBy(F.col("set_key").alias("node")).agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "nodes")
+    shared = shared_signatures(docs, n, percent)
     sets = candidate_sets(docs, nodes, shared, n)
-    edges = staged(linked(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")),
-                          sets, percent), "links")
-    roots = components(edges)
-    open_sets = shared.select("sig", "node")
-    while True:
-        tested, open_sets, more = open_round(open_sets, roots)
-        if tested is None:
-            break
-        edges = edges.unionByName(staged(linked(tested, sets, percent), "links"))
-        roots = components(edges)
-        if not more:
-            break
+    first = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    edges = staged(linked(possible(first, nodes, percent), sets, percent), "links")
+    rest = staged(linked(open_pairs(shared, components(edges), nodes, percent), sets, percent), "links")
+    roots = components(edges.unionByName(rest))
     rooted = staged(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     label = join_back(rooted, smallest, ["root"]).select(F.col("node").alias("set_key"), "component_id")
@@ -224,27 +247,85 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(UNITS * common >= percent * (na + nb - common)).select("a", "b"))
 
 
-def open_round(members: DataFrame, roots: DataFrame) -> tuple[DataFrame | None, DataFrame | None, int]:
-    """Pairs that must still be compared, what stays open after them, and how much that is.
+def shared_signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig, node, leader) for signatures of at least two nodes. The leader is the node that
+    meets the most others over all signatures, so that it tends to be the same one."""
+    by_sig = Window.partitionBy("sig")
+    shared = (docs.select("text").mapInArrow(_signature_rows(n, percent), "sig long, node long")
+              .withColumn("least", F.min("node").over(by_sig)).withColumn("most", F.max("node").over(by_sig))
+              .filter("least <> most").select("sig", "node").distinct())
+    shared = staged(shared.withColumn("n", F.count("node").over(by_sig)), "shared")
+    meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    leaders = (shared.join(meets, "node").groupBy("sig").agg(F.max_by("node", F.struct("meets", "node")).alias("leader")))
+    return staged(join_back(shared.select("sig", "node"), leaders, ["sig"]).select("sig", "node", "leader"), "led")
+
 
-    Members of a signature with one root need nothing. Otherwise every member outside the
-    largest component there meets all members of other components, at most about PAIRS pairs
-    of one signature in a round; it is then done in this signature.
+def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches do not rule out."""
+    def run(batches):
+        for t in batches:
+            keep = []
+            for sa, ka, sb, kb in zip(*(t.column(i).to_pylist() for i in range(2, 6))):
+                bins = min(len(ka), len(kb))
+                keep.append(bool(near(folded([ka], bins)[0], sa, folded([kb], bins), np.array([sb]), percent)[0]))
+            yield t.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("sketch").alias("ka"))
+    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("sketch").alias("kb"))
+    fits = UNITS * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")
+    both = pairs.join(left, "a").join(right, "b").filter(fits)
+    return both.select("a", "b", "sa", "ka", "sb", "kb").mapInArrow(run, "a long, b long")
+
+
+def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a signature and that sizes and sketches do
+    not rule out.
+
+    A signature whose members have one root needs nothing. Otherwise all its members outside
+    the largest component there meet the members of other components, as blocks of about
+    BLOCK members that are compared as arrays: only pairs that may be similar become rows,
+    and a signature with very many members is many blocks.
     """
-    now = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    now = shared.select("sig", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    now = staged(now, "rooted")
     kinds = now.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
     main = (kinds.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
-                                     F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("kinds > 1"))
-    now = staged(join_back(now, main, ["sig"]).select("sig", "node", "root", "main", "total"), "open")
-    turn = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-    few = F.greatest(F.lit(1), (F.lit(PAIRS) / F.col("total")).cast("long"))
-    odd = staged(now.filter("root <> main").withColumn("taken", turn <= few).select("sig", "node", "root", "taken"), "odd")
-    count = odd.agg(F.count(F.lit(1)), F.count_if(~F.col("taken"))).first()
-    if not count[0]:
-        return None, None, 0
-    first = odd.filter("taken").select("sig", F.col("node").alias("x"), F.col("root").alias("rx"))
-    other = now.select("sig", F.col("node").alias("y"), F.col("root").alias("ry"), (F.col("root") == F.col("main")).alias("in_main"))
-    pairs = (first.join(other, "sig").filter("rx <> ry and (in_main or x < y)")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    rest = now.select("sig", "node").join(odd.filter("taken").select("sig", "node"), ["sig", "node"], "left_anti")
-    return pairs, staged(rest, "rest") if count[1] else None, count[1]
+                                     F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("kinds > 1").drop("kinds"))
+    now = join_back(now, main, ["sig"]).join(nodes.select("node", "size", "sketch"), "node")
+    many = F.ceil(F.col("total") / BLOCK)
+    odd = F.col("root") != F.col("main")
+    member = F.struct("node", "root", odd.alias("odd"), "size", "sketch")
+    blocks = staged(now.groupBy("sig", F.pmod(F.xxhash64("node"), many).alias("block"))
+                    .agg(F.collect_list(member).alias("m")), "blocks")
+    seekers = blocks.select("sig", F.filter("m", lambda x: x["odd"]).alias("x")).filter(F.size("x") > 0)
+
+    def run(batches):
+        for t in batches:
+            for k in range(t.num_rows):
+                xs, ys = t.column(0)[k].as_py(), t.column(1)[k].as_py()
+                bins = min(len(e["sketch"]) for e in (*xs, *ys))
+                kx, ky = folded([e["sketch"] for e in xs], bins), folded([e["sketch"] for e in ys], bins)
+                size, node, root = (np.array([e[c] for e in ys], np.int64) for c in ("size", "node", "root"))
+                in_main = ~np.array([e["odd"] for e in ys], bool)
+                a, b = [], []
+                for e, kind in zip(xs, kx):
+                    other = (root != e["root"]) & (in_main | (node > e["node"]))
+                    if other.any():
+                        at = np.flatnonzero(other)
+                        hit = node[at[near(kind, e["size"], ky[at], size[at], percent)]]
+                        a.extend([e["node"]] * len(hit))
+                        b.extend(hit.tolist())
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    met = seekers.join(blocks.select("sig", F.col("m").alias("y")), "sig").select("x", "y").mapInArrow(run, "a long, b long")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def without_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of docs without those that are linked with a document of a smaller id. Columns
+    stay as they are; texts without words and rows with a null id stay; rows with one id are
+    one document."""
+    groups = ngram_components(docs, n, percent, id_col, text_col)
+    gone = staged(groups.filter("doc_id > component_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(broadcast_if_small(gone.withColumnRenamed("doc_id", "_gone")), F.col(id_col) == F.col("_gone"), "left_anti")
