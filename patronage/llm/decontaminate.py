@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.skew import join_back
+from ..operators.sizing import broadcast_if_small
 from .staging import staged
 from .words import BASE, chunks, mix, runs, tokens
 
@@ -199,5 +199,5 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
 
 def without_leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Rows of docs that hold no item, columns as they are. Rows with a null id are kept."""
-    held = staged(leaks(docs, items, coverage).select("doc_id").distinct(), "held").withColumn("_held", F.lit(True))
-    return join_back(docs, held, ["doc_id"], "left").filter("_held is null").drop("_held")
+    held = staged(leaks(docs, items, coverage).select(F.col("doc_id").alias("_held")).distinct(), "held")
+    return docs.join(broadcast_if_small(held), F.col("doc_id") == F.col("_held"), "left_anti")
