@@ -24,16 +24,15 @@ def count_distinct_per_key(df: DataFrame, keys: list[str], value: str, name: str
 
 
 def group_by_as_list(df: DataFrame, keys: list[str], cols: list[str], order: list[str],
-                     max_items: int = 10_000) -> DataFrame:
+                     chunks: int = 16) -> DataFrame:
     """Rows of a key as array<struct> with the key's full count.
 
-    A key with more rows than max_items comes out as several rows (chunk 0, 1, …), split by
-    a hash of the row's order columns, so no single array holds an unbounded group and no
-    row is lost. Keys up to max_items have exactly one row with chunk 0.
+    Every key is dealt over the same number of chunks by a hash of the row's order columns,
+    so the shape of the result does not depend on the size of a key, and no row is lost. A
+    table with larger keys takes more chunks; a chunk without rows has no row.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("grouped_count"))
-    chunks = F.ceil(F.col("grouped_count") / F.lit(max_items)).cast("int")
-    chunk = F.when(chunks <= 1, 0).otherwise(F.pmod(F.xxhash64(*order), chunks)).cast("int")
+    chunk = F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int")
     return (join_back(df, counts, keys).withColumn("chunk", chunk)
             .groupBy(*keys, "chunk", "grouped_count")
             .agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in cols if c not in order])))

@@ -22,7 +22,6 @@ SIDES = [2.0 ** -k for k in range(10, -1, -1)] + [4.0]
 LAST = len(SIDES) - 1
 REACH = 2  # a cube's diagonal is below two sides
 CELL = ["level", "a", "b", "c"]
-BROADCAST_ROWS = 1_000_000  # about 80 MB
 # the planner does not count that each store becomes a row per level
 LEVEL_LIMIT = DEFAULT_LIMIT // len(SIDES)
 
@@ -74,11 +73,9 @@ def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key
     around = (used.join(broadcast_if_small(s_cells.withColumnsRenamed({x: f"_n{x}" for x in "abc"}), LEVEL_LIMIT), ["level", "_na", "_nb", "_nc"])
               .select(*CELL, "_s", "_slat", "_slon", "_sx", "_sy", "_sz"))
 
-    # the table is read for its size and for the join: compute it once; within the limit it is
-    # sent to every task, beyond it the join shuffles by cube and hot cubes are split
-    around = stage(around)
-    if around.count() <= BROADCAST_ROWS:
-        around = F.broadcast(around)
+    # computed once, as a written table whose size is known: within the limit it is sent to
+    # every task, beyond it the join shuffles by cube and hot cubes are split
+    around = broadcast_if_small(stage(around))
 
     # ranked by the straight line, which grows with the distance and needs no trigonometry
     line = sum(((F.col(f"_{c}") - F.col(f"_s{c}")) * (F.col(f"_{c}") - F.col(f"_s{c}")) for c in "xyz"), F.lit(0.0))

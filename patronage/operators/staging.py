@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .sizing import plan_bytes
-
-SPREAD_FROM, SPREAD_TO = 64 * 1024, 1024 ** 3
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder the cluster names; only a local session may fall back to scratch."""
@@ -21,14 +20,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="patronage-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared checkpoint folder and go on from there. What is
-    read back survives the loss of executors and is the same on every read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once to the shared folder and go on from there. What is read back
+    survives the loss of executors, is the same on every read, and later steps read only the
+    columns that they need."""
+    return _written(df, f"stage-{uuid.uuid4().hex}")
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -40,10 +40,18 @@ def staging_folder(spark: SparkSession) -> str:
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a parquet table in the shared folder and read it back, so that later
     jobs prune columns and push filters into a plain scan."""
+    # files of balanced size, whatever the partitions were: a table out of one small file
+    # would be scanned by one task ever after
+    return _written(df.hint("rebalance"), name)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_folder(df.sparkSession)}/{name}"
-    if SPREAD_FROM < plan_bytes(df) < SPREAD_TO:
-        # a table out of one small file would be scanned by one task ever after; large tables
-        # have enough splits of their own and are not moved
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Remove the staged tables of this application, at the end of a job."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

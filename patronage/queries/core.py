@@ -91,7 +91,7 @@ def sink_text(w):
   select cast(member_key as varchar) || '|' || coalesce(first_name, '') || '|' || coalesce(cast(birth_date as varchar), '') as value from w_member""")
 def sink_csv_feed(w):
     path = wr.write_csv_feed(w.member.select("member_key", "first_name", "birth_date"), fresh(w, "feed"), "2001-08-01")
-    return w.spark.read.text(path).filter("value not like 'member_key|%'")
+    return rd.read_lines(w.spark, path)
 
 
 @query("sink_orc_by_file", "member_key bigint, city string", "select member_key, city from w_member")
@@ -109,7 +109,7 @@ def sink_table_stats(w):
     stats = w.member.agg(F.count_if(F.col("city") != "Avon").alias("differing")).withColumn("name", F.lit("city"))
     path = fresh(w, "stats")
     table = "stats_" + path.rsplit("-", 1)[1]
-    stats.write.mode("overwrite").option("path", path).saveAsTable(table)
+    wr.save_stats(stats, table, path)
     return w.spark.table(table)
 
 
@@ -437,7 +437,7 @@ def agg_collect(w):
   select tier_key, count(*) as grouped_count, count(*) as members, min(member_key) as smallest from w_member group by tier_key""")
 def group_by_as_list(w):
     # a key comes out in bounded chunks; all of them together hold every row
-    out = ag.group_by_as_list(w.member, ["tier_key"], ["city", "state"], ["member_key"], max_items=1000)
+    out = ag.group_by_as_list(w.member, ["tier_key"], ["city", "state"], ["member_key"])
     return out.groupBy("tier_key").agg(F.max("grouped_count").alias("grouped_count"), F.sum(F.size("grouped_data")).alias("members"),
                                        F.min(F.col("grouped_data")[0]["member_key"]).alias("smallest"))
 

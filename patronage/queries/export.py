@@ -194,7 +194,7 @@ def edw_feed(w):
   select cast(member_key as varchar) || '|' || first_name || '|' || gender || '|' || member_status || '|' || cast(ingest_date as varchar) as value from ({FEED_SQL}) x""")
 def edw_feed_file(w):
     path = wr.write_csv_feed(_feed(w), fresh(w, "edw"), RUN)
-    return w.spark.read.text(path).filter("value not like 'member_key|%'")
+    return rd.read_lines(w.spark, path)
 
 
 @query("edw_feed_snapshot", "constant_id int, constant_type string, constant_value string, run_date date", f"""

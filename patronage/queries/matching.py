@@ -10,6 +10,7 @@ from ..operators.filters import split_by
 from ..operators.ranking import keep_best_ties
 from ..operators.sequence import sort_key
 from ..plans import feeds, matching as mt
+from ..operators.sizing import broadcast_if_small
 from ..registry import CHECK_VIEWS, query
 
 
@@ -285,6 +286,6 @@ def record_info_key(w):
     left join (select id, 14 as code from o_hit_email) h on h.id = f.etl_unique_id""")
 def source_key_rule(w):
     matched = mt.match_waterfall(w.feed, lookups(w), ["email"])
-    return (matched.join(F.broadcast(w.store.select("store_key", "retail_web_flag")), "store_key", "left")
+    return (matched.join(broadcast_if_small(w.store.select("store_key", "retail_web_flag")), "store_key", "left")
             .withColumn("till_source_key", mt.till_source_key(F.col("retail_web_flag"), F.col("match_key")))
             .withColumn("gender_source_key", mt.gender_source_key(F.col("gender"), 1561, 1560)))

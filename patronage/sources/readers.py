@@ -56,3 +56,10 @@ def with_file_name(df: DataFrame, name: str = "file_name") -> DataFrame:
 def files_holding(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Files that hold at least one of the keys."""
     return with_file_name(df).join(keys.select(on), on, "left_semi").select("file_name").distinct()
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of delimited files as they are, without the header line of each file."""
+    # a separator and quote that no line holds leave one column, named by the header
+    lines = spark.read.options(header=True, sep="\u0001", quote="", emptyValue="").csv(path)
+    return lines.toDF("value")

@@ -46,5 +46,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, connection
     df.coalesce(connections).write.jdbc(url, table, mode="append", properties=properties)
 
 
-def save_stats(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+def save_stats(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace a table of statistics, at a path of its own if one is given."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -68,9 +68,9 @@ def test_mark_best_flags_one_row_per_key(spark):
 
 def test_group_by_as_list_splits_large_groups_and_loses_nothing(spark):
     df = spark.range(0, 1000).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id")).alias("k"), "id", (F.col("id") * 2).alias("v"))
-    got = ag.group_by_as_list(df, ["k"], ["v"], ["id"], max_items=50).collect()
+    got = ag.group_by_as_list(df, ["k"], ["v"], ["id"], chunks=16).collect()
     hot = [r for r in got if r.k == 1]
-    assert len(hot) > 5 and max(len(r.grouped_data) for r in hot) < 200
+    assert len(hot) == 16 and max(len(r.grouped_data) for r in hot) < 200
     assert sorted(x.id for r in got for x in r.grouped_data) == list(range(1000))
     assert all(r.grouped_count == 700 for r in hot)
 
