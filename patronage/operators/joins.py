@@ -9,16 +9,18 @@ from .sizing import broadcast_if_small
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, on, keys: list[str], fill=UNKNOWN_KEY) -> DataFrame:
-    """Left join to a dimension that is unique on the join columns; missing keys get the fill."""
+    """Left join to a dimension; missing keys get the fill. If the dimension has several rows
+    for the same values, the one with the smallest keys counts, so no row is multiplied."""
     on = [on] if isinstance(on, str) else on
-    out = df.join(broadcast_if_small(dim.select(*on, *keys)), on, "left")
+    one = dim.groupBy(*on).agg(F.min(F.struct(*keys)).alias("_k")).select(*on, "_k.*")
+    out = df.join(broadcast_if_small(one), on, "left")
     return out.fillna(fill, keys)
 
 
 def update_keys(df: DataFrame, names, dim: DataFrame, join_col: str, value_col: str) -> DataFrame:
     """For each named column add <name>_key (or the given key name) from one dimension."""
     names = names if isinstance(names, dict) else {n: f"{n}_key" for n in names}
-    small = broadcast_if_small(dim.select(join_col, value_col))
+    small = broadcast_if_small(dim.groupBy(join_col).agg(F.min(value_col).alias(value_col)))
     for src, dst in names.items():
         side = small.select(F.col(join_col).alias(f"_j_{src}"), F.col(value_col).alias(dst))
         df = (df.join(side, F.col(src) == F.col(f"_j_{src}"), "left")

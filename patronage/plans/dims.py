@@ -14,7 +14,7 @@ from ..operators.columns import apply_expressions, rename_columns
 from ..operators.joins import left_lookup, update_keys
 from ..operators.ranking import latest_per_key
 from ..operators.sequence import generate_sequence
-from ..operators.sets import except_distinct, union_all
+from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
 
 
@@ -236,7 +236,7 @@ def scoring_model(models: DataFrame, scored: dict[int, int], scoring_day, data_t
     current = models.filter((F.col("status") == "current") & ~F.col("model_id").isin(ids)).unionByName(fresh)
     old = models.filter(F.col("status") == "history")
     closed = old.filter(in_use).withColumns({"current_model_ind": F.lit("NO"), "expiration_date": F.date_sub(day, 1)})
-    history = union_all([closed, except_distinct(old, old.filter(in_use)), fresh.withColumn("status", F.lit("history"))])
+    history = union_all([closed, old.filter(~F.coalesce(in_use, F.lit(False))).distinct(), fresh.withColumn("status", F.lit("history"))])
     return current, history
 
 

@@ -13,6 +13,7 @@ from ..operators.joins import update_keys
 from ..operators.nearest import nearest_stores
 from ..operators.ranking import keep_best_ties, largest, latest_per_key, mark_best, newest, with_key_aggregates, yes_first
 from ..operators.sizing import broadcast_if_small
+from ..operators.staging import stage
 from .facts import WEB_DISTRICT
 
 # ---------------------------------------------------------------- contacts
@@ -49,10 +50,10 @@ APPEND_SOURCES = [2229, 1236, 1237, 1064, 1065]
 REQUEST_CODES = ["ADOBE", "3C"]
 
 
-def audience(member: DataFrame, lines: DataFrame, sources: DataFrame) -> DataFrame:
+def audience(member: DataFrame, lines: DataFrame, sources: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """Buyers are customers if marketable (or already so), else purchasers; others by the kind
     of their source."""
-    buyers = lines.select("member_key").distinct().withColumn("_bought", F.lit(True))
+    buyers = (lines if visits is None else visits).select("member_key").distinct().withColumn("_bought", F.lit(True))
     src = broadcast_if_small(sources.select(F.col("source_key").alias("current_source_key"), "source_code", "is_prospect", "is_mail_request", "is_sms_request"))
     yes = lambda c: F.coalesce(_up(c) == "YES", F.lit(False))
     marketable = yes("is_dm_marketable") | yes("is_em_marketable") | yes("is_sms_marketable")
@@ -93,14 +94,28 @@ def dm_consent(member: DataFrame, consents: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- purchases
 
-def trxn_flags(member: DataFrame, lines: DataFrame, stores: DataFrame) -> DataFrame:
-    """First purchase with its store, last store and last web purchase: one aggregate."""
+def member_visits(lines: DataFrame) -> DataFrame:
+    """One row per member and store: trips, spend, first and last date. All that enrichment
+    asks of purchases but their products follows from it, so the lines are read once."""
+    # per trip first: the distinct count of trips is then a plain count that combines
+    trips = lines.groupBy("member_key", "store_key", "trxn_id").agg(
+        F.sum("retail_amount").alias("spend"), F.min("trxn_date").alias("first"), F.max("trxn_date").alias("last"),
+        F.max(F.col("trxn_date").isNull()).alias("undated"))
+    return trips.groupBy("member_key", "store_key").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("spend").alias("spend"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.max("undated").alias("undated"))
+
+
+def trxn_flags(member: DataFrame, lines: DataFrame, stores: DataFrame, visits: DataFrame | None = None) -> DataFrame:
+    """First purchase with its store, last store and last web purchase: one aggregate. A
+    purchase without a date comes before all others."""
     web = F.col("district_code") == WEB_DISTRICT
-    with_store = lines.filter(F.col("member_key") > 0).join(broadcast_if_small(stores.select("store_key", "district_code")), "store_key", "left")
-    first = F.min(F.struct("trxn_date", "store_key"))
+    seen = member_visits(lines) if visits is None else visits
+    with_store = seen.filter(F.col("member_key") > 0).join(broadcast_if_small(stores.select("store_key", "district_code")), "store_key", "left")
+    first = F.min(F.struct(F.when(~F.col("undated"), F.col("first")).alias("trxn_date"), "store_key"))
     agg = with_store.groupBy("member_key").agg(
         first["trxn_date"].alias("_first"), first["store_key"].alias("_store"),
-        F.max(F.when(web, F.col("trxn_date"))).alias("_web"), F.max(F.when(~F.coalesce(web, F.lit(False)), F.col("trxn_date"))).alias("_shop"))
+        F.max(F.when(web, F.col("last"))).alias("_web"), F.max(F.when(~F.coalesce(web, F.lit(False)), F.col("last"))).alias("_shop"))
     return member.join(agg, "member_key", "left").withColumns({
         "first_trxn_date": F.coalesce("_first", "first_trxn_date"), "first_trxn_store_key": F.coalesce("_store", "first_trxn_store_key"),
         "last_store_purch_date": F.coalesce("_shop", "last_store_purch_date"), "last_web_purch_date": F.coalesce("_web", "last_web_purch_date")}
@@ -121,15 +136,13 @@ def gender_merch(member: DataFrame, lines: DataFrame, products: DataFrame) -> Da
     return member.drop("cm_gender_merch_descr").join(agg.select("member_key", "cm_gender_merch_descr"), "member_key", "left")
 
 
-def preferred_store(member: DataFrame, lines: DataFrame, stores: DataFrame) -> DataFrame:
+def preferred_store(member: DataFrame, lines: DataFrame, stores: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """Open store with most trips, then spend, then the latest visit, then the smallest key."""
-    known = lines.filter((F.col("member_key") != UNKNOWN_KEY) & (F.col("store_key") != UNKNOWN_KEY))
-    # per trip first: the distinct count of trips is then a plain count that combines
-    trips = known.groupBy("member_key", "store_key", "trxn_id").agg(F.sum("retail_amount").alias("_s"), F.max("trxn_date").alias("_d"))
-    visits = trips.groupBy("member_key", "store_key").agg(F.count(F.lit(1)).alias("_n"), F.sum("_s").alias("_s"), F.max("_d").alias("_d"))
+    seen = member_visits(lines) if visits is None else visits
+    known = seen.filter((F.col("member_key") != UNKNOWN_KEY) & (F.col("store_key") != UNKNOWN_KEY))
     open_ = stores.filter("open_closed_ind = 'OPEN'").select("store_key", "retail_web_flag")
-    best = latest_per_key(visits.join(broadcast_if_small(open_), "store_key"), "member_key",
-                          [F.col("_n").desc(), F.col("_s").desc(), F.col("_d").desc(), F.col("store_key")])
+    best = latest_per_key(known.join(broadcast_if_small(open_), "store_key"), "member_key",
+                          [F.col("trips").desc(), F.col("spend").desc(), F.col("last").desc(), F.col("store_key")])
     best = best.select("member_key", F.col("store_key").alias("preferred_store_key"), F.col("retail_web_flag").alias("preferred_channel"))
     return member.drop("preferred_store_key", "preferred_channel").join(best, "member_key", "left")
 
@@ -176,13 +189,14 @@ def household(member: DataFrame, household_members: DataFrame) -> DataFrame:
             .withColumn("household_key", F.coalesce("_h", F.lit(UNKNOWN_KEY).cast("bigint"))).drop("_h"))
 
 
-def best_household(member: DataFrame, scoring: DataFrame, lines: DataFrame) -> DataFrame:
+def best_household(member: DataFrame, scoring: DataFrame, lines: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """The member of a household with the lowest latest segment (none counts 99), then the
     latest purchase, then the smallest key."""
     scored = latest_per_key(scoring.filter((F.col("household_key") != UNKNOWN_KEY) & (F.col("member_key") != UNKNOWN_KEY)),
                             "member_key", [newest("last_updated_date"), F.col("segment_rank")])
     rank = F.when(F.col("segment_rank") > 0, F.col("segment_rank")).otherwise(99)
-    last = lines.groupBy("member_key").agg(F.max("trxn_date").alias("_last"))
+    seen = member_visits(lines) if visits is None else visits
+    last = seen.groupBy("member_key").agg(F.max("last").alias("_last"))
     known = (member.select("member_key", "household_key").join(scored.select("member_key", rank.alias("_rank")), "member_key")
              .join(last, "member_key", "left"))
     best = known.groupBy("household_key").agg(F.min(F.struct("_rank", newest("_last"), "member_key"))["member_key"].alias("member_key"))
@@ -236,43 +250,62 @@ def member_status(c: Column) -> Column:
     return out
 
 
+# columns of the stored member that the steps may change
+ENRICHED = ["valid_email", "email_address", "email_consent", "email_consent_date", "phone_nbr", "phone_type", "sms_consent", "sms_consent_date",
+            "direct_mail_consent", "direct_mail_consent_date", "is_dm_marketable", "is_em_marketable", "is_sms_marketable", "record_type",
+            "first_trxn_date", "first_trxn_store_key", "last_store_purch_date", "last_web_purch_date", "preferred_store_key", "preferred_channel",
+            "household_key", "best_household_member", "is_loyalty_member", "global_opt_out", "cm_gender_merch_descr", "current_tier_key",
+            "tier_name", "is_plcc", "member_status"]
+
+
 def enrich_member(member, emails, phones, consents, lines, stores, products, sources, household_members, scoring, kill_list,
                   tier_history, tiers, cards, dates, date_columns, web_stores, on) -> DataFrame:
-    """All steps in their fixed order. Each one joins by member_key to a frame with one row
-    per member, so the member table is shuffled once and every further join is co-located."""
-    out = best_email(member, emails)
+    """All steps in their fixed order. Each one joins to a frame with one row per member. The
+    purchase lines are read twice: once for visits, which are written and shared by four
+    steps, and once for products.
+
+    action_flag is U if any stored column has changed at the end, compared null-safe, else NC.
+    """
+    visits = stage(member_visits(lines))
+    stored = [c for c in ENRICHED if c in member.columns]
+    out = best_email(member.withColumn("_stored", F.struct(*stored)), emails)
     out = phone(out, phones)
     out = dm_consent(out, consents)
     out = marketability(out)
-    out = trxn_flags(out, lines, stores)
-    out = preferred_store(out, lines, stores)
+    out = trxn_flags(out, lines, stores, visits)
+    out = preferred_store(out, lines, stores, visits)
     out = store_distance(out, stores, member)
     out = store_states(out, web_stores)
     out = household(out, household_members)
-    out = best_household(out, scoring, lines)
+    out = best_household(out, scoring, lines, visits)
     out = loyalty_flag(out)
     out = global_opt_out(out, kill_list)
     out = gender_merch(out, lines, products)
     out = sms(out, phones)
-    out = audience(out, lines, sources)
+    out = audience(out, lines, sources, visits)
     out = tier(out, tier_history, tiers)
     out = plcc(out, cards, on)
     out = update_keys(out, date_columns, dates, "sdate", "date_key")
-    return out.withColumn("member_status", member_status(F.col("member_status")))
+    out = out.withColumn("member_status", member_status(F.col("member_status")))
+    same = F.lit(True)
+    for c in stored:
+        same = same & F.col(c).eqNullSafe(F.col("_stored")[c])
+    return out.withColumn("action_flag", F.when(same, "NC").otherwise("U")).drop("_stored")
 
 
 def household_segment(households: DataFrame, scoring: DataFrame, segments: DataFrame, models: DataFrame, member: DataFrame) -> DataFrame:
-    """Segment and model of the household's best rank; its record type if all members share one."""
+    """Segment and model of the household's best rank; its record type if all members share one.
+    Of several models the one with the largest key counts."""
     best = (scoring.filter(F.col("segment_rank").isNotNull() & F.col("member_key").isNotNull()).groupBy("household_key")
             .agg(F.min("segment_rank").alias("segment_rank")))
     best = best.join(broadcast_if_small(segments.select("segment_rank", F.col("scoring_model_segment_key").alias("_seg"))), "segment_rank", "left")
     kinds = (member.filter(F.col("household_key") != UNKNOWN_KEY).groupBy("household_key")
              .agg(F.min("record_type").alias("_kind"), F.max("record_type").alias("_other")))
-    model = models.select("scoring_model_key").first()
-    out = households.drop("record_type", "scoring_model_segment_key").join(kinds, "household_key", "left").join(best, "household_key", "left")
+    model = models.agg(F.max("scoring_model_key").alias("_model"))  # one row
+    out = households.drop("record_type", "scoring_model_segment_key").join(kinds, "household_key", "left").join(best, "household_key", "left").join(F.broadcast(model))
     return out.withColumns({
         "record_type": F.when(F.col("_kind") == F.col("_other"), F.col("_kind")), "scoring_model_segment_key": F.col("_seg"),
-        "scoring_model_key": F.when(F.col("_seg").isNotNull(), F.lit(model[0] if model else None))}).drop("_kind", "_other", "_seg", "segment_rank")
+        "scoring_model_key": F.when(F.col("_seg").isNotNull(), F.col("_model"))}).drop("_kind", "_other", "_seg", "_model", "segment_rank")
 
 
 # ---------------------------------------------------------------- e-mails

@@ -129,7 +129,7 @@ def tier_history(tiers: DataFrame, members: DataFrame, tier_dim: DataFrame, date
     out = left_lookup(tiers, tier_dim, "tier_id", ["tier_key"])
     out = update_keys(out, {"from_date": "tier_begin_date_key", "to_date": "tier_end_date_key"}, dates, "sdate", "date_key")
     out = with_member_by_ip(out, members).withColumn("file_date", file_date(F.col("etl_unique_id")))
-    return out.orderBy("file_date", "id")
+    return out
 
 
 def engagement(rows: DataFrame, stored: DataFrame, stores: DataFrame, dates: DataFrame) -> DataFrame:

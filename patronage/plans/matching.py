@@ -230,24 +230,29 @@ def primary_holders(lk: Lookups) -> DataFrame:
             .select("member_key").distinct())
 
 
-def tie_order(members: DataFrame, lk: Lookups, holder: bool = False) -> DataFrame:
-    """Add the tie-break order of each row's member: a struct whose smallest value wins.
-
-    Primary card holder (only for the card criterion), then marketability, most recent
-    transaction, earliest introduction (unknown last) and smallest key. Each documented
-    stage only narrows the members left by the one before, so one ordering covers all.
-    """
+def member_facts(lk: Lookups, holder: bool = False, names: bool = False) -> DataFrame:
+    """One row per member with all that ties are broken by, and its names if asked for."""
+    named = [norm_text(F.col("first_name")).alias("first"), norm_text(F.col("last_name")).alias("last")] if names else []
     m = lk.member.select("member_key", marketability(F.col("is_dm_marketable"), F.col("is_em_marketable"),
                                                      F.col("is_sms_marketable")).alias("_market"),
                          F.col("customer_introduction_date").alias("_intro"),
-                         is_not_empty(F.col("loyalty_id")).alias("_loyal"))
+                         is_not_empty(F.col("loyalty_id")).alias("_loyal"), *named)
     last = last_transaction(lk.transactions).select(
         "member_key", (-F.unix_date("trxn_date")).alias("_ago"), (-F.col("trxn_time_key")).alias("_time"))
-    out = members.join(m, "member_key", "left").join(last, "member_key", "left")
+    out = m.join(last, "member_key", "full")
     if holder:
-        out = out.join(primary_holders(lk).withColumn("_holder", F.lit(0)), "member_key", "left")
-    else:
-        out = out.withColumn("_holder", F.lit(None).cast("int"))
+        return out.join(primary_holders(lk).withColumn("_holder", F.lit(0)), "member_key", "full")
+    return out.withColumn("_holder", F.lit(None).cast("int"))
+
+
+def tie_order(members: DataFrame, lk: Lookups, holder: bool = False, names: bool = False) -> DataFrame:
+    """Add the tie-break order of each row's member: a struct whose smallest value wins.
+
+    Primary card holder (only for the card criterion), then marketability, most recent
+    transaction, earliest introduction (unknown last) and smallest key. Each documented
+    stage only narrows the members left by the one before, so one ordering covers all.
+    """
+    out = join_back(members, member_facts(lk, holder, names), ["member_key"], "left")
     far = F.lit(2147483647)
     order = F.struct(F.coalesce(F.col("_market"), F.lit(MARKETABILITY_OTHER)).alias("market"),
                      F.coalesce(F.col("_ago"), far).alias("ago"), F.coalesce(F.col("_time"), far).alias("time"),
@@ -300,10 +305,7 @@ def _index(lk: Lookups, feed: DataFrame, criteria: list[Criterion]) -> DataFrame
     keys = rows.select("member_key").distinct()
     lk = replace(lk, member=lk.member.join(keys, "member_key", "left_semi"),
                  transactions=lk.transactions.join(keys, "member_key", "left_semi"))
-    named = lk.member.select("member_key", norm_text(F.col("first_name")).alias("first"),
-                             norm_text(F.col("last_name")).alias("last"))
-    rows = tie_order(rows.join(named, "member_key", "left"), lk,
-                     holder=any(c.prefer_holder for c in criteria))
+    rows = tie_order(rows, lk, holder=any(c.prefer_holder for c in criteria), names=True)
     entries = []
     seen = set()
     for c in criteria:
@@ -457,8 +459,10 @@ def new_member_keys(unmatched: DataFrame, member: DataFrame, max_key: int | None
         max_key = max_key_value(member, "member_key")
     groups = tagged.filter(F.col("_group").isNotNull()).select("_group").distinct()
     keys = generate_sequence(groups, "member_key", [F.col("_group")], max_key)
-    return (tagged.join(keys, "_group", "left").drop("_group")
-            .withColumn("member_key", F.coalesce("member_key", F.lit(UNKNOWN_KEY).cast("bigint"))))
+    # rows without a rule would all meet in one task of the join
+    ruled = tagged.filter(F.col("_group").isNotNull()).join(keys, "_group").drop("_group")
+    other = tagged.filter(F.col("_group").isNull()).drop("_group").withColumn("member_key", F.lit(UNKNOWN_KEY).cast("bigint"))
+    return ruled.unionByName(other)
 
 
 # ---------------------------------------------------------------- record info
@@ -493,7 +497,8 @@ RECORD_INFO_COLUMNS = ["has_name", "has_address", "has_email", "has_phone", "has
 def record_info_key(df: DataFrame, record_info: DataFrame, card_type: DataFrame | None = None) -> DataFrame:
     if card_type is not None and {"tender_number", "tender_type"} <= set(df.columns):
         types = card_type.filter("status = 'current'").select(
-            F.col("tender_type_code").alias("tender_type"), "is_plcc", "is_credit_card")
+            F.col("tender_type_code").alias("tender_type"), "is_plcc", "is_credit_card").groupBy("tender_type").agg(
+            F.max("is_plcc").alias("is_plcc"), F.max("is_credit_card").alias("is_credit_card"))
         df = df.join(broadcast_if_small(types), "tender_type", "left")
     dim = record_info.select(F.concat(*[F.upper(F.trim(c)) for c in RECORD_INFO_COLUMNS]).alias("_flags"), "record_info_key")
     # the dimension has one row per flag combination: 512 at most

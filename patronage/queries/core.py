@@ -239,7 +239,8 @@ def email_has_bad_chars(w):
 
 @query("df_is_empty", "is_empty boolean", "select count(*) = 0 as is_empty from w_member where member_key < 0")
 def df_is_empty(w):
-    return w.member.filter("member_key < 0").agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+    none = fi.df_is_empty(w.member.filter("member_key < 0"))
+    return w.spark.range(1).select(F.lit(none).alias("is_empty"))
 
 
 @query("current_only", "member_key bigint, batch_id string", """
