@@ -165,11 +165,14 @@ def enrich_sms(w):
     return en.sms(w.enr, w.multi_phone)
 
 
-@query("enrich_dm_consent", "member_key bigint, direct_mail_consent string, direct_mail_consent_date date", """
+DM_CONSENT = """
   select m.member_key, case when m.direct_mail_consent = c.consent_value then m.direct_mail_consent else c.consent_value end as direct_mail_consent,
     case when m.direct_mail_consent = c.consent_value then m.direct_mail_consent_date else c.consent_date end as direct_mail_consent_date
   from w_enr m left join (select * from (select *, row_number() over (partition by member_key order by consent_date desc, consent_value) as rn from w_consent
-    where consent_type = 'DM') x where rn = 1) c on c.member_key = m.member_key""")
+    where consent_type = 'DM') x where rn = 1) c on c.member_key = m.member_key"""
+
+
+@query("enrich_dm_consent", "member_key bigint, direct_mail_consent string, direct_mail_consent_date date", DM_CONSENT)
 def enrich_dm_consent(w):
     return en.dm_consent(w.enr, w.consent)
 
@@ -256,12 +259,20 @@ def enrich_plcc(w):
     return en.plcc(w.enr, w.plcards, DAY)
 
 
+# columns of w_enr that the steps may change
+STORED = ["valid_email", "email_address", "email_consent", "email_consent_date", "direct_mail_consent", "direct_mail_consent_date", "is_dm_marketable",
+          "is_em_marketable", "is_sms_marketable", "record_type", "first_trxn_date", "first_trxn_store_key", "last_store_purch_date",
+          "last_web_purch_date", "household_key", "is_plcc", "member_status"]
+
+
 @query("enrich_member", "member_key bigint, email_address string, phone_nbr bigint, is_dm_marketable string, is_em_marketable string, is_sms_marketable string, record_type string, "
        "first_trxn_date date, preferred_store_key bigint, closest_store_key bigint, preferred_store_state string, household_key bigint, best_household_member string, is_loyalty_member string, "
-       "global_opt_out string, cm_gender_merch_descr string, current_tier_key bigint, is_plcc string, member_status string, first_trxn_date_key bigint", f"""
+       "global_opt_out string, cm_gender_merch_descr string, current_tier_key bigint, is_plcc string, member_status string, first_trxn_date_key bigint, action_flag string", f"""
   with x as (select m.*, coalesce(b.email_address, m.email_address) as mail, k.dm, k.em, case when m.member_key in (select member_key from w_multi_phone where lower(phone_consent) = 'yes') then 'YES' else 'NO' end as sms,
-      coalesce(h.household_key, -1) as hk from w_enr m left join o_mail b on b.member_key = m.member_key left join o_market k on k.member_key = m.member_key left join o_hhm h on h.member_key = m.member_key)
-  select m.member_key, mail as email_address, p.phone_number as phone_nbr, dm as is_dm_marketable, em as is_em_marketable, sms as is_sms_marketable,
+      coalesce(h.household_key, -1) as hk, case when b.valid_email = 'YES' then 'YES' else 'NO' end as ve, case when b.email_consent = 'YES' then 'YES' else 'NO' end as ec,
+      coalesce(b.consent_date, m.email_consent_date) as ed from w_enr m left join o_mail b on b.member_key = m.member_key left join o_market k on k.member_key = m.member_key left join o_hhm h on h.member_key = m.member_key)
+  , y as (select m.member_key, mail as email_address, ve as valid_email, ec as email_consent, ed as email_consent_date, dc.direct_mail_consent, dc.direct_mail_consent_date,
+    f.first_trxn_store_key, f.last_store_purch_date, f.last_web_purch_date, p.phone_number as phone_nbr, dm as is_dm_marketable, em as is_em_marketable, sms as is_sms_marketable,
     {AUDIENCE.format(mk="dm = 'YES' or em = 'YES' or sms = 'YES'")} as record_type, f.first_trxn_date, d.pref as preferred_store_key, d.k1 as closest_store_key, d.preferred_store_state, hk as household_key,
     case when m.member_key in (select member_key from o_besthh) then 'YES' else 'NO' end as best_household_member, case when trim(loyalty_id) <> '' then 'YES' else 'NO' end as is_loyalty_member,
     case when hk <> -1 and hk in (select household_key from w_work_kill_list) then 'YES' end as global_opt_out, g as cm_gender_merch_descr, t.tier_key as current_tier_key,
@@ -269,7 +280,9 @@ def enrich_plcc(w):
     case upper(trim(member_status)) when '1' then 'ACTIVE' when 'ACTIVE' then 'ACTIVE' when '3' then 'CLOSED' when 'MERGED' then 'MERGED' end as member_status, coalesce(dd.date_key, -1) as first_trxn_date_key
   from x m left join w_src s on s.source_key = m.current_source_key left join o_phone_best p on p.member_key = m.member_key left join ({TRXN_FLAGS}) f on f.member_key = m.member_key
   left join (select *, {STATES} from o_dist) d on d.member_key = m.member_key left join o_gender o on o.member_key = m.member_key left join o_tier t on t.member_key = m.member_key
-  left join o_plccard c on c.member_key = m.member_key left join w_date dd on dd.sdate = f.first_trxn_date""", headline=True)
+  left join o_plccard c on c.member_key = m.member_key left join w_date dd on dd.sdate = f.first_trxn_date left join ({DM_CONSENT}) dc on dc.member_key = m.member_key)
+  select y.*, case when {' and '.join(f'y.{c} is not distinct from e.{c}' for c in en.ENRICHED if c in STORED)} then 'NC' else 'U' end as action_flag
+  from y join w_enr e on e.member_key = y.member_key""", headline=True)
 def enrich_member(w):
     return en.enrich_member(w.enr, w.mail, w.multi_phone, w.consent, lines(w), w.store, w.product, w.src, _hhm(w), w.scoring, w.work_kill_list,
                             w.tierhist, w.tiernames, w.plcards, w.date, ["first_trxn_date", "last_store_purch_date"], WEB_STORES, DAY)
