@@ -16,26 +16,15 @@ from ..operators.skew import join_back
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
 from . import consent
-
-# ---- fixed values: feed columns that have another name in the member table ------
-META_RENAMES = {"source_key": "current_source_key", "match_key": "match_type_key"}
-FEED_MAPPINGS = {
-    "employee": {"address": "address1", "zip": "zip_code"},
-    "till": {"address_line_1": "address1", "address_line_2": "address2", "non_usa_postal_code": "non_us_postal_code",
-             "country": "country_code", "loyalty": "loyalty_id", "customer_number": "ecommerce_customer_nbr"},
-    "card_statement": {"street_address": "address1", "zip_plus_4": "zip4", "do_not_direct_mail": "direct_mail_consent",
-                       "account_open_date": "direct_mail_consent_date",
-                       "do_not_statement_insert": "ads_do_not_statement_insert", "do_not_sell_name": "ads_do_not_sell_name",
-                       "spam_indicator": "ads_spam_indicator", "email_change_date": "ads_email_change_date",
-                       "return_mail_indicator": "ads_return_mail_ind", "mobile_phone": "phone_nbr"},
-}
-FEED_DERIVED = {"till": {"gender": "case when gender = '' then null else gender end"}}
+from .feed_maps import FEED_DERIVED, FEED_MAPPINGS, META_RENAMES
 
 
 def column_mapping(rows: DataFrame, feed: str) -> DataFrame:
-    """Feed columns under their member names, then the feed's derived columns."""
+    """Feed columns under their member names, then the feed's derived columns, as far as the
+    rows have what they are made of."""
     out = rename_columns(rows, {**FEED_MAPPINGS[feed], **META_RENAMES})
-    return apply_expressions(out, FEED_DERIVED.get(feed, {}))
+    have = set(out.columns) | ({"member_source"} if "lw_enrollment_source_key" in out.columns else set())
+    return apply_expressions(out, {n: e for n, e in FEED_DERIVED.get(feed, {}).items() if n in have})
 
 
 def merge_member_info(rows: DataFrame, date: str, tiebreak: str, key: str = "member_key") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.sets import union_all
 from ..operators.staging import stage
 from ..plans import consent as cs, transform as tf
+from ..plans.feed_maps import FEED_DERIVED, FEED_MAPPINGS
 from ..registry import CHECK_VIEWS, query
 from ..warehouse import INLINE, VIEWS
 
@@ -54,6 +55,42 @@ def column_mapping(w):
     return tf.column_mapping(w.cm_rows, "till")
 
 
+# every feed column takes its value from the row number and its place in the feed
+MAP_VALUES = ["''", "'1'", "'NULL'", "'Y'", "'0'", "'3'", "'text'", "null"]
+
+
+def _feed_value(i: int) -> str:
+    arms = " ".join(f"when {k} then {v}" for k, v in enumerate(MAP_VALUES))
+    return f"case (cast(substr(etl_unique_id, 2, 9) as int) + {i}) % {len(MAP_VALUES)} {arms} end"
+
+
+def _feed_check(feed: str) -> str:
+    """Renamed columns and derived ones, as rows (feed, name, value), from the maps as data."""
+    names = FEED_MAPPINGS[feed] | ({"gender": "gender"} if feed in ("till", "rental_experian") else {})
+    inner = ", ".join(f"{_feed_value(i)} as {new}" for i, new in enumerate(names.values()))
+    made = FEED_DERIVED.get(feed, {})
+    outer = ", ".join(f"{made.get(n, n)} as {n}" for n in [*names.values(), *[n for n in made if n not in names.values()]])
+    cols = [*names.values(), *[n for n in made if n not in names.values()]]
+    texts = ", ".join(f"'{n}'" for n in cols)
+    return f"select '{feed}' as feed, unnest([{texts}]) as name, unnest([{', '.join(cols)}]) as value from (select {outer} from (select {inner} from w_cm_rows) a) b"
+
+
+@query("feed_mappings", "feed string, name string, filled bigint, kinds bigint, least string, most string", f"""
+  select feed, name, count(value) as filled, count(distinct value) as kinds, min(value) as least, max(value) as most
+  from ({" union all ".join(_feed_check(f) for f in FEED_MAPPINGS)}) x group by feed, name""")
+def feed_mappings(w):
+    """All sixteen feeds through their maps, a line for each member column."""
+    out = []
+    for feed, names in FEED_MAPPINGS.items():
+        given = [*names, *(["gender"] if feed in ("till", "rental_experian") else [])]
+        rows = w.cm_rows.select(*[F.expr(_feed_value(i)).cast("string").alias(c) for i, c in enumerate(given)])
+        mapped = tf.column_mapping(rows, feed)
+        out.append(mapped.select(F.lit(feed).alias("feed"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in mapped.columns])).alias("x")).select("feed", "x.*"))
+    return (union_all(out).groupBy("feed", "name").agg(F.count("value").alias("filled"), F.countDistinct("value").alias("kinds"),
+                                                       F.min("value").alias("least"), F.max("value").alias("most")))
+
+
 @query("merge_member_info", "member_key bigint, first_name string, address_line_1 string, gender string, source_key int", """
   select member_key, coalesce(arg_min(first_name, (-date_diff('day', date '1900-01-01', transaction_date_iso), etl_unique_id)) filter (where length(first_name) > 0)) as first_name,
     arg_min(address_line_1, (-date_diff('day', date '1900-01-01', transaction_date_iso), etl_unique_id)) filter (where length(address_line_1) > 0) as address_line_1,
