@@ -125,14 +125,7 @@ def ads600_merge(w):
     return fd.merge_statement(w.statement, w.authorised)
 
 
-CHECK_VIEWS["o_st_rows"] = """
-select distinct etl_unique_id || case when phone is null then '' else '|' || phone end as rid, * from (
-  select etl_unique_id, tender_number, tender_type, first_name, last_name, address_line_1, zip_code, email_address, unnest([home_phone, mobile_phone]) as phone from w_statement
-  union all select etl_unique_id, tender_number, null, first_name, last_name, null, null, null, phone from w_authorised where tender_number not in (select tender_number from w_statement)) x
-"""
-
-
-@query("feed_ads600", "etl_unique_id string, match_status boolean, source_key int")
+@query("feed_ads600", FEED_SCHEMA)
 def feed_ads600(w):
     """Rows only: the same steps as the other card feed, checked on a small fixture in the tests."""
     return fd.card_statement(w.statement, w.authorised, lookups(w), w.record_info, w.card_type)
