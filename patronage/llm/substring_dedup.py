@@ -147,38 +147,54 @@ def _chunk_stretches(piece, ids, firsts, known, hot, n, sent):
     start, count, anchor = start[use], count[use], anchor[use]
     is_hot = np.isin(anchor, hot)
     out: dict[str, list] = {k: [] for k in ("key", "h", "doc_id", "seq", "start", "n", "seg", "again")}
-    last, seq, within = -1, 0, {}
+    plain, begins, ends = w.normal()
+    begins, ends, first_word, doc = begins.tolist(), ends.tolist(), w.first.tolist(), doc.tolist()
+    keys, marks, docs, seqs, places, sizes, segs, agains = out.values()
+    last, seq, within = -1, 0, set()
     for s, c, a, h in zip(start.tolist(), count.tolist(), anchor.view(np.int64).tolist(), is_hot.tolist()):
-        d = int(doc[s])
+        d = doc[s]
         if d != last:
-            last, within = d, {}
-            seq = sequence_key(hashlib.sha256(w.joined(w.first[d], w.first[d + 1])).digest())
+            last, within = d, set()
+            seq = sequence_key(hashlib.sha256(plain[begins[first_word[d]]:ends[first_word[d + 1] - 1]]).digest())
         if seq not in firsts[d]:
             continue  # an earlier document has the same words
         for s, size in ([(x, n) for x in range(s, s + c)] if h else [(s, c + n - 1)]):
-            seg = w.joined(s, s + size)
+            seg = plain[begins[s]:ends[s + size - 1]]
             mark = int.from_bytes(hashlib.blake2b(seg, digest_size=8).digest(), "big", signed=True)
             again = mark in within
-            within[mark] = True
+            within.add(mark)
             new = not again and mark not in sent
             if new:
                 if len(sent) > 2_000_000:
                     sent.clear()
                 sent.add(mark)
-            for k, v in zip(out, (mark if h else a, mark, ids[d], seq, s - int(w.first[d]), size, seg.decode("utf-8", "replace") if new else None, again)):
-                out[k].append(v)
+            keys.append(mark if h else a)
+            marks.append(mark)
+            docs.append(ids[d])
+            seqs.append(seq)
+            places.append(s - first_word[d])
+            sizes.append(size)
+            segs.append(seg if new else None)
+            agains.append(again)
     if out["key"]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.bool_())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
 
-STRETCH = "key long, h long, doc_id long, seq long, start long, n int, seg string, again boolean"
+STRETCH = "key long, h long, doc_id long, seq long, start long, n int, seg binary, again boolean"
 
 
 def _search(n: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
-        segs = [s.encode().split(b" ") for s in table.column("seg").to_pylist()]
+        segs = [s.split(b" ") for s in table.column("seg").to_pylist()]
+        # the only stretch of its anchor meets no other; it is searched if it may repeat itself
+        key = table.column("key").to_numpy()
+        _, of, many = np.unique(key, return_inverse=True, return_counts=True)
+        use = np.flatnonzero([m > 1 or n < 3 or len(set(zip(s, s[1:], s[2:]))) < len(s) - 2 for m, s in zip(many[of].tolist(), segs)])
+        table, segs = table.take(pa.array(use)), [segs[i] for i in use]
+        if not segs:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "seq", "low", "high")})
         codes: dict[bytes, int] = {}
         sizes = np.array([len(s) for s in segs], np.int64)
         flat = np.fromiter((codes.setdefault(x, len(codes) + 1) for s in segs for x in s), np.int64, int(sizes.sum()))
@@ -239,7 +255,7 @@ def repeated_spans(docs: DataFrame, profile: DataFrame, n: int) -> DataFrame:
                    .mapInArrow(_stretch_rows(n), STRETCH), "stretches")
     first = staged(parts.filter(~F.col("again")).groupBy("key", "h").agg(
         F.min("doc_id").alias("doc_id"), F.min_by("start", "doc_id").alias("start"), F.min_by("seq", "doc_id").alias("seq"),
-        F.max("n").alias("n"), F.max("seg").alias("seg")), "first-stretches")
+        F.max("n").alias("n"), F.first("seg", ignorenulls=True).alias("seg")), "first-stretches")
     # every later occurrence of a stretch goes as a whole
     place = first.select("key", "h", F.col("doc_id").alias("d"))
     whole = (parts.select("key", "h", "doc_id", "seq", "start", "n", "again").join(place, ["key", "h"])
@@ -247,7 +263,7 @@ def repeated_spans(docs: DataFrame, profile: DataFrame, n: int) -> DataFrame:
              .select("doc_id", "seq", F.col("start").alias("low"), (F.col("start") + F.col("n")).alias("high")))
     total = first.agg(F.sum("n")).first()[0] or 0
     shard = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // SHARD_WORDS))))
-    inner = (first.select("doc_id", "seq", "start", "seg", shard.alias("shard")).groupBy("shard")
+    inner = (first.select("key", "doc_id", "seq", "start", "seg", shard.alias("shard")).groupBy("shard")
              .applyInArrow(_search(n), "doc_id long, seq long, low long, high long"))
     return whole.unionByName(inner)
 

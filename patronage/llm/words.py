@@ -60,6 +60,17 @@ class Words:
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.first[i]:self.first[i + 1]]
 
+    def normal(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words of the chunk joined by single blanks, with the place of each word in it."""
+        lengths = self.ends - self.starts
+        after = np.cumsum(lengths + 1)
+        at = after - lengths - 1
+        out = np.full(int(after[-1]) if len(after) else 0, 32, np.uint8)
+        shift = np.repeat(at - self.starts, lengths)
+        inside = np.arange(len(shift)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(self.starts, lengths)
+        out[inside + shift] = self.data[inside]
+        return out.tobytes(), at, at + lengths
+
     def joined(self, a: int, b: int) -> bytes:
         """Words number a to b (not included) of the chunk, joined by single blanks."""
         return b" ".join(self.data[s:e].tobytes() for s, e in zip(self.starts[a:b], self.ends[a:b]))
