@@ -9,9 +9,11 @@ of all elements in that part, and similar sets share a signature.
 * The number of parts depends on the size band of the smaller set. A set takes part in its
   own band and, where it may be the larger partner of a set of the band below, in that too.
 * m(a) = floor((1 - g) / g * a) + 1 is not smaller for the larger set, and both take parts in
-  the same order, so the argument holds although not all parts are listed. Only a set with
-  too few non-empty parts (very rare) adds its first n-grams by hash order, as many as a
-  prefix filter needs; two such sets meet there.
+  the same order, so the argument holds although not all parts are listed. It also holds if
+  parts with few elements, which unlike sets share by chance, are passed over by both.
+* Only a set with too few parts of enough elements also lists its first m(a) non-empty parts,
+  and one with too few of those its first n-grams by hash order, as many as a prefix filter
+  needs; two such sets meet there.
 
 So no link is lost, whatever the data. Equal sets count once: all steps work on one 64-bit
 fingerprint for each distinct set. Sets with a signature in common are candidates and are
@@ -20,6 +22,7 @@ compared exactly, element by element.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -38,8 +41,9 @@ from .words import chunks, mix, runs, words
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BAND = 1.5         # ratio of the largest to the smallest size of a band
+SPARE = 1.3        # parts for each part that must agree
 BLOCK = 1024       # members of one signature that are compared as one block
-LEAST_BINS = 64    # of a sketch
+LEAST_BINS = 256   # of a sketch
 UNITS = 100        # thresholds are whole percents, so that sizes compare exactly
 
 
@@ -94,8 +98,22 @@ def needed(size: int, percent: int) -> int:
     return (UNITS - percent) * size // percent + 1
 
 
-def signatures(s: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
-    """Signatures of one sorted set of hashes."""
+def least_content(percent: int) -> int:
+    """Elements that a part must hold to be listed first: as many as leave enough such parts,
+    at both ends of a band, for sets of average spread."""
+    top = percent / (UNITS - percent) / SPARE  # elements of a part, for the largest sets of a band
+    count = 1
+    while (SPARE * _at_least(count + 1, top) >= 1.04 and SPARE * BAND * _at_least(count + 1, top / BAND) >= 1.04):
+        count += 1
+    return count
+
+
+def _at_least(count: int, mean: float) -> float:
+    return 1 - sum(math.exp(-mean) * mean ** k / math.factorial(k) for k in range(count))
+
+
+def signatures(s: np.ndarray, percent: int, low: np.ndarray, content: int) -> np.ndarray:
+    """Signatures of one sorted set of hashes; content is least_content(percent)."""
     size = len(s)
     band = int(np.searchsorted(low, size, side="right")) - 1
     out = []
@@ -104,12 +122,15 @@ def signatures(s: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
         if b < band and (b < 0 or percent * size > UNITS * top):
             break  # no set of the lower band is large enough
         want = needed(min(size, top), percent)
-        parts = 1 if needed(top, percent) == 1 else needed(top, percent) + 1 + needed(top, percent) // 10
+        parts = 1 if needed(top, percent) == 1 else math.ceil(SPARE * needed(top, percent)) + 2
         part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         salt = np.uint64((b + 1) * 0x632BE59BD9B4E019 & (2 ** 64 - 1))
-        sums = np.add.reduceat(mix(s ^ salt), at)
-        out.append(mix(sums + mix(part[at] + salt))[:want])
+        sums = mix(np.add.reduceat(mix(s ^ salt), at) + mix(part[at] + salt))
+        full = sums[np.diff(np.append(at, size)) >= (content if parts > 1 else 1)]
+        out.append(full[:want])
+        if len(full) < want:
+            out.append(mix(sums[:want] ^ salt))
         if len(at) < want:
             first = size - -(-percent * size // UNITS) + 1
             out.append(mix(s[:first] ^ np.uint64(0xA0761D6478BD642F) ^ salt))
@@ -119,28 +140,18 @@ def signatures(s: np.ndarray, percent: int, low: np.ndarray) -> np.ndarray:
 def _profile(n: int):
     def run(batches):
         for batch in batches:
-            key, size, marks, held, at = [], [], [], 0, 0
-            for i, s in ngram_sets(batch.column(1), n):
+            key, size = [], []
+            for _, s in ngram_sets(batch.column(1), n):
                 size.append(len(s))
                 key.append(fingerprint(s) if len(s) else None)
-                marks.append(sketch(s) if len(s) else None)
-                held += len(s)
-                if held > 2_000_000:
-                    yield _profiles(batch.column(0).slice(at, i + 1 - at), size, key, marks)
-                    key, size, marks, held, at = [], [], [], 0, i + 1
-            if key:
-                yield _profiles(batch.column(0).slice(at), size, key, marks)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.int64())],
+                                             names=["doc_id", "n_shingles", "set_key"])
     return run
 
 
-def _profiles(ids: pa.Array, size: list, key: list, marks: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(marks, pa.binary())],
-                                      names=["doc_id", "n_shingles", "set_key", "sketch"])
-
-
 def _signature_rows(n: int, percent: int):
     def run(batches):
-        low, seen = band_table(1 << 20), set()
+        low, seen, content = band_table(1 << 20), set(), least_content(percent)
         for batch in batches:
             out, keys, held = [], [], 0
             for _, s in ngram_sets(batch.column(0), n):
@@ -149,7 +160,7 @@ def _signature_rows(n: int, percent: int):
                 seen.add(key)
                 if len(s) >= low[-1]:
                     low = band_table(2 * len(s))
-                sig = signatures(s, percent, low)
+                sig = signatures(s, percent, low, content)
                 out.append(sig)
                 keys.append(np.full(len(sig), key, np.int64))
                 held += len(sig)
@@ -187,9 +198,11 @@ def _set_rows(n: int):
 
 
 def _lists(keys: list, sets: list) -> pa.RecordBatch:
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))],
-                                      names=["node", "s"])
+    sizes = [len(s) for s in sets]
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    marks = pa.array([sketch(s.view(np.uint64)) for s in sets], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), marks,
+                                       pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))], names=["node", "size", "sketch", "s"])
 
 
 def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -210,14 +223,14 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     are compared, in blocks, and only pairs that their sketches allow become rows. Copies and hot leaders join on keys that can be split.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(docs.mapInArrow(_profile(n), "doc_id long, n_shingles long, set_key long, sketch binary"), "profile")
+    rows = staged(docs.mapInArrow(_profile(n), "doc_id long, n_shingles long, set_key long"), "profile")
     nodes = staged(rows.filter("set_key is not null").groupBy(F.col("set_key").alias("node")).agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "nodes")
+        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size")), "nodes")
     shared = shared_signatures(docs, n, percent)
     sets = candidate_sets(docs, nodes, shared, n)
     first = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    edges = staged(linked(possible(first, nodes, percent), sets, percent), "links")
-    rest = staged(linked(open_pairs(shared, components(edges), nodes, percent), sets, percent), "links")
+    edges = staged(linked(possible(first, nodes, sets, percent), sets, percent), "links")
+    rest = staged(linked(open_pairs(shared, components(edges), sets, percent), sets, percent), "links")
     roots = components(edges.unionByName(rest))
     rooted = staged(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -228,12 +241,12 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, shared: DataFrame, n: int) -> DataFrame:
-    """(node, s): the sets of all nodes that share a signature with another one, one row each."""
+    """(node, size, sketch, s) of all nodes that share a signature with another one, one row each."""
     involved = staged(shared.select("node").distinct().join(nodes, "node"), "involved")
     ids = broadcast_if_small(involved.select("doc_id").filter("doc_id is not null").distinct())
     texts = docs.join(ids, "doc_id", "left_semi").select("text").unionByName(docs.filter("doc_id is null").select("text"))
-    made = texts.mapInArrow(_set_rows(n), "node long, s array<long>")
-    return staged(made.groupBy("node").agg(F.first("s").alias("s")), "sets")
+    made = texts.mapInArrow(_set_rows(n), "node long, size long, sketch binary, s array<long>")
+    return staged(made.dropDuplicates(["node"]), "sets")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -260,8 +273,8 @@ def shared_signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return staged(join_back(shared.select("sig", "node"), leaders, ["sig"]).select("sig", "node", "leader"), "led")
 
 
-def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that sizes and sketches do not rule out."""
+def possible(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes, and then sketches, do not rule out."""
     def run(batches):
         for t in batches:
             keep = []
@@ -270,14 +283,16 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 keep.append(bool(near(folded([ka], bins)[0], sa, folded([kb], bins), np.array([sb]), percent)[0]))
             yield t.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("sketch").alias("ka"))
-    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("sketch").alias("kb"))
+    size = nodes.select("node", "size")
     fits = UNITS * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")
-    both = pairs.join(left, "a").join(right, "b").filter(fits)
+    sized = (pairs.join(size.select(F.col("node").alias("a"), F.col("size").alias("sa")), "a")
+             .join(size.select(F.col("node").alias("b"), F.col("size").alias("sb")), "b").filter(fits))
+    both = (sized.join(sets.select(F.col("node").alias("a"), F.col("sketch").alias("ka")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("sketch").alias("kb")), "b"))
     return both.select("a", "b", "sa", "ka", "sb", "kb").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a signature and that sizes and sketches do
     not rule out.
 
@@ -291,7 +306,7 @@ def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, percent: i
     kinds = now.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
     main = (kinds.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
                                      F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("kinds > 1").drop("kinds"))
-    now = join_back(now, main, ["sig"]).join(nodes.select("node", "size", "sketch"), "node")
+    now = join_back(now, main, ["sig"]).join(sets.select("node", "size", "sketch"), "node")
     many = F.ceil(F.col("total") / BLOCK)
     odd = F.col("root") != F.col("main")
     member = F.struct("node", "root", odd.alias("odd"), "size", "sketch")
