@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 # The helpers run in Python workers and travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHUNK_BYTES = 1 << 21  # text handled at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 19  # text handled at once; a longer text is a chunk of its own
 BASE = 0x9E3779B97F4A7C15
 SPACE = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 
