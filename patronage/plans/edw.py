@@ -10,8 +10,10 @@ from ..functions.text import decode, is_not_empty, normalize_flag
 from ..operators.columns import null_text_to_empty, strip_delimiter
 from ..operators.filters import after_business_date
 from ..operators.joins import constant_domain
-from ..operators.ranking import latest_per_key, newest, with_key_aggregates
+from ..operators.ranking import latest_per_key, newest
 from ..operators.sizing import broadcast_if_small
+from ..operators.skew import join_back
+from ..operators.staging import stage
 from .facts import WEB_DISTRICT
 
 
@@ -50,7 +52,10 @@ def gender_pref(women: str, men: str) -> Column:
 def _visits(rows: DataFrame, place: str, names: list[str]) -> DataFrame:
     """The places of a member's first and second row by (visits of the place, date): row-wise,
     so both may be the same place, as in the reference."""
-    counted = with_key_aggregates(rows.select("member_key", "trxn_id", "trxn_date", place), ["member_key", place], _n=F.count(F.lit(1)))
+    rows, key = rows.select("member_key", "trxn_id", "trxn_date", place), ["member_key", place]
+    # a place can bring no more than its newest rows: all others are only counted
+    last = latest_per_key(rows, key, [F.col("trxn_date").desc(), F.col("trxn_id")], n=len(names))
+    counted = join_back(last, rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key)
     top = latest_per_key(counted, "member_key", [F.col("_n").desc(), F.col("trxn_date").desc(), F.col(place).asc_nulls_last(), F.col("trxn_id")],
                          n=len(names), rank_col="_r")
     return top.groupBy("member_key").agg(*[F.max(F.when(F.col("_r") == i + 1, F.col(place))).alias(n) for i, n in enumerate(names)])
@@ -70,7 +75,11 @@ def shopping(summary: DataFrame, orders: DataFrame, stores: DataFrame, on) -> Da
     real = F.when(F.upper("demandloc") != "NULL", F.col("demandloc"))
     rows = rows.withColumn("_place", F.when(kind == "RETAIL", F.coalesce(real, F.col("store_id").cast("string"))))
     recent = F.col("trxn_date") >= F.add_months(day, -12)
-    sums = [F.sum(c).alias(f"_{c}") for c in ("w_units", "m_units", "w_amount_after_discount", "m_amount_after_discount")]
+    totals = ["w_units", "m_units", "w_amount_after_discount", "m_amount_after_discount"]
+    # one scan of the summary and the orders; all periods and places read these few columns
+    rows = stage(rows.select("member_key", "trxn_id", "trxn_date", "_place", "zone_code", kind.alias("_kind"), bought.alias("_bought"), *totals))
+    kind, bought = F.col("_kind"), F.col("_bought")
+    sums = [F.sum(c).alias(f"_{c}") for c in totals]
     agg = rows.groupBy("member_key").agg(
         F.max(F.when(kind == "RETAIL", bought)).alias("last_store_trxn_date"), F.max(F.when(kind == "WEB", bought)).alias("last_web_trxn_date"),
         F.min(F.when(F.col("trxn_date") >= F.add_months(day, -24), F.col("trxn_date"))).alias("brand_first_trxn_date"), *sums)
