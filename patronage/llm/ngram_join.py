@@ -42,6 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BAND = 1.5         # ratio of the largest to the smallest size of a band
 SPARE = 1.3        # parts for each part that must agree
+SMALL = 16         # members of one signature that are paired without blocks
 BLOCK = 1024       # members of one signature that are compared as one block
 LEAST_BINS = 256   # of a sketch
 UNITS = 100        # thresholds are whole percents, so that sizes compare exactly
@@ -230,7 +231,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     sets = candidate_sets(docs, nodes, shared, n)
     first = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     edges = staged(linked(possible(first, nodes, sets, percent), sets, percent), "links")
-    rest = staged(linked(open_pairs(shared, components(edges), sets, percent), sets, percent), "links")
+    rest = staged(linked(open_pairs(shared, components(edges), nodes, sets, percent), sets, percent), "links")
     roots = components(edges.unionByName(rest))
     rooted = staged(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -292,13 +293,14 @@ def possible(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return both.select("a", "b", "sa", "ka", "sb", "kb").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a signature and that sizes and sketches do
     not rule out.
 
     A signature whose members have one root needs nothing. Otherwise all its members outside
-    the largest component there meet the members of other components, as blocks of about
-    BLOCK members that are compared as arrays: only pairs that may be similar become rows,
+    the largest component there meet the members of other components. Up to SMALL members are
+    paired in their row, and a pair of several signatures is compared once. More are compared
+    as blocks of about BLOCK members in arrays: only pairs that may be similar become rows,
     and a signature with very many members is many blocks.
     """
     now = shared.select("sig", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -306,9 +308,15 @@ def open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: in
     kinds = now.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
     main = (kinds.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
                                      F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("kinds > 1").drop("kinds"))
-    now = join_back(now, main, ["sig"]).join(sets.select("node", "size", "sketch"), "node")
-    many = F.ceil(F.col("total") / BLOCK)
+    now = staged(join_back(now, main, ["sig"]).select("sig", "node", "root", "main", "total"), "open")
     odd = F.col("root") != F.col("main")
+    few = now.filter(F.col("total") <= SMALL).groupBy("sig").agg(F.collect_list(F.struct("node", "root", odd.alias("odd"))).alias("m"))
+    met = F.flatten(F.transform(F.filter("m", lambda x: x["odd"]), lambda x: F.transform(
+        F.filter("m", lambda y: (x["root"] != y["root"]) & (~y["odd"] | (x["node"] < y["node"]))),
+        lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")))))
+    paired = possible(few.select(F.explode(met).alias("p")).select("p.*").distinct(), nodes, sets, percent)
+    now = now.filter(F.col("total") > SMALL).join(sets.select("node", "size", "sketch"), "node")
+    many = F.ceil(F.col("total") / BLOCK)
     member = F.struct("node", "root", odd.alias("odd"), "size", "sketch")
     blocks = staged(now.groupBy("sig", F.pmod(F.xxhash64("node"), many).alias("block"))
                     .agg(F.collect_list(member).alias("m")), "blocks")
@@ -334,7 +342,7 @@ def open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: in
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     met = seekers.join(blocks.select("sig", F.col("m").alias("y")), "sig").select("x", "y").mapInArrow(run, "a long, b long")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return paired.unionByName(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def without_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
