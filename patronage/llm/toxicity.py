@@ -44,7 +44,8 @@ LEAST_SHARE = 0.9        # share of toxic texts among those that it occurs in
 SCOPE = 3                # words that a negation reaches
 CLASSES = ("insult", "insult.at", "insult.neg", "insult.rep", "threat", "threat.at", "threat.neg", "threat.rep")
 FACTORS = np.array([1, 1.5, 0.4, 0.4, 0.3, 1.5, 0.2, 0.3])  # strength of each class before the fit
-CACHE = 300_000
+CACHE = 50_000           # words whose class is remembered
+COUNTED = 100_000        # words that a task counts before it hands them on
 
 
 @dataclass(frozen=True)
@@ -226,13 +227,14 @@ def _count_words(batches):
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
                                            pa.array([count[k] for k in keys], pa.int64())], names=["w", "y", "n"])
     for b in batches:
-        for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            own = set(WORD.findall(text.lower()))
-            own |= {w[:n] + "*" for w in list(own) for n in STEMS if len(w) >= n}
-            count.update((w, y) for w in own)
-            if len(count) > 500_000:
-                yield rows()
-                count.clear()
+        for lo, hi, piece in chunks(b.column(0)):
+            for text, y in zip(piece.to_pylist(), b.column(1).slice(lo, hi - lo).to_pylist()):
+                own = set(WORD.findall(text.lower()))
+                own |= {w[:n] + "*" for w in list(own) for n in STEMS if len(w) >= n}
+                count.update((w, y) for w in own)
+                if len(count) > COUNTED:
+                    yield rows()
+                    count.clear()
     if count:
         yield rows()
 
@@ -240,7 +242,7 @@ def _count_words(batches):
 def _feature_rows(model: Model):
     def run(batches):
         for b in batches:
-            x = [model.features(t)[0].tolist() for t in b.column(0).to_pylist()]
+            x = [model.features(t)[0].tolist() for _, _, piece in chunks(b.column(0)) for t in piece.to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
     return run
 
@@ -282,6 +284,7 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFram
 def _keep(model: Model, limit: float, at: int):
     def run(batches):
         for b in batches:
-            keep = [model.score(model.features(t or "")[0]) < limit for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            for lo, hi, piece in chunks(b.column(at)):
+                keep = [model.score(model.features(t)[0]) < limit for t in piece.to_pylist()]
+                yield b.slice(lo, hi - lo).filter(pa.array(keep, pa.bool_()))
     return run

@@ -77,16 +77,16 @@ class Words:
 
 
 def chunks(texts: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, pa.Array]]:
-    """(from, to, texts) in pieces of about `limit` bytes; nulls become empty texts."""
+    """(from, to, texts) in pieces of about `limit` bytes; nulls become empty texts. Only the
+    piece is copied, never the whole column."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    n = len(texts)
-    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1] if n else np.zeros(1, np.int64)
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    n, at = len(texts), np.concatenate([[0], np.cumsum(size)])
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(at, at[i] + limit, side="right")) - 1)
-        yield i, j, texts.slice(i, j - i)
+        yield i, j, pc.fill_null(texts.slice(i, j - i).cast(pa.large_string()), "")
         i = j
 
 
