@@ -7,13 +7,14 @@ and the slots agree: within a match, equal values of the item stand for equal va
 document and different ones for different ones.
 
 Every text also has windows without placeholders for names, in small letters: leaks whose
-letter case has changed are met by those.
+letter case has changed are met by those. A third form takes capitals at the start of a
+sentence for names too: a changed name that opens a sentence is met by that.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ UNITS = ("mm cm m km in inch inches ft feet foot yd yard yards mile miles mg g k
          "years percent degrees dollars dollar cents cent euro euros usd eur kmh mph w kw kwh v hz gb mb kb").split()
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F))
 
+# Forms of a template: names inside sentences are slots, no names are, capitals that open a sentence are as well
+NAMES, PLAIN, OPENING = FORMS = range(3)
+
 KINDS = np.zeros(256, np.uint8)  # 1 letter, 2 digit, 0 anything else
 KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 KINDS[48:58] = 2
@@ -48,9 +52,9 @@ def unit_hashes() -> np.ndarray:
     return np.sort(tokens(pa.array([" ".join(UNITS)], pa.large_string()), KINDS, lower=True).hashes)
 
 
-def templates(piece: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, template, values, is_slot) twice for each text: with all placeholders, and with
-    numbers and units only. Neighbouring numbers are one slot, and so are neighbouring names."""
+def templates(piece: pa.Array, forms: Iterable[int] = (NAMES, PLAIN)) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, template, values, is_slot) for each form and text. Neighbouring numbers are one
+    slot, and so are neighbouring names of one sentence."""
     w = tokens(pc.utf8_lower(piece), KINDS)
     first = tokens(piece, KINDS)  # same tokens: letters stay letters in lower case
     count = len(w.hashes)
@@ -68,16 +72,16 @@ def templates(piece: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
     fresh = opens | (stops[w.starts] > stops[np.concatenate([[0], w.ends[:-1]])])
     byte, second = first.data[first.starts], first.data[np.minimum(first.starts + 1, len(first.data) - 1)]
     capital = ((byte >= 65) & (byte <= 90)) | ((byte == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    name = capital & ~fresh & ~number
-    for names in (True, False):
+    for form in forms:
         template = w.hashes.copy()
         template[number], template[unit] = NUMBER, UNIT
         slot = number | unit
         again = after & number
-        if names:
+        if form != PLAIN:
+            name = capital & ~number if form == OPENING else capital & ~fresh & ~number
             template[name] = NAME
             slot = slot | name
-            again = again | (name & np.concatenate([[False], name[:-1]]) & ~opens)
+            again = again | (name & np.concatenate([[False], name[:-1]]) & ~fresh)
         kept = ~again
         # the value of a slot also covers the tokens that were merged into it
         values = np.add.reduceat(mix(w.hashes + np.uint64(BASE)), np.flatnonzero(kept)) if not kept.all() else mix(w.hashes + np.uint64(BASE))
@@ -100,7 +104,7 @@ def _item_rows(batches):
         ids, text = b.column(0).to_pylist(), b.column(1)
         out: dict[str, list] = {k: [] for k in ("item_id", "n", "at", "h", "v")}
         for lo, hi, piece in chunks(text):
-            for form, (i, t, v, s) in enumerate(templates(piece)):
+            for form, (i, t, v, s) in enumerate(templates(piece, FORMS)):
                 n = min(WINDOW, len(t))
                 h, good = windows(t, s, n)
                 for k in np.flatnonzero(good):
@@ -125,14 +129,14 @@ def _doc_rows(bits: bytes, sizes: list[int]):
             for lo, hi, piece in chunks(b.column(1)):
                 ids = b.column(0).slice(lo, hi - lo).to_pylist()
                 doc, place, key, value, seen = [], [], [], [], {}
-                for i, t, v, s in templates(piece):
+                for i, t, v, s in templates(piece, FORMS):
                     for n in sizes:
                         if len(t) < n:
                             continue
                         h, good = windows(t, s, n)
                         for k in np.flatnonzero(good & table[h & mask]):
                             if seen.get((i, n, int(h[k]))) == k:
-                                continue  # both forms of the text have this window
+                                continue  # another form of the text has this window
                             seen[i, n, int(h[k])] = k
                             doc.append(ids[i])
                             place.append(int(k))

@@ -71,3 +71,12 @@ def test_templates():
     assert len(values) == len(names) == len(slots)
     assert (names == dc.NUMBER).sum() == 2 and (names == dc.UNIT).sum() == 2 and (names == dc.NAME).sum() == 2
     assert not (plain == dc.NAME).any()
+
+
+def test_names_that_open_sentences(spark, documents):
+    """A changed name is met where it starts a sentence, too."""
+    item = [(1, "Tom has 5 apples and 3 pears. Tom gives 2 apples to Ann.")]
+    rows = [(1, "Read this. " + item[0][1].replace("Tom", "Sam")), (2, FILL + item[0][1].replace("Tom", "Sam").replace("Ann", "Mary Lee") + " Next one"),
+            (3, item[0][1].replace("apples", "plums").replace("pears", "nuts"))]
+    got = found(spark, documents, rows, item)
+    assert set(got) == {(1, 1), (2, 1)} and got[1, 1].n_changed == 1
