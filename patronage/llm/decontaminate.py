@@ -102,18 +102,21 @@ def windows(template: np.ndarray, slot: np.ndarray, n: int) -> tuple[np.ndarray,
 def _item_rows(batches):
     for b in batches:
         ids, text = b.column(0).to_pylist(), b.column(1)
-        out: dict[str, list] = {k: [] for k in ("item_id", "n", "at", "h", "v")}
+        out: dict[str, list] = {k: [] for k in ("item_id", "form", "n", "at", "h", "v")}
         for lo, hi, piece in chunks(text):
-            for form, (i, t, v, s) in enumerate(templates(piece, FORMS)):
-                n = min(WINDOW, len(t))
-                h, good = windows(t, s, n)
-                for k in np.flatnonzero(good):
-                    out["item_id"].append(ids[lo + i])
-                    out["n"].append(n)
-                    out["at"].append(int(k))
-                    out["h"].append(int(h[k].view(np.int64)))
-                    out["v"].append(_slots(v, s, k, n))
-        yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["at"], pa.int32()),
+            for form in FORMS:
+                for i, t, v, s in templates(piece, (form,)):
+                    n = min(WINDOW, len(t))
+                    h, good = windows(t, s, n)
+                    for k in np.flatnonzero(good):
+                        out["item_id"].append(ids[lo + i])
+                        out["form"].append(form)
+                        out["n"].append(n)
+                        out["at"].append(int(k))
+                        out["h"].append(int(h[k].view(np.int64)))
+                        out["v"].append(_slots(v, s, k, n))
+        yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.int64()), pa.array(out["form"], pa.int32()),
+                                          pa.array(out["n"], pa.int32()), pa.array(out["at"], pa.int32()),
                                           pa.array(out["h"], pa.int64()), pa.array(out["v"], pa.list_(pa.int64()))], names=list(out))
 
 
@@ -156,12 +159,12 @@ def _bit_rows(batches):
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, n, at, h, v, total): distinct windows of each item, with the values of their
-    slots, and the number of places that the item's windows start at."""
+    """(item_id, form, n, at, h, v, total): distinct windows of each form of an item, with the
+    values of their slots, and the number of places that the form's windows start at."""
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).dropna()
-    rows = staged(rows.mapInArrow(_item_rows, "item_id long, n int, at int, h long, v array<long>").distinct(), "items")
-    total = rows.groupBy("item_id").agg(F.countDistinct("at").alias("total"))
-    return staged(rows.join(total, "item_id"), "items-total")
+    rows = staged(rows.mapInArrow(_item_rows, "item_id long, form int, n int, at int, h long, v array<long>").distinct(), "items")
+    total = rows.groupBy("item_id", "form").agg(F.countDistinct("at").alias("total"))
+    return staged(rows.join(total, ["item_id", "form"]), "items-total")
 
 
 def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -169,7 +172,7 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
 
     n_windows counts the places of the item whose window is found with consistent slots;
     coverage is their share of all places; n_changed counts item values that the document
-    replaces. Null, empty and blank texts hold nothing and an item without a window of enough
+    replaces. All three are those of the form of the item that the document covers best. Null, empty and blank texts hold nothing and an item without a window of enough
     literal tokens is never found. Repeated rows of a document count once. A null doc_id or
     item_id has no row. Other columns are ignored.
 
@@ -188,17 +191,18 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     found = rows.mapInArrow(_doc_rows(bits.tobytes(), sizes), "doc_id long, place long, h long, u array<long>")
     # windows that pass the bit table by chance are joined away
     met = found.join(known, "h").filter(F.size("u") == F.size("v"))
-    met = staged(met.select("doc_id", "item_id", "total", "at", (F.col("place") - F.col("at")).alias("line"), "u", "v"), "met")
-    lines = ["doc_id", "item_id", "line"]
+    met = staged(met.select("doc_id", "item_id", "form", "total", "at", (F.col("place") - F.col("at")).alias("line"), "u", "v"), "met")
+    lines = ["doc_id", "item_id", "form", "line"]
     pairs = met.select(*lines, F.explode(F.arrays_zip("u", "v")).alias("p")).select(*lines, "p.u", "p.v")
     agree = pairs.groupBy(*lines).agg(F.countDistinct("u").alias("us"), F.countDistinct("v").alias("vs"),
                                       F.countDistinct("u", "v").alias("both"), F.countDistinct(F.when(F.col("u") != F.col("v"), F.col("v"))).alias("changed"))
     bad = agree.filter("us <> both or vs <> both")
     good = met.join(bad, lines, "left_anti").join(agree.select(*lines, "changed"), lines, "left")
-    return (good.groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("n_windows"), F.first("total").alias("total"),
-                                                  F.coalesce(F.max("changed"), F.lit(0)).alias("n_changed"))
-            .withColumn("coverage", F.col("n_windows") / F.col("total")).filter(F.col("coverage") >= coverage)
-            .select("doc_id", "item_id", "n_windows", "coverage", "n_changed"))
+    forms = good.groupBy("doc_id", "item_id", "form").agg(F.countDistinct("at").alias("n_windows"), F.first("total").alias("total"),
+                                                          F.coalesce(F.max("changed"), F.lit(0)).alias("n_changed"))
+    best = F.max(F.struct((F.col("n_windows") / F.col("total")).alias("coverage"), "n_windows", "n_changed")).alias("best")
+    return (forms.groupBy("doc_id", "item_id").agg(best).filter(F.col("best.coverage") >= coverage)
+            .select("doc_id", "item_id", "best.n_windows", "best.coverage", "best.n_changed"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -80,3 +80,15 @@ def test_names_that_open_sentences(spark, documents):
             (3, item[0][1].replace("apples", "plums").replace("pears", "nuts"))]
     got = found(spark, documents, rows, item)
     assert set(got) == {(1, 1), (2, 1)} and got[1, 1].n_changed == 1
+
+
+def test_each_form_has_its_own_coverage(spark, documents):
+    """An item of long names whose names are all replaced is covered in full by the form without them."""
+    text = ("Did Anna Maria Lopez Garcia and Juan Carlos Perez Ruiz meet Elena Sofia Torres Diaz near the old bridge "
+            "in San Jose del Cabo today")
+    other = text
+    for a, b in (("Anna Maria Lopez Garcia", "Eve Smith"), ("Juan Carlos Perez Ruiz", "Tom Lee Brown"), ("Elena Sofia Torres Diaz", "Mary"),
+                 ("San Jose", "Santa Rosa"), ("Cabo", "Mar")):
+        other = other.replace(a, b)
+    got = found(spark, documents, [(1, other), (2, "Did Eve and Tom Lee go to see the old bridge in Santa Rosa del Mar today")], [(1, text)])
+    assert set(got) == {(1, 1)} and got[1, 1].coverage == 1 and got[1, 1].n_changed == 5
