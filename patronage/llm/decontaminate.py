@@ -3,8 +3,10 @@
 Numbers, names and units become typed placeholders, so that a question with other numbers or
 names has the same template. Windows of template tokens of the documents are hash-joined with
 those of the benchmark. A document holds an item when enough of the item's windows are found
-and the slots agree: within a match, equal values of the item stand for equal values of the
-document and different ones for different ones.
+with slots that agree: within a match, a value of the item stands for the value of the document
+that most of its places have. Windows with another value there do not count, and where no value
+has more places than any other, none of the windows over these places does. Different values of
+the item may stand for the same one.
 
 Every text also has windows without placeholders for names, in small letters: leaks whose
 letter case has changed are met by those. A third form takes capitals at the start of a
@@ -102,7 +104,7 @@ def windows(template: np.ndarray, slot: np.ndarray, n: int) -> tuple[np.ndarray,
 def _item_rows(batches):
     for b in batches:
         ids, text = b.column(0).to_pylist(), b.column(1)
-        out: dict[str, list] = {k: [] for k in ("item_id", "form", "n", "at", "h", "v")}
+        out: dict[str, list] = {k: [] for k in ("item_id", "form", "n", "at", "h", "v", "p")}
         for lo, hi, piece in chunks(text):
             for form in FORMS:
                 for i, t, v, s in templates(piece, (form,)):
@@ -115,9 +117,11 @@ def _item_rows(batches):
                         out["at"].append(int(k))
                         out["h"].append(int(h[k].view(np.int64)))
                         out["v"].append(_slots(v, s, k, n))
+                        out["p"].append((np.flatnonzero(s[k:k + n]) + k).tolist())
         yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.int64()), pa.array(out["form"], pa.int32()),
                                           pa.array(out["n"], pa.int32()), pa.array(out["at"], pa.int32()),
-                                          pa.array(out["h"], pa.int64()), pa.array(out["v"], pa.list_(pa.int64()))], names=list(out))
+                                          pa.array(out["h"], pa.int64()), pa.array(out["v"], pa.list_(pa.int64())),
+                                          pa.array(out["p"], pa.list_(pa.int32()))], names=list(out))
 
 
 def _slots(v: np.ndarray, s: np.ndarray, k: int, n: int) -> list[int]:
@@ -159,10 +163,10 @@ def _bit_rows(batches):
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, form, n, at, h, v, total): distinct windows of each form of an item, with the
-    values of their slots, and the number of places that the form's windows start at."""
+    """(item_id, form, n, at, h, v, p, total): distinct windows of each form of an item, with the
+    values and places of their slots, and the number of places that the form's windows start at."""
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).dropna()
-    rows = staged(rows.mapInArrow(_item_rows, "item_id long, form int, n int, at int, h long, v array<long>").distinct(), "items")
+    rows = staged(rows.mapInArrow(_item_rows, "item_id long, form int, n int, at int, h long, v array<long>, p array<int>").distinct(), "items")
     total = rows.groupBy("item_id", "form").agg(F.countDistinct("at").alias("total"))
     return staged(rows.join(total, ["item_id", "form"]), "items-total")
 
@@ -191,13 +195,20 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     found = rows.mapInArrow(_doc_rows(bits.tobytes(), sizes), "doc_id long, place long, h long, u array<long>")
     # windows that pass the bit table by chance are joined away
     met = found.join(known, "h").filter(F.size("u") == F.size("v"))
-    met = staged(met.select("doc_id", "item_id", "form", "total", "at", (F.col("place") - F.col("at")).alias("line"), "u", "v"), "met")
+    met = staged(met.select("doc_id", "item_id", "form", "total", "at", (F.col("place") - F.col("at")).alias("line"), "u", "v", "p"), "met")
     lines = ["doc_id", "item_id", "form", "line"]
-    pairs = met.select(*lines, F.explode(F.arrays_zip("u", "v")).alias("p")).select(*lines, "p.u", "p.v")
-    agree = pairs.groupBy(*lines).agg(F.countDistinct("u").alias("us"), F.countDistinct("v").alias("vs"),
-                                      F.countDistinct("u", "v").alias("both"), F.countDistinct(F.when(F.col("u") != F.col("v"), F.col("v"))).alias("changed"))
-    bad = agree.filter("us <> both or vs <> both")
-    good = met.join(bad, lines, "left_anti").join(agree.select(*lines, "changed"), lines, "left")
+    slots = met.select(*lines, F.explode(F.arrays_zip("p", "u", "v")).alias("x")).select(*lines, "x.p", "x.u", "x.v")
+    # the values of the document that stand for one of the item, those of most places first
+    values = (slots.groupBy(*lines, "v", "u").agg(F.countDistinct("p").alias("places")).groupBy(*lines, "v")
+              .agg(F.sort_array(F.collect_list(F.struct("places", "u")), asc=False).alias("by")))
+    single = (F.size("by") == 1) | (F.get("by", 0)["places"] > F.get("by", 1)["places"])
+    values = staged(values.select(*lines, "v", F.when(single, F.get("by", 0)["u"]).alias("kept"), (F.size("by") > 1).alias("torn")), "values")
+    torn = values.filter("torn").select(*lines, "v", "kept")
+    bad = (met.select(*lines, "at", F.col("u").alias("us"), F.explode(F.arrays_zip("u", "v")).alias("x"))
+           .select(*lines, "at", "us", "x.u", "x.v").join(torn, [*lines, "v"]).filter("kept is null or kept <> u")
+           .select(*lines, "at", F.col("us").alias("u")).distinct())
+    changed = values.groupBy(*lines).agg(F.countDistinct(F.when(F.col("kept") != F.col("v"), F.col("v"))).alias("changed"))
+    good = met.join(bad, [*lines, "at", "u"], "left_anti").join(changed, lines, "left")
     forms = good.groupBy("doc_id", "item_id", "form").agg(F.countDistinct("at").alias("n_windows"), F.first("total").alias("total"),
                                                           F.coalesce(F.max("changed"), F.lit(0)).alias("n_changed"))
     best = F.max(F.struct((F.col("n_windows") / F.col("total")).alias("coverage"), "n_windows", "n_changed")).alias("best")

@@ -92,3 +92,16 @@ def test_each_form_has_its_own_coverage(spark, documents):
         other = other.replace(a, b)
     got = found(spark, documents, [(1, other), (2, "Did Eve and Tom Lee go to see the old bridge in Santa Rosa del Mar today")], [(1, text)])
     assert set(got) == {(1, 1)} and got[1, 1].coverage == 1 and got[1, 1].n_changed == 5
+
+
+def test_slots_follow_the_majority(spark, documents):
+    """One value for two slots is a leak, and one odd value costs the windows over it only."""
+    train = ITEMS[1][1]
+    three = "Put 3 red balls into the first box and 3 blue balls into the second box and then 3 green balls into the last of all boxes"
+    rows = [(1, train.replace("2 hours", "4 hours").replace("7", "4")), (2, three.replace("3 green", "4 green")),
+            (3, three.replace("3", "8").replace("8 green", "9 green")),
+            (4, three.replace("3 red", "5 red").replace("3 blue", "6 blue").replace("3 green", "7 green"))]
+    got = found(spark, documents, rows, [ITEMS[1], (9, three)])
+    assert set(got) == {(1, 2), (2, 9), (3, 9)}
+    assert got[1, 2].coverage == 1 and got[1, 2].n_changed == 2
+    assert got[2, 9].n_changed == 0 and got[3, 9].n_changed == 1 and got[2, 9].n_windows == got[3, 9].n_windows
