@@ -11,6 +11,9 @@ the item may stand for the same one.
 Every text also has windows without placeholders for names, in small letters: leaks whose
 letter case has changed are met by those. A third form takes capitals at the start of a
 sentence for names too: a changed name that opens a sentence is met by that.
+
+A window of hardly more than placeholders says nothing about its text. An item with such places
+also has an exact form, words and numbers as they are, so that copies of it are found.
 """
 
 from __future__ import annotations
@@ -42,8 +45,10 @@ UNITS = ("mm cm m km in inch inches ft feet foot yd yard yards mile miles mg g k
          "years percent degrees dollars dollar cents cent euro euros usd eur kmh mph w kw kwh v hz gb mb kb").split()
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F))
 
-# Forms of a template: names inside sentences are slots, no names are, capitals that open a sentence are as well
-NAMES, PLAIN, OPENING = FORMS = range(3)
+# Forms of a template: names inside sentences are slots, no names are, capitals that open a sentence are as well, there
+# are no slots at all (only of items that have places of too few literals with numbers and units as slots)
+NAMES, PLAIN, OPENING, EXACT = range(4)
+TEMPLATES = (NAMES, PLAIN, OPENING)
 
 KINDS = np.zeros(256, np.uint8)  # 1 letter, 2 digit, 0 anything else
 KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -75,6 +80,11 @@ def templates(piece: pa.Array, forms: Iterable[int] = (NAMES, PLAIN)) -> Iterato
     byte, second = first.data[first.starts], first.data[np.minimum(first.starts + 1, len(first.data) - 1)]
     capital = ((byte >= 65) & (byte <= 90)) | ((byte == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     for form in forms:
+        if form == EXACT:
+            for i in range(len(w)):
+                if len(w.of(i)):
+                    yield i, w.of(i), w.of(i), np.zeros(len(w.of(i)), bool)
+            continue
         template = w.hashes.copy()
         template[number], template[unit] = NUMBER, UNIT
         slot = number | unit
@@ -106,10 +116,15 @@ def _item_rows(batches):
         ids, text = b.column(0).to_pylist(), b.column(1)
         out: dict[str, list] = {k: [] for k in ("item_id", "form", "n", "at", "h", "v", "p")}
         for lo, hi, piece in chunks(text):
-            for form in FORMS:
+            loose = set()
+            for form in (*TEMPLATES, EXACT):
                 for i, t, v, s in templates(piece, (form,)):
+                    if form == EXACT and i not in loose:
+                        continue
                     n = min(WINDOW, len(t))
                     h, good = windows(t, s, n)
+                    if form == PLAIN and not good.all():
+                        loose.add(i)
                     for k in np.flatnonzero(good):
                         out["item_id"].append(ids[lo + i])
                         out["form"].append(form)
@@ -128,7 +143,7 @@ def _slots(v: np.ndarray, s: np.ndarray, k: int, n: int) -> list[int]:
     return v[k:k + n][s[k:k + n]].view(np.int64).tolist()
 
 
-def _doc_rows(bits: bytes, sizes: list[int]):
+def _doc_rows(bits: bytes, plan: list[tuple[tuple[int, ...], list[int]]]):
     def run(batches):
         table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
         mask = np.uint64((1 << FILTER_BITS) - 1)
@@ -136,19 +151,20 @@ def _doc_rows(bits: bytes, sizes: list[int]):
             for lo, hi, piece in chunks(b.column(1)):
                 ids = b.column(0).slice(lo, hi - lo).to_pylist()
                 doc, place, key, value, seen = [], [], [], [], {}
-                for i, t, v, s in templates(piece, FORMS):
-                    for n in sizes:
-                        if len(t) < n:
-                            continue
-                        h, good = windows(t, s, n)
-                        for k in np.flatnonzero(good & table[h & mask]):
-                            if seen.get((i, n, int(h[k]))) == k:
-                                continue  # another form of the text has this window
-                            seen[i, n, int(h[k])] = k
-                            doc.append(ids[i])
-                            place.append(int(k))
-                            key.append(int(h[k].view(np.int64)))
-                            value.append(_slots(v, s, k, n))
+                for forms, sizes in plan:
+                    for i, t, v, s in templates(piece, forms):
+                        for n in sizes:
+                            if len(t) < n:
+                                continue
+                            h, good = windows(t, s, n)
+                            for k in np.flatnonzero(good & table[h & mask]):
+                                if seen.get((i, n, int(h[k]))) == k:
+                                    continue  # another form of the text has this window
+                                seen[i, n, int(h[k])] = k
+                                doc.append(ids[i])
+                                place.append(int(k))
+                                key.append(int(h[k].view(np.int64)))
+                                value.append(_slots(v, s, k, n))
                 if doc:
                     yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(place, pa.int64()), pa.array(key, pa.int64()),
                                                       pa.array(value, pa.list_(pa.int64()))], names=["doc_id", "place", "h", "u"])
@@ -176,8 +192,8 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
 
     n_windows counts the places of the item whose window is found with consistent slots;
     coverage is their share of all places; n_changed counts item values that the document
-    replaces. All three are those of the form of the item that the document covers best. Null, empty and blank texts hold nothing and an item without a window of enough
-    literal tokens is never found. Repeated rows of a document count once. A null doc_id or
+    replaces. All three are those of the form of the item that the document covers best. Null, empty and blank texts hold nothing. Of an item without a window of enough
+    literal tokens, only copies with its own numbers are found. Repeated rows of a document count once. A null doc_id or
     item_id has no row. Other columns are ignored.
 
     Documents are read once and not moved. Their windows pass a bit table of fixed size, and
@@ -190,9 +206,11 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for r in known.select("h").mapInArrow(_bit_rows, "bits binary").toLocalIterator():
         bits |= np.frombuffer(r["bits"], np.uint8)
-    sizes = sorted(r["n"] for r in known.select("n").distinct().collect())  # at most WINDOW numbers
+    sizes = known.select((F.col("form") == EXACT).alias("exact"), "n").distinct().collect()  # at most WINDOW numbers for each
+    plan = [(forms, sorted(r["n"] for r in sizes if r["exact"] == exact)) for forms, exact in ((TEMPLATES, False), ((EXACT,), True))]
+    plan = [(forms, n) for forms, n in plan if n]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    found = rows.mapInArrow(_doc_rows(bits.tobytes(), sizes), "doc_id long, place long, h long, u array<long>")
+    found = rows.mapInArrow(_doc_rows(bits.tobytes(), plan), "doc_id long, place long, h long, u array<long>")
     # windows that pass the bit table by chance are joined away
     met = found.join(known, "h").filter(F.size("u") == F.size("v"))
     met = staged(met.select("doc_id", "item_id", "form", "total", "at", (F.col("place") - F.col("at")).alias("line"), "u", "v", "p"), "met")

@@ -105,3 +105,12 @@ def test_slots_follow_the_majority(spark, documents):
     assert set(got) == {(1, 2), (2, 9), (3, 9)}
     assert got[1, 2].coverage == 1 and got[1, 2].n_changed == 2
     assert got[2, 9].n_changed == 0 and got[3, 9].n_changed == 1 and got[2, 9].n_windows == got[3, 9].n_windows
+
+
+def test_copies_of_items_of_numbers(spark, documents):
+    """Items with too few literals for a template are found as they are, and only so."""
+    items = [(1, "What is 12 + 7?"), (2, "Add 3 km to 5 km and 7 km"), ITEMS[6]]
+    rows = [(1, FILL + "what is 12 + 7? Tell me"), (2, "Please ADD 3 km to 5 km and 7 km now"), (3, "count 1 2 3 4 5 6 7 8 9 10 11 12 13 up"),
+            (4, "What is 12 + 8?"), (5, "Add 4 km to 5 km and 7 km"), (6, "12 11 10 9 8 7 6 5 4 3 2 1"), (7, "what is 7 + 12")]
+    got = found(spark, documents, rows, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 7)} and all(r.coverage == 1 and r.n_changed == 0 for r in got.values())
