@@ -235,6 +235,8 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """Rows of docs that hold no item, columns as they are. Rows with a null id are kept."""
-    held = staged(leaks(docs, items, coverage).select(F.col("doc_id").alias("_held")).distinct(), "held")
-    return docs.join(broadcast_if_small(held), F.col("doc_id") == F.col("_held"), "left_anti")
+    """Rows of docs that hold no item, columns as they are. A row with a null id is known by a
+    64-bit hash of its text instead; rows with a null text are kept."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    held = leaks(docs.select(key.alias("doc_id"), "text"), items, coverage).select(F.col("doc_id").alias("_held")).distinct()
+    return docs.join(broadcast_if_small(staged(held, "held")), key == F.col("_held"), "left_anti")

@@ -114,3 +114,12 @@ def test_copies_of_items_of_numbers(spark, documents):
             (4, "What is 12 + 8?"), (5, "Add 4 km to 5 km and 7 km"), (6, "12 11 10 9 8 7 6 5 4 3 2 1"), (7, "what is 7 + 12")]
     got = found(spark, documents, rows, items)
     assert set(got) == {(1, 1), (2, 2), (3, 7)} and all(r.coverage == 1 and r.n_changed == 0 for r in got.values())
+
+
+def test_rows_without_id_leave_too(spark, documents):
+    """A null id does not keep a row that holds an item; null texts stay."""
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = documents([(42, ITEMS[3][1]), (None, FILL + ITEMS[3][1]), (None, "clean text without id"), (None, None), (1, "clean text")])
+    left = dc.without_leaks(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (0, "clean text without id"), (1, "clean text")]
