@@ -24,16 +24,18 @@ def count_distinct_per_key(df: DataFrame, keys: list[str], value: str, name: str
 
 
 def group_by_as_list(df: DataFrame, keys: list[str], cols: list[str], order: list[str],
-                     chunks: int = 16) -> DataFrame:
+                     chunks: int = 16, limit: int = 10_000) -> DataFrame:
     """Rows of a key as array<struct> with the key's full count.
 
     Every key is dealt over the same number of chunks by a hash of the row's order columns,
-    so the shape of the result does not depend on the size of a key, and no row is lost. A
-    table with larger keys takes more chunks; a chunk without rows has no row.
+    so the shape of the result does not depend on the size of a key, and no row is lost. The
+    number is `chunks`, or as many as the table's largest key needs for `limit` rows in a chunk
+    on average; rows with equal order columns share a chunk. A chunk without rows has no row.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("grouped_count"))
-    chunk = F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int")
-    return (join_back(df, counts, keys).withColumn("chunk", chunk)
+    most = counts.agg(F.greatest(F.lit(chunks).cast("long"), F.ceil(F.max("grouped_count") / limit)).alias("_chunks"))
+    chunk = F.pmod(F.xxhash64(*order), F.col("_chunks")).cast("int")
+    return (join_back(df, counts, keys).crossJoin(F.broadcast(most)).withColumn("chunk", chunk)
             .groupBy(*keys, "chunk", "grouped_count")
             .agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in cols if c not in order])))
                  .alias("grouped_data")))

@@ -75,6 +75,15 @@ def test_group_by_as_list_splits_large_groups_and_loses_nothing(spark):
     assert all(r.grouped_count == 700 for r in hot)
 
 
+def test_group_by_as_list_bounds_its_arrays(spark):
+    """The largest key sets the number of chunks of every key."""
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 5000, 1).otherwise(2).alias("k"), "id")
+    got = ag.group_by_as_list(df, ["k"], [], ["id"], chunks=2, limit=100).collect()
+    assert {r.k: sum(r.k == x.k for x in got) for r in got} == {1: 50, 2: 50}
+    assert max(len(r.grouped_data) for r in got) < 200
+    assert sorted(x.id for r in got for x in r.grouped_data) == list(range(6000))
+
+
 def test_rowhash_copies(spark):
     df = spark.createDataFrame([(1, "a"), (2, "A "), (3, "b"), (4, None)], "id int, v string")
     firsts, copies = st.dedup_rowhash(df, ["v"], [F.col("id")])
