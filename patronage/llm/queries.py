@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, quality_knn, toxicity, warc
 from .decontaminate import leaks
+from .merkle import audited, document_leaves, manifest
 from .mixing import with_copies
 from .ngram_join import ngram_components
 from .quality_rules import quality_verdicts
 from .sharding import sharded
+from .simhash import near_copies
 from .staging import new_path, staged
 from .substring_dedup import without_repeats
+from .whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +188,57 @@ def op7(spark, folder):
 @query("op9_substring_dedup")
 def op9(spark, folder):
     return without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+def merkle_field(column: str) -> str:
+    return f"case when {column} is null then '-' else strlen({column}::varchar) || ':' || {column}::varchar end"
+
+
+def merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(merkle_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE_SQL = f"""
+with recursive tab as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t),
+crc as (select id, xor(4294967295, list_reduce(
+  list_prepend(4294967295::bigint, list_transform(regexp_extract_all(hex(encode(id::varchar)), '..'), lambda x: ('0x' || x)::bigint)),
+  lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]))) as c from (select distinct doc_id as id from documents), tab),
+l as (select row_number() over () as row, doc_id, source, {merkle_leaf("text")} as leaf,
+  case when c % 2 = 0 then {merkle_leaf("replace(text, chr(10), '')")} else {merkle_leaf("text")} end as changed
+  from documents d left join crc on doc_id = id),
+p as (select *, dense_rank() over (order by source nulls first) - 1 as tree, count(*) over (partition by source) as n,
+  row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p from l),
+up(tree, lv, p, n, digest) as (select tree, 0::bigint, p, n, leaf from p
+  union all select tree, lv + 1, p // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by p)) from up where n > 1 group by tree, lv, p // 3),
+sub as (select tree, digest as subroot from up where n = 1),
+top(lv, p, n, digest) as (select 0::bigint, tree, count(*) over (), subroot from sub
+  union all select lv + 1, p // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by p)) from top where n > 1 group by lv, p // 3),
+node as (select tree, lv, p, n, digest from up union all select -1, lv, p, n, digest from top),
+sib as (select a.tree, a.lv, a.p, coalesce(string_agg(b.digest, '' order by b.p) filter (b.p < a.p), '') as l,
+  coalesce(string_agg(b.digest, '' order by b.p) filter (b.p > a.p), '') as r
+  from node a join node b on a.tree = b.tree and a.lv = b.lv and a.p // 3 = b.p // 3 where a.n > 1 group by all),
+low(row, tree, lv, p, digest, proof) as (select row, tree, 0::bigint, p, changed, '' from p
+  union all select row, w.tree, w.lv + 1, w.p // 3, sha256(l || digest || r), proof || l || r from low w join sib s on w.tree = s.tree and w.lv = s.lv and w.p = s.p),
+high(row, lv, p, digest, proof) as (select row, 0::bigint, tree, arg_max(digest, lv), arg_max(proof, lv) from low group by row, tree
+  union all select row, w.lv + 1, w.p // 3, sha256(l || digest || r), proof || l || r from high w join sib s on s.tree = -1 and w.lv = s.lv and w.p = s.p),
+done as (select row, arg_max(digest, lv) as folded_root, sha256(arg_max(proof, lv)) as proof_sha256 from high group by row),
+r as (select digest as root from top where n = 1)
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified
+from p join sub using (tree) join done using (row), r"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark, folder):
+    leaves = document_leaves(table(spark, folder, "documents"))
+    return audited(manifest(leaves)).withColumnRenamed("id", "doc_id")
+
+
+@query("op12_simhash_balls")
+def op12(spark, folder):
+    return near_copies(table(spark, folder, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark, folder):
+    return whitened(table(spark, folder, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as long)"))

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from llm_tables import SF, documents  # noqa: F401
 from patronage.llm.queries import ORACLES, QUERIES
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def norm(v):
@@ -31,7 +31,7 @@ def test_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries()
 
 
