@@ -154,7 +154,7 @@ def op4(spark, folder):
     # of a response the length and digest are those of the bytes that were read
     read = F.col("warc_type") == "response"
     return back.select(
-        F.col("record_id").cast("long").alias("page_id"),
+        F.nullif("record_id", F.lit("")).cast("long").alias("page_id"),  # a null id is an empty record id
         F.when(read, F.octet_length("body")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
         F.when(read, F.sha1("body")).otherwise(F.col("payload_digest")).alias("payload_digest"),
         F.col("warc_type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))

@@ -36,8 +36,9 @@ WINDOW = 20
 ANCHOR = 8              # words of the runs whose smallest hash is the anchor
 LONGEST = 64            # windows of a stretch
 SHARD_WORDS = 400_000   # words of a shard
-HOT = 20_000            # an anchor of more documents sends each window to a shard of its own hash
+HOT = 300_000           # an anchor whose stretches hold more words sends each window to a key of its own
 LAST_ID = 2 ** 63 - 1   # stands for a null id: later than every other
+DOC = ["doc_id", "sub"]  # a document: rows of one id, or of a null id and one text
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -55,8 +56,8 @@ def _profile(batches):
                 n.append(len(own))
                 key.append(sequence_key(digest.digest()))
                 sha.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sha, pa.string())],
-                                             names=["doc_id", "n_words", "seq", "all_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(key, pa.int64()),
+                                              pa.array(sha, pa.string())], names=["doc_id", "sub", "n_words", "seq", "all_sha256"])
 
 
 def stretches(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,21 +104,22 @@ def _anchor_rows(n: int):
         for b in batches:
             for lo, hi, piece in chunks(b.column(1)):
                 w = words(piece)
-                ids = b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                ids, subs = (b.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for c in (0, 2))
                 doc = np.repeat(np.arange(len(w)), np.diff(w.first))
                 start, count, anchor = stretches(w.hashes, doc, n)
                 if not len(start):
                     continue
                 own = doc[start]
                 order = np.lexsort((anchor, own))
-                own, anchor = own[order], anchor[order]
+                own, anchor, size = own[order], anchor[order], (count + n - 1)[order]
                 fresh = np.concatenate([[True], (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])])
                 at = np.flatnonzero(fresh)
                 pieces = np.diff(np.append(at, len(own)))
                 own_at, anchor_at = own[at], anchor[at]
                 twice = (pieces > 1) | np.isin(_both(own_at, anchor_at), near_repeats(w.hashes, doc, n))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor_at.view(np.int64)), pa.array(ids[own_at].astype(np.int64)),
-                                                  pa.array(np.where(twice, 2, 1).astype(np.int64))], names=["anchor", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor_at.view(np.int64)), pa.array(ids[own_at].astype(np.int64)), pa.array(subs[own_at].astype(np.int64)),
+                                                  pa.array(np.where(twice, 2, 1).astype(np.int64)), pa.array(np.add.reduceat(size, at))],
+                                                 names=["anchor", "doc_id", "sub", "n", "words"])
     return run
 
 
@@ -127,10 +129,10 @@ def _stretch_rows(n: int):
         for b in batches:
             texts, base = b.column(1), 0
             for lo, hi, piece in chunks(texts):
-                ids = b.column(0).slice(lo, hi - lo).to_pylist()
-                firsts = b.column(2).slice(lo, hi - lo).to_pylist()
-                known = _flat(b.column(3), lo, hi)
-                hot = _flat(b.column(4), lo, hi)
+                ids = list(zip(*(b.column(c).slice(lo, hi - lo).to_pylist() for c in (0, 2))))
+                firsts = b.column(3).slice(lo, hi - lo).to_pylist()
+                known = _flat(b.column(4), lo, hi)
+                hot = _flat(b.column(5), lo, hi)
                 yield from _chunk_stretches(piece, ids, firsts, known, hot, n, sent)
     return run
 
@@ -146,10 +148,10 @@ def _chunk_stretches(piece, ids, firsts, known, hot, n, sent):
     use = np.isin(anchor, known)
     start, count, anchor = start[use], count[use], anchor[use]
     is_hot = np.isin(anchor, hot)
-    out: dict[str, list] = {k: [] for k in ("key", "h", "doc_id", "seq", "start", "n", "seg", "again")}
+    out: dict[str, list] = {k: [] for k in ("key", "h", "doc_id", "sub", "seq", "start", "n", "seg", "again")}
     plain, begins, ends = w.normal()
     begins, ends, first_word, doc = begins.tolist(), ends.tolist(), w.first.tolist(), doc.tolist()
-    keys, marks, docs, seqs, places, sizes, segs, agains = out.values()
+    keys, marks, docs, subs, seqs, places, sizes, segs, agains = out.values()
     last, seq, within = -1, 0, set()
     for s, c, a, h in zip(start.tolist(), count.tolist(), anchor.view(np.int64).tolist(), is_hot.tolist()):
         d = doc[s]
@@ -170,23 +172,25 @@ def _chunk_stretches(piece, ids, firsts, known, hot, n, sent):
                 sent.add(mark)
             keys.append(mark if h else a)
             marks.append(mark)
-            docs.append(ids[d])
+            docs.append(ids[d][0])
+            subs.append(ids[d][1])
             seqs.append(seq)
             places.append(s - first_word[d])
             sizes.append(size)
             segs.append(seg if new else None)
             agains.append(again)
     if out["key"]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
+        kinds = (*[pa.int64()] * 6, pa.int32(), pa.binary(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
 
-STRETCH = "key long, h long, doc_id long, seq long, start long, n int, seg binary, again boolean"
+STRETCH = "key long, h long, doc_id long, sub long, seq long, start long, n int, seg binary, again boolean"
+SPAN = "doc_id long, sub long, seq long, low long, high long"
 
 
 def _search(n: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
+        table = table.sort_by([("doc_id", "ascending"), ("sub", "ascending"), ("start", "ascending")])
         segs = [s.split(b" ") for s in table.column("seg").to_pylist()]
         # the only stretch of its anchor meets no other; it is searched if it may repeat itself
         key = table.column("key").to_numpy()
@@ -194,7 +198,7 @@ def _search(n: int):
         use = np.flatnonzero([m > 1 or n < 3 or len(set(zip(s, s[1:], s[2:]))) < len(s) - 2 for m, s in zip(many[of].tolist(), segs)])
         table, segs = table.take(pa.array(use)), [segs[i] for i in use]
         if not segs:
-            return pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "seq", "low", "high")})
+            return pa.table({c: pa.array([], pa.int64()) for c in (*DOC, "seq", "low", "high")})
         codes: dict[bytes, int] = {}
         sizes = np.array([len(s) for s in segs], np.int64)
         flat = np.fromiter((codes.setdefault(x, len(codes) + 1) for s in segs for x in s), np.int64, int(sizes.sum()))
@@ -212,8 +216,8 @@ def _search(n: int):
         fresh = np.concatenate([[True], (of[1:] != of[:-1]) | (offset[1:] != offset[:-1] + 1)])[:len(of)]
         first = np.flatnonzero(fresh)
         last = np.append(first[1:], len(of)) - 1 if len(of) else first
-        doc, seq, start = (table.column(c).to_numpy() for c in ("doc_id", "seq", "start"))
-        return pa.table({"doc_id": pa.array(doc[of[first]], pa.int64()), "seq": pa.array(seq[of[first]], pa.int64()),
+        doc, sub, seq, start = (table.column(c).to_numpy() for c in (*DOC, "seq", "start"))
+        return pa.table({"doc_id": pa.array(doc[of[first]], pa.int64()), "sub": pa.array(sub[of[first]], pa.int64()), "seq": pa.array(seq[of[first]], pa.int64()),
                          "low": pa.array(start[of[first]] + offset[first], pa.int64()), "high": pa.array(start[of[last]] + offset[last] + n, pa.int64())})
     return run
 
@@ -221,9 +225,9 @@ def _search(n: int):
 def _cut_rows(batches):
     for b in batches:
         for lo, hi, piece in chunks(b.column(1)):
-            ids, marks = b.column(0).slice(lo, hi - lo).to_pylist(), b.column(2).slice(lo, hi - lo).to_pylist()
+            ids, subs, marks = (b.column(c).slice(lo, hi - lo).to_pylist() for c in (0, 2, 3))
             out = []
-            for doc_id, text, parts in zip(ids, piece.to_pylist(), marks):
+            for doc_id, sub, text, parts in zip(ids, subs, piece.to_pylist(), marks):
                 own = text.encode().split()
                 seq = sequence_key(hashlib.sha256(b" ".join(own)).digest())
                 keep = np.ones(len(own), bool)
@@ -231,40 +235,40 @@ def _cut_rows(batches):
                     if p["seq"] == seq:
                         keep[p["low"]:p["high"]] = False
                 kept = b" ".join(x for x, k in zip(own, keep) if k)
-                out.append((doc_id, seq, int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))],
-                                             names=["doc_id", "seq", "n_removed", "kept_sha256", "kept"])
+                out.append((doc_id, sub, seq, int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 4, pa.string(), pa.string()))],
+                                             names=["doc_id", "sub", "seq", "n_removed", "kept_sha256", "kept"])
 
 
-CUT = "doc_id long, seq long, n_removed long, kept_sha256 string, kept string"
+CUT = "doc_id long, sub long, seq long, n_removed long, kept_sha256 string, kept string"
 
 
 def repeated_spans(docs: DataFrame, profile: DataFrame, n: int) -> DataFrame:
-    """(doc_id, seq, low, high): word ranges to remove from documents that are the first with
-    their word sequence."""
-    firsts = staged(profile.filter(F.col("n_words") >= n).groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "firsts")
-    # anchors that occur at least twice, and how many documents have them
-    anchors = docs.mapInArrow(_anchor_rows(n), "anchor long, doc_id long, n long")
-    often = staged(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n >= 2"), "anchors")
-    found = anchors.select("anchor", "doc_id").join(often, "anchor")
-    by_doc = (found.groupBy("doc_id").agg(F.collect_list("anchor").alias("known"),
-                                          F.collect_list(F.when(F.col("n") > HOT, F.col("anchor"))).alias("hot")))
-    first_seqs = firsts.groupBy("doc_id").agg(F.collect_set("seq").alias("firsts"))
-    wanted = staged(by_doc.join(first_seqs, "doc_id").select("doc_id", "firsts", "known", "hot"), "wanted")
-    parts = staged(docs.join(wanted, "doc_id").select("doc_id", "text", "firsts", "known", "hot")
+    """(doc_id, sub, seq, low, high): word ranges to remove from documents that are the first with
+    their word sequence. docs: (doc_id, text, sub)."""
+    firsts = staged(profile.filter(F.col("n_words") >= n).groupBy("seq").agg(F.min(F.struct(*DOC)).alias("d")).select("d.*", "seq"), "firsts")
+    # anchors that occur at least twice, and how many words their stretches have
+    anchors = docs.mapInArrow(_anchor_rows(n), "anchor long, doc_id long, sub long, n long, words long")
+    often = staged(anchors.groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).filter("n >= 2").drop("n"), "anchors")
+    found = anchors.select("anchor", *DOC).join(often, "anchor")
+    by_doc = (found.groupBy(*DOC).agg(F.collect_list("anchor").alias("known"),
+                                      F.collect_list(F.when(F.col("words") > HOT, F.col("anchor"))).alias("hot")))
+    first_seqs = firsts.groupBy(*DOC).agg(F.collect_set("seq").alias("firsts"))
+    wanted = staged(by_doc.join(first_seqs, DOC).select(*DOC, "firsts", "known", "hot"), "wanted")
+    parts = staged(docs.join(wanted, DOC).select("doc_id", "text", "sub", "firsts", "known", "hot")
                    .mapInArrow(_stretch_rows(n), STRETCH), "stretches")
+    earliest = F.struct(*DOC)
     first = staged(parts.filter(~F.col("again")).groupBy("key", "h").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("start", "doc_id").alias("start"), F.min_by("seq", "doc_id").alias("seq"),
-        F.max("n").alias("n"), F.first("seg", ignorenulls=True).alias("seg")), "first-stretches")
+        F.min(earliest).alias("d"), F.min_by("start", earliest).alias("start"), F.min_by("seq", earliest).alias("seq"),
+        F.max("n").alias("n"), F.first("seg", ignorenulls=True).alias("seg")).select("key", "h", "d.*", "start", "seq", "n", "seg"), "first-stretches")
     # every later occurrence of a stretch goes as a whole
-    place = first.select("key", "h", F.col("doc_id").alias("d"))
-    whole = (parts.select("key", "h", "doc_id", "seq", "start", "n", "again").join(place, ["key", "h"])
-             .filter(F.col("again") | (F.col("doc_id") != F.col("d")))
-             .select("doc_id", "seq", F.col("start").alias("low"), (F.col("start") + F.col("n")).alias("high")))
+    place = first.select("key", "h", F.struct(*DOC).alias("d"))
+    whole = (parts.select("key", "h", *DOC, "seq", "start", "n", "again").join(place, ["key", "h"])
+             .filter(F.col("again") | (earliest != F.col("d")))
+             .select(*DOC, "seq", F.col("start").alias("low"), (F.col("start") + F.col("n")).alias("high")))
     total = first.agg(F.sum("n")).first()[0] or 0
     shard = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // SHARD_WORDS))))
-    inner = (first.select("key", "doc_id", "seq", "start", "seg", shard.alias("shard")).groupBy("shard")
-             .applyInArrow(_search(n), "doc_id long, seq long, low long, high long"))
+    inner = (first.select("key", *DOC, "seq", "start", "seg", shard.alias("shard")).groupBy("shard").applyInArrow(_search(n), SPAN))
     return whole.unionByName(inner)
 
 
@@ -274,23 +278,27 @@ def without_repeats(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", te
     smaller id or earlier in the same one. `kept` is null where the text stays as it is or
     goes as a whole.
 
-    Null, empty and blank texts have no words; texts under n words lose none. A null id counts
-    as later than all others; rows with one id are one document, and rows with equal id and
-    words do not remove each other. Other columns are ignored, an empty table stays empty.
-    Texts are read whole.
+    Null, empty and blank texts have no words; texts under n words lose none. Rows with one id
+    are one document, and rows with equal id and words do not remove each other. Rows with a
+    null id are later than all others and each is a document of its own, in the order of a
+    hash of their texts; only those with the same text count as one. Other columns are ignored,
+    an empty table stays empty. Texts are read whole.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col(text_col).alias("text"))
-    profile = staged(rows.mapInArrow(_profile, "doc_id long, n_words long, seq long, all_sha256 string"), "words")
+    known = F.col(id_col).isNotNull()
+    text = F.col(text_col).cast("string")
+    sub = F.when(known, F.lit(0)).otherwise(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(LAST_ID)).bitwiseOR(F.lit(1)))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc_id"), text.alias("text"), sub.cast("long").alias("sub"))
+    profile = staged(rows.mapInArrow(_profile, "doc_id long, sub long, n_words long, seq long, all_sha256 string"), "words")
     spans = staged(repeated_spans(rows, profile, n), "spans")
-    by_doc = staged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("seq", "low", "high")).alias("parts")), "parts")
-    ids = broadcast_if_small(by_doc.select("doc_id"))
-    cut = staged(rows.join(ids, "doc_id", "left_semi").join(by_doc, "doc_id").select("doc_id", "text", "parts")
-                 .mapInArrow(_cut_rows, CUT).dropDuplicates(["doc_id", "seq"]), "cut")
-    first = profile.filter(F.col("n_words") >= n).groupBy("seq").agg(F.min("doc_id").alias("first_id"))
-    out = join_back(profile, first, ["seq"], "left").join(cut, ["doc_id", "seq"], "left")
-    copy = F.coalesce(F.col("doc_id") != F.col("first_id"), F.lit(False))
+    by_doc = staged(spans.groupBy(*DOC).agg(F.collect_list(F.struct("seq", "low", "high")).alias("parts")), "parts")
+    ids = broadcast_if_small(by_doc.select(*DOC))
+    cut = staged(rows.join(ids, DOC, "left_semi").join(by_doc, DOC).select("doc_id", "text", "sub", "parts")
+                 .mapInArrow(_cut_rows, CUT).dropDuplicates([*DOC, "seq"]), "cut")
+    first = profile.filter(F.col("n_words") >= n).groupBy("seq").agg(F.min(F.struct(*DOC)).alias("first"))
+    out = join_back(profile, first, ["seq"], "left").join(cut, [*DOC, "seq"], "left")
+    copy = F.coalesce(F.struct(*DOC) != F.col("first"), F.lit(False))
     return out.select(
-        F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), "n_words",
+        F.when(F.col("sub") == 0, F.col("doc_id")).alias("doc_id"), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, NOTHING).otherwise(F.coalesce("kept_sha256", "all_sha256")).alias("kept_sha256"),
         F.when(~copy, F.col("kept")).alias("kept"))
