@@ -162,27 +162,28 @@ def _block(cols: list[str]) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.upper(c), F.lit("\u0002")) for c in cols])
 
 
-def fuzzy_name_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def fuzzy_name_groups(df: DataFrame, threshold: int = THRESHOLD, connected: bool = False) -> DataFrame:
     """Same address, similar name: (member_key, identifier)."""
-    return fuzzy_pairs(df.filter(_placed(df)), _block(ADDRESS_BLOCK), _text(["first_name", "last_name"]), threshold)
+    return fuzzy_pairs(df.filter(_placed(df)), _block(ADDRESS_BLOCK), _text(["first_name", "last_name"]), threshold, connected=connected)
 
 
-def fuzzy_address_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def fuzzy_address_groups(df: DataFrame, threshold: int = THRESHOLD, connected: bool = False) -> DataFrame:
     """Same name and zip code, similar address: (member_key, identifier)."""
-    return fuzzy_pairs(df.filter(_placed(df)), _block(NAME_BLOCK), _text(ADDRESS_TEXT), threshold)
+    return fuzzy_pairs(df.filter(_placed(df)), _block(NAME_BLOCK), _text(ADDRESS_TEXT), threshold, connected=connected)
 
 
-def exact_plus_fuzzy(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def exact_plus_fuzzy(df: DataFrame, threshold: int = THRESHOLD, connected: bool = False) -> DataFrame:
     """Groups of rule 1: exact ones, then near names, then near addresses, then singles:
-    (member_key, grouping_id, grouping_criteria_id). One-letter names stay out of the fuzzy part."""
+    (member_key, grouping_id, grouping_criteria_id). One-letter names stay out of the fuzzy part.
+    Near copies are pairs, or with `connected` all that near copies lead to."""
     exact = with_key_aggregates(_name_groups(df), ["grouping_id"], _n=F.count(F.lit(1)))
     exact = stage(exact)
     multi = exact.filter("_n > 1").select("member_key", "grouping_id", F.lit(NAME_RULE).alias("grouping_criteria_id"))
     singles = df.join(exact.filter("_n = 1").select("member_key", "grouping_id"), "member_key")
     open_rows = singles.filter((F.length("first_name") > 1) & (F.length("last_name") > 1))
-    names = stage(fuzzy_name_groups(open_rows, threshold))
+    names = stage(fuzzy_name_groups(open_rows, threshold, connected))
     rest = open_rows.join(names.select("member_key"), "member_key", "left_anti")
-    addresses = stage(fuzzy_address_groups(rest, threshold))
+    addresses = stage(fuzzy_address_groups(rest, threshold, connected))
     found = names.unionByName(addresses).select("member_key", F.col("identifier").alias("grouping_id"),
                                                 F.lit(FUZZY_RULE).alias("grouping_criteria_id"))
     left = (singles.join(found.select("member_key"), "member_key", "left_anti")

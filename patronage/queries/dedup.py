@@ -251,7 +251,87 @@ def _name_rows(w):
     return rows.filter(F.col("first_name").isNotNull() & dd._filled("last_name") & dd._filled("address1_scrubbed"))
 
 
-@query("fuzzy_score", "block string, a string, b string, score int")
+def _check_norm(text: str) -> str:
+    clean = f"trim(regexp_replace(upper({text}), '[^A-Z0-9 ]', '', 'g'))"
+    return f"array_to_string(list_sort(string_split_regex({clean}, ' +')), ' ')"
+
+
+def _check_block(cols: list[str]) -> str:
+    return "concat_ws(chr(1), " + ", ".join(f"coalesce(upper({c}), chr(2))" for c in cols) + ")"
+
+
+def _check_text(cols: list[str]) -> str:
+    return _check_norm(" || ".join(f"coalesce({c}, 'null')" for c in cols))
+
+
+def _check_filled(c: str) -> str:
+    return f"coalesce(nullif(trim({c}), ''), 'UNKNOWN') <> 'UNKNOWN'"
+
+
+CHECK_VIEWS["o_fz_rows"] = f"""
+select member_key, first_name, last_name, {_check_filled("state_scrubbed")} and {_check_filled("city_scrubbed")} as placed,
+  {_check_block(dd.ADDRESS_BLOCK)} as name_block, {_check_text(["first_name", "last_name"])} as name_text,
+  {_check_block(dd.NAME_BLOCK)} as address_block, {_check_text(dd.ADDRESS_TEXT)} as address_text,
+  concat_ws('~', {", ".join(f"upper({c})" for c in dd.NAME_KEY)}) as gid
+from w_dup_member where first_name is not null and {_check_filled("last_name")} and {_check_filled("address1_scrubbed")}
+"""
+
+
+def _check_fuzzy(name: str, rows: str) -> None:
+    """Views over rows (member_key, block, text): scored pairs by the table of common subsequences,
+    and the groups of both modes."""
+    CHECK_VIEWS[f"o_{name}_rows"] = rows
+    CHECK_VIEWS[f"o_{name}_nodes"] = f"""
+    select block, text, min(member_key) as rep, max(member_key) as last, count(*) as copies from o_{name}_rows group by block, text"""
+    CHECK_VIEWS[f"o_{name}_score"] = f"""
+    with recursive dp as (
+      select x.block, x.text as a, y.text as b, 0 as i, list_transform(range(length(y.text) + 1), lambda z: 0) as r
+      from o_{name}_nodes x join o_{name}_nodes y on x.block = y.block and x.text < y.text
+      union all
+      select block, a, b, i + 1, list_transform(range(1, length(b) + 2), lambda j: case when j = 1 then 0 else
+        list_max(list_transform(range(2, j + 1), lambda k: greatest(r[k], r[k - 1] + (substr(a, i + 1, 1) = substr(b, k - 1, 1))::int))) end)
+      from dp where i < length(a))
+    select * from (select block, a, b, ((400 * r[length(b) + 1] + length(a) + length(b)) // (2 * (length(a) + length(b))))::int as score
+      from dp where i = length(a)) s where score >= 94"""
+    CHECK_VIEWS[f"o_{name}_keyed"] = f"""
+    select s.block, a, b, score, x.rep as ka, y.rep as kb from o_{name}_score s
+    join o_{name}_nodes x on x.block = s.block and x.text = a join o_{name}_nodes y on y.block = s.block and y.text = b"""
+    CHECK_VIEWS[f"o_{name}_last"] = f"""
+    select member_key, identifier from o_{name}_rows join (
+      select block, text, arg_max(id, (texts, score, id)) as identifier from (
+        select block, unnest([a, b]) as text, case when ka > kb then b || a else a || b end as texts, score,
+          least(ka, kb) || '|' || greatest(ka, kb) as id from o_{name}_keyed
+        union all select block, text, text || text, 100, rep || '|' || last from o_{name}_nodes where copies > 1) p
+      group by block, text) g using (block, text)"""
+    CHECK_VIEWS[f"o_{name}_connected"] = f"""
+    with recursive e as (select ka as a, kb as b from o_{name}_keyed union all select kb, ka from o_{name}_keyed),
+    reach as (select rep as node, rep as seen from o_{name}_nodes union select node, b from reach join e on a = seen),
+    rooted as (select node, min(seen) as root from reach group by node),
+    g as (select root, max(last) as high, sum(copies) as size from rooted join o_{name}_nodes on node = rep group by root)
+    select member_key, root || '|' || high as identifier from o_{name}_rows join o_{name}_nodes using (block, text)
+    join rooted on node = rep join g using (root) where size > 1"""
+
+
+_check_fuzzy("fz_any", "select member_key, name_block as block, name_text as text from o_fz_rows")
+_check_fuzzy("fz_name", "select member_key, name_block as block, name_text as text from o_fz_rows where placed")
+_check_fuzzy("fz_address", "select member_key, address_block as block, address_text as text from o_fz_rows where placed")
+CHECK_VIEWS["o_fz_exact"] = "select *, count(*) over (partition by gid) as same from o_fz_rows"
+CHECK_VIEWS["o_fz_open"] = "select * from o_fz_exact where same = 1 and placed and length(first_name) > 1 and length(last_name) > 1"
+_check_fuzzy("fx_name", "select member_key, name_block as block, name_text as text from o_fz_open")
+for _mode in ("last", "connected"):
+    _check_fuzzy(f"fx_{_mode}", f"""select member_key, address_block as block, address_text as text from o_fz_open
+      where member_key not in (select member_key from o_fx_name_{_mode})""")
+    CHECK_VIEWS[f"o_fx_{_mode}_found"] = f"select * from o_fx_name_{_mode} union all select * from o_fx_{_mode}_{_mode}"
+
+
+def _check_exact_plus(mode: str) -> str:
+    return f"""
+    select member_key, gid as grouping_id, {dd.NAME_RULE} as grouping_criteria_id from o_fz_exact
+    where same > 1 or member_key not in (select member_key from o_fx_{mode}_found)
+    union all select member_key, identifier, {dd.FUZZY_RULE} from o_fx_{mode}_found"""
+
+
+@query("fuzzy_score", "block string, a string, b string, score int", "select * from o_fz_any_score")
 def fuzzy_score(w):
     rows = _name_rows(w)
     nodes = rows.select(dd._block(dd.ADDRESS_BLOCK).alias("block"),
@@ -259,21 +339,26 @@ def fuzzy_score(w):
     return fuzzy.similar_texts(nodes)
 
 
-@query("dedup_fuzzy_name", "member_key bigint, identifier string")
+@query("dedup_fuzzy_name", "member_key bigint, identifier string", "select * from o_fz_name_last")
 def dedup_fuzzy_name(w):
     return dd.fuzzy_name_groups(_name_rows(w))
 
 
-@query("dedup_fuzzy_address", "member_key bigint, identifier string")
+@query("dedup_fuzzy_address", "member_key bigint, identifier string", "select * from o_fz_address_last")
 def dedup_fuzzy_address(w):
     return dd.fuzzy_address_groups(_name_rows(w))
 
 
-@query("dedup_exact_plus_fuzzy", "member_key bigint, grouping_id string, grouping_criteria_id int")
+@query("dedup_exact_plus_fuzzy", "member_key bigint, grouping_id string, grouping_criteria_id int", _check_exact_plus("last"))
 def dedup_exact_plus_fuzzy(w):
     return dd.exact_plus_fuzzy(_name_rows(w))
 
 
+@query("dedup_fuzzy_connected", "member_key bigint, grouping_id string, grouping_criteria_id int", _check_exact_plus("connected"))
+def dedup_fuzzy_connected(w):
+    return dd.exact_plus_fuzzy(_name_rows(w), connected=True)
+
+
 # ---------------------------------------------------------------- results
 
 CHECK_VIEWS["o_hist"] = """

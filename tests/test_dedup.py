@@ -6,6 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from patronage.operators.components import connected_components
 from patronage.plans import dedup as dd, fuzzy as fz, golden as gd
 
 D = dt.date
@@ -68,6 +69,55 @@ def test_many_copies_are_one_node(spark):
     assert 901 not in got and len({got[i] for i in range(500)}) == 1 and len(got) >= 500
 
 
+def test_columns_equal_the_plain_score(spark):
+    rnd = random.Random(5)
+    rows = [tuple("".join(rnd.choice("ABC ") for _ in range(rnd.randint(0, 25))) for _ in "ab") for _ in range(200)] + [("", ""), ("A" * 90, "A" * 88 + "B")]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", fz.ratio_of(F.col("a"), F.col("b")).alias("s"), fz.common_length_of(F.col("a"), F.col("b")).alias("n")).collect()
+    assert all(r.s == fz.ratio(r.a, r.b) and r.n == longest_common(r.a, r.b) for r in got)
+
+
+def test_similar_texts_run_without_python(spark):
+    nodes = spark.createDataFrame([("b", "ANNABARKELMON"), ("b", "ANNABARKELMONA")], "block string, text string")
+    plan = fz.similar_texts(nodes)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan.replace("ArrowEvalPython", "Python")
+
+
+def test_chain_of_near_copies_is_one_connected_group(spark):
+    text = "ABCDEFGHIJKLMNOPQRSTUVWXY"
+    chain = [text + "Z" * i for i in range(0, 10, 2)]  # two letters more each; the ends score under 94
+    assert fz.ratio(chain[0], chain[1]) >= 94 > fz.ratio(chain[0], chain[4])
+    rows = [(10 + i, "B", t) for i, t in enumerate(chain)] + [(7, "B", chain[2]), (50, "B", "SOMETHING ELSE"), (60, "C", chain[0])]
+    rows += [(70, "D", "SAME"), (71, "D", "SAME")]
+    df = spark.createDataFrame(rows, "member_key bigint, b string, t string")
+    got = {r.member_key: r.identifier for r in fz.fuzzy_pairs(df, F.col("b"), F.col("t"), connected=True).collect()}
+    assert got == {k: "7|14" for k in (7, 10, 11, 12, 13, 14)} | {70: "70|71", 71: "70|71"}
+    pairs = {r.identifier for r in fz.fuzzy_pairs(df, F.col("b"), F.col("t")).collect()}
+    assert len(pairs) > 2
+
+
+def test_connected_components(spark):
+    rnd = random.Random(11)
+    edges = [(i, i + 1) for i in range(60)] + [(200 + i, 300 - i) for i in range(40)] + [(500, k) for k in range(501, 580)] + [(900, 900), (901, None)]
+    edges += [(rnd.randrange(1000, 1200), rnd.randrange(1000, 1200)) for _ in range(120)]
+    rnd.shuffle(edges)
+    near = {}
+    for a, b in edges:
+        if b is not None and a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for n in sorted(near):
+        todo = [n] if n not in want else []
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = n
+                todo += near[x]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    assert {r.node: r.root for r in connected_components(df).collect()} == want
+    assert connected_components(df.limit(0)).count() == 0
+
+
 COLS = ("member_key bigint, is_loyalty_member string, member_status string, customer_introduction_date date, trxn_date date, member_acct_enroll_date date, source_overlay_rank int, "
         "dpv_key int, last_updated_date date, first_name string, gender string, birth_date date, deceased string, direct_mail_consent string, direct_mail_consent_date date, "
         "first_trxn_date date, first_trxn_store_key bigint, last_store_purch_date date, last_web_purch_date date, current_source_key int, open_close_ind string, loyalty_id string, "
