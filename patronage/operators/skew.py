@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def join_back(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -21,3 +21,15 @@ def join_back(df: DataFrame, per_key: DataFrame, keys: list[str], how: str = "in
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return left.join(right, cond, how).drop("_h", "_kh", *[f"_k_{k}" for k in keys])
+
+
+def left_join_known(df: DataFrame, per_key: DataFrame, keys: list[str], known: Column, spread: list[str]) -> DataFrame:
+    """Left join of rows to a frame with at most one row per key, where many rows may have no key
+    to look up (null, or a code for unknown; `known` says which have one).
+
+    Such rows can match nothing and need not meet: a hash of their `spread` columns deals them
+    over all tasks, whatever their share. Rows with a key shuffle on it, and as the frame
+    shuffles on the same columns anew, a hot key can still be split.
+    """
+    left = df.withColumn("_deal", F.when(known, F.lit(0)).otherwise(F.xxhash64(*spread).bitwiseOR(F.lit(1))).cast("long"))
+    return left.join(per_key.withColumn("_deal", F.lit(0).cast("long")), [*keys, "_deal"], "left").drop("_deal")

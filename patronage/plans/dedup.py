@@ -92,25 +92,81 @@ def _value_groups(df: DataFrame, contacts: DataFrame) -> DataFrame:
             .select("member_key", "grouping_criteria_id", F.col("value").alias("grouping_id")))
 
 
+# (e-mail, phone) pairs of one member that are formed outright
+PAIR_LIMIT = 10_000
+
+
+def _value_classes(mine: DataFrame) -> DataFrame:
+    """(member_key, kind, value, n): one value for all values of a kind that the same n members
+    have. Their groups have the same members, of which the smallest id is kept, so one value
+    stands for all: that which comes first in front of the separator. Sets of members are told
+    apart by sums over their keys."""
+    key = F.col("member_key")
+    signed = mine.groupBy("kind", "value").agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.min(key), F.max(key), F.bit_xor(F.xxhash64(key)),
+        F.sum(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 40)))).alias("_set"))
+    first = F.min(F.concat("value", F.lit("~")))
+    return (join_back(mine, signed, ["kind", "value"]).groupBy("member_key", "kind", "_set").agg(first.alias("_v"))
+            .select("member_key", "kind", F.expr("left(_v, length(_v) - 1)").alias("value"), F.col("_set.n").alias("n")))
+
+
 def _pair_groups(df: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Groups by (e-mail, phone). A value that no other member of the rule has can only form
-    groups of one, so such values are not paired: one row per member stands for all groups of
-    one that they would form. Pairs are formed of shared values alone."""
+    """Groups by (e-mail, phone) of members whose groups differ in their members.
+
+    A value that no other member of the rule has can only form groups of one, so such values
+    are not paired: one row per member stands for all groups of one that they would form.
+    Shared values are first cut to one for each set of members. Light members, with up to
+    PAIR_LIMIT pairs left, form them. Heavy members never do (`_heavy_groups`).
+    """
     mine = df.select("member_key").join(contacts.filter(F.col("kind").isin("email", "phone")), "member_key")
-    shared = mine.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = join_back(mine, shared, ["kind", "value"])
-    e, p, own = F.col("kind") == "email", F.col("kind") == "phone", F.col("_n") == 1
+    tagged = stage(_value_classes(mine))
+    e, p, own = F.col("kind") == "email", F.col("kind") == "phone", F.col("n") == 1
     first = lambda cond: F.min(F.when(cond, F.concat("value", F.lit("~"))))
-    lone = tagged.groupBy("member_key").agg(first(e).alias("e"), first(p).alias("p"), first(e & own).alias("eo"),
-                                            first(p & own).alias("po"))
+    member = stage(tagged.groupBy("member_key").agg(
+        first(e).alias("e"), first(p).alias("p"), first(e & own).alias("eo"), first(p & own).alias("po"),
+        (F.count_if(e & ~own) * F.count_if(p & ~own)).alias("pairs")))
     strip = lambda c: F.expr(f"left({c}, length({c}) - 1)")
-    lone = (lone.withColumn("g", F.least(F.concat("eo", strip("p")), F.concat("e", strip("po"))))
+    lone = (member.withColumn("g", F.least(F.concat("eo", strip("p")), F.concat("e", strip("po"))))
             .filter(F.col("g").isNotNull()).select("member_key", F.col("g").alias("grouping_id")))
-    both = tagged.filter("_n > 1")
-    pairs = (both.filter(e).select("member_key", F.col("value").alias("ve"))
-             .join(both.filter(p).select("member_key", F.col("value").alias("vp")), "member_key")
-             .select("member_key", F.concat_ws("~", "ve", "vp").alias("grouping_id")))
-    return pairs.unionByName(lone)
+    shared = tagged.filter("n > 1")
+    emails = shared.filter(e).select("member_key", F.col("value").alias("ve"))
+    phones = shared.filter(p).select("member_key", F.col("value").alias("vp"))
+    heavy = broadcast_if_small(member.filter(F.col("pairs") > PAIR_LIMIT).select("member_key"))
+    few = lambda d: d.join(heavy, "member_key", "left_anti")
+    light = stage(few(emails).join(few(phones), "member_key"))
+    many = lambda d: stage(d.join(heavy, "member_key", "left_semi"))
+    pairs = light.select("member_key", "ve", "vp").unionByName(_heavy_groups(light, many(emails), many(phones)))
+    return pairs.select("member_key", F.concat_ws("~", "ve", "vp").alias("grouping_id")).unionByName(lone)
+
+
+def _heavy_groups(light: DataFrame, emails: DataFrame, phones: DataFrame) -> DataFrame:
+    """(member_key, ve, vp) of heavy members without their products.
+
+    A pair that a heavy member has in common with a light one is among the pairs of light
+    members: those with an e-mail of a heavy member, cut by that member's phones. A pair of
+    heavy members alone is formed by two of them that share both kinds of value, of their
+    common values only. All other pairs are groups of the member alone, of which only the first
+    is needed: its first e-mail that is not in a shared pair with every phone, and its first
+    phone that is in none with that e-mail. Rows are at most the pairs of light members times
+    the heavy members with the same e-mail, and the common pairs of heavy members.
+    """
+    met = (light.select("ve", "vp").distinct().join(emails, "ve").join(phones, ["member_key", "vp"], "left_semi")
+           .select("member_key", "ve", "vp"))
+    side = lambda d, v: d.select(F.col("member_key").alias("a"), v).join(d.select(F.col("member_key").alias("b"), v), v).filter("a < b")
+    both = stage(side(emails, "ve").select("a", "b").distinct().join(side(phones, "vp").select("a", "b").distinct(), ["a", "b"]))
+    of = lambda d, end, v: d.select(F.col("member_key").alias(end), F.col(v))
+    common = lambda d, v: both.join(of(d, "a", v), "a").join(of(d, "b", v), ["b", v], "left_semi").select("a", "b", v)
+    twos = common(emails, "ve").join(common(phones, "vp"), ["a", "b"])
+    shared = stage(met.unionByName(twos.select(F.explode(F.array("a", "b")).alias("member_key"), "ve", "vp")).distinct())
+    # the first pair of each member that it has alone
+    most = phones.groupBy("member_key").agg(F.count(F.lit(1)).alias("_most"))
+    taken = shared.groupBy("member_key", "ve").agg(F.count(F.lit(1)).alias("_taken"))
+    open_ = (emails.join(taken, ["member_key", "ve"], "left").join(most, "member_key").filter(F.coalesce("_taken", F.lit(0)) < F.col("_most"))
+             .groupBy("member_key").agg(F.min(F.concat("ve", F.lit("~"))).alias("_v"))
+             .select("member_key", F.expr("left(_v, length(_v) - 1)").alias("ve")))
+    alone = (open_.join(phones, "member_key").join(shared, ["member_key", "ve", "vp"], "left_anti")
+             .groupBy("member_key", "ve").agg(F.min("vp").alias("vp")))
+    return shared.unionByName(alone.select("member_key", "ve", "vp"))
 
 
 GROUP = ["grouping_criteria_id", "grouping_id"]

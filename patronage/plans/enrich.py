@@ -13,6 +13,7 @@ from ..operators.joins import update_keys
 from ..operators.nearest import nearest_stores
 from ..operators.ranking import keep_best_ties, largest, latest_per_key, mark_best, newest, with_key_aggregates, yes_first
 from ..operators.sizing import broadcast_if_small
+from ..operators.skew import left_join_known
 from ..operators.staging import stage
 from .facts import WEB_DISTRICT
 
@@ -210,7 +211,8 @@ def loyalty_flag(member: DataFrame) -> DataFrame:
 
 def global_opt_out(member: DataFrame, kill_list: DataFrame) -> DataFrame:
     out = kill_list.filter(F.col("household_key").isNotNull() & (F.col("household_key") != UNKNOWN_KEY)).select("household_key").distinct()
-    marked = member.drop("global_opt_out").join(out.withColumn("global_opt_out", F.lit("YES")), "household_key", "left")
+    known = F.col("household_key").isNotNull() & (F.col("household_key") != UNKNOWN_KEY)
+    marked = left_join_known(member.drop("global_opt_out"), out.withColumn("global_opt_out", F.lit("YES")), ["household_key"], known, ["member_key"])
     return marked.select(*[c for c in member.columns if c != "global_opt_out"], "global_opt_out")
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..codes import UNKNOWN_KEY
 from ..functions.dates import as_date, to_py_date
 from ..functions.text import decode, is_not_empty
 from ..operators.aggregates import count_distinct_per_key
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
+from ..operators.skew import left_join_known
+from ..operators.staging import stage
 
 # ---- fixed values: indicator names and ids of the report ------------------------------
 BASE_METRICS = ["CONSENT VALUE RETAIL", "CONSENT VALUE OUTLET", "CONSENT VALUE NEXT", "IS PLCC", "MEMBER COUNT",
@@ -40,39 +43,66 @@ def _unpivot(df: DataFrame, metrics: dict[str, str], date: Column) -> DataFrame:
         F.col("m.v").alias("kpi_attribute_value"), F.col("_d").alias("business_date"))
 
 
+def _members(members: DataFrame, previous: DataFrame, employees: DataFrame) -> DataFrame:
+    """One narrow row per member or employee: what all indicators need of them."""
+    old = previous.select("member_key", F.col("tier_name").alias("_was"))
+    staff = employees.filter("employee_status <> 'T'").select("member_key").distinct().withColumn("_staff", F.lit(True))
+    mine = members.select("member_key", "is_plcc", "tier_name", is_not_empty(F.col("loyalty_id")).alias("_loyal"),
+                          ((F.length("loyalty_id") == 13) & F.col("ip_code").isNotNull()).alias("_full_id"), F.lit(True).alias("_member"))
+    return mine.join(old, "member_key", "left").join(staff, "member_key", "full")
+
+
+def _line_counts(lines: DataFrame, people: DataFrame, stores: DataFrame) -> DataFrame:
+    """(kpi, attribute, trxn_date, n) of the indicators over lines in one pass: a line becomes a
+    row for each indicator that counts it. Distinct transactions are counted in two steps that
+    combine; the channel counts lines and carries no transaction."""
+    who = people.filter("_staff or _loyal").select("member_key", "tier_name", "_loyal", "_staff")
+    open_stores = broadcast_if_small(stores.filter("open_closed_ind = 'OPEN'").select("store_key", "zone_code"))
+    known = F.col("member_key").isNotNull() & (F.col("member_key") != UNKNOWN_KEY)
+    seen = lines.select("trxn_date", "trxn_id", "member_key", "store_key",
+                        (F.col("captured_loyalty_id").isNotNull() | F.col("implied_loyalty_id").isNotNull()).alias("_card"))
+    # an employee or member row for the unknown key stands for all lines without a member
+    unknown = F.broadcast(who.filter(F.col("member_key") == UNKNOWN_KEY).groupBy().agg(
+        F.first("tier_name").alias("_u_tier"), F.first("_loyal").alias("_u_loyal"), F.first("_staff").alias("_u_staff")))  # one row
+    joined = left_join_known(seen, who, ["member_key"], known, ["trxn_id", "store_key"]).join(open_stores, "store_key", "left").crossJoin(unknown)
+    is_unknown = F.col("member_key") == UNKNOWN_KEY
+    of = lambda c: F.when(is_unknown, F.col(f"_u_{c}")).otherwise(F.col({"tier": "tier_name"}.get(c, f"_{c}")))
+    tag = lambda name, when, attribute, trip: F.when(when, F.struct(F.lit(name).alias("kpi"), attribute.cast("string").alias("attribute"), trip.alias("trip")))
+    tags = F.array_compact(F.array(
+        tag("EMPLOYEE TRANSACTIONS", of("staff"), F.lit(None), F.col("trxn_id")),
+        tag("LOYALTY TRANSACTIONS BY TIER", of("loyal") & F.col("_card"), of("tier"), F.col("trxn_id")),
+        tag("TRANSACTION CHANNEL", F.lit(True), F.col("zone_code"), F.lit(None).cast(lines.schema["trxn_id"].dataType))))
+    each = joined.select("trxn_date", F.explode(tags).alias("t")).groupBy("trxn_date", "t.kpi", "t.attribute", "t.trip").agg(F.count(F.lit(1)).alias("_lines"))
+    trips = F.when(F.col("kpi") == "TRANSACTION CHANNEL", F.sum("_lines")).otherwise(F.count("trip"))
+    return each.groupBy("kpi", "attribute", "trxn_date").agg(trips.alias("n"))
+
+
 def kpi_base(members: DataFrame, previous: DataFrame, emails: DataFrame, tender: DataFrame, tender_types: DataFrame,
              employees: DataFrame, lines: DataFrame, stores: DataFrame, on) -> DataFrame:
-    """Fifteen member and channel indicators. The counts over members are one scan, the
-    consents one scan, and distinct transactions are counted in two combinable steps."""
-    day, null = as_date(on), F.lit(None).cast("string")
-    count = F.count(F.lit(1)).alias("n")
+    """Fifteen member and channel indicators. Every table is scanned once: members and employees
+    for a narrow table that the counts over members and the lines read, consents and tenders for
+    their own, the lines for all three of theirs."""
+    day, count = as_date(on), F.count(F.lit(1)).alias("n")
     consents = {"CONSENT VALUE RETAIL": "consent_value_retail", "CONSENT VALUE OUTLET": "consent_value_outlet",
                 "CONSENT VALUE NEXT": "consent_value_next"}
     each = emails.select(F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).alias("v")) for n, c in consents.items()])).alias("c"))
     consent = each.groupBy(F.col("c.n").alias("name"), F.col("c.v").alias("value")).agg(count)
     out = [_rows(consent, F.col("name"), F.col("value"), F.col("n"), day)]
-    out.append(_rows(members.groupBy("is_plcc").agg(count), "IS PLCC", F.col("is_plcc"), F.col("n"), day))
-    old = previous.select("member_key", F.col("tier_name").alias("_was"))
-    loyal = is_not_empty(F.col("loyalty_id"))
-    counts = members.join(old, "member_key", "left").agg(
-        F.count("member_key").alias("a"), F.count_if(loyal).alias("b"),
-        F.count_if((F.length("loyalty_id") == 13) & F.col("ip_code").isNotNull()).alias("c"),
+    people = stage(_members(members, previous, employees))
+    counts = people.filter("_member").groupBy("is_plcc").agg(
+        count, F.count("member_key").alias("a"), F.count_if("_loyal").alias("b"), F.count_if("_full_id").alias("c"),
         F.count_if(F.col("tier_name") == TOP_TIER).alias("d"), F.count_if(F.col("tier_name") == BASE_TIER).alias("e"),
         F.count_if((F.col("tier_name") == TOP_TIER) & (F.col("_was") == BASE_TIER)).alias("f"),
         F.count_if((F.col("tier_name") == BASE_TIER) & (F.col("_was") == TOP_TIER)).alias("g"))
-    out.append(_unpivot(counts, dict(zip(BASE_METRICS[4:11], "abcdefg")), day))
+    out.append(_rows(counts, "IS PLCC", F.col("is_plcc"), F.col("n"), day))
+    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "abcdefg"])
+    out.append(_unpivot(totals, dict(zip(BASE_METRICS[4:11], "abcdefg")), day))
     kinds = tender.join(broadcast_if_small(tender_types.select("tender_type_key", "tender_type_description")), "tender_type_key", "left")
     per_kind = count_distinct_per_key(kinds, ["trxn_date", "tender_type_description"], "trxn_id", "n")
     out.append(_rows(per_kind, "TENDER TYPE", F.col("tender_type_description"), F.col("n"), F.col("trxn_date")))
-    staff = lines.join(employees.filter("employee_status <> 'T'").select("member_key").distinct(), "member_key", "left_semi")
-    out.append(_rows(count_distinct_per_key(staff, ["trxn_date"], "trxn_id", "n"), "EMPLOYEE TRANSACTIONS", null, F.col("n"), F.col("trxn_date")))
-    zones = lines.join(broadcast_if_small(stores.filter("open_closed_ind = 'OPEN'").select("store_key", "zone_code")), "store_key", "left")
-    by_zone = zones.groupBy("trxn_date", "zone_code").agg(count)
-    out.append(_rows(by_zone, "TRANSACTION CHANNEL", decode(F.col("zone_code"), CHANNELS), F.col("n"), F.col("trxn_date")))
-    tiered = (lines.filter("captured_loyalty_id is not null or implied_loyalty_id is not null")
-              .join(members.filter(loyal).select("member_key", "tier_name"), "member_key"))
-    by_tier = count_distinct_per_key(tiered, ["trxn_date", "tier_name"], "trxn_id", "n")
-    out.append(_rows(by_tier, "LOYALTY TRANSACTIONS BY TIER", F.col("tier_name"), F.col("n"), F.col("trxn_date")))
+    of_lines = _line_counts(lines, people, stores)
+    attribute = F.when(F.col("kpi") == "TRANSACTION CHANNEL", decode(F.col("attribute").cast("int"), CHANNELS)).otherwise(F.col("attribute"))
+    out.append(_rows(of_lines, F.col("kpi"), attribute, F.col("n"), F.col("trxn_date")))
     return union_all(out)
 
 

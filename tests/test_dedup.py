@@ -189,3 +189,50 @@ def test_groups_by_value_and_by_pair(spark):
     # member 4 also forms a group of its own, so both its groups are invalid
     assert sorted(got[4]) == [(7, "a~1", 2, True), (7, "own~1", 1, True)] and got[3] == [(7, "a~1", 2, True)]
     assert sorted(got[6]) == [(5, "e", 2, True), (5, "f", 1, True)] and got[5] == [(5, "e", 2, True)]
+
+
+def _pairs(spark, contacts):
+    members = spark.createDataFrame([(k,) for k in sorted({c[0] for c in contacts})], "member_key bigint")
+    df = spark.createDataFrame(contacts, "member_key bigint, kind string, value string")
+    return dd._pair_groups(members, df)
+
+
+def _kept(groups):
+    """The smallest group of each member for every set of fellow members."""
+    by, kept = {}, {}
+    for m, g in groups:
+        by.setdefault(g, set()).add(m)
+    for g, members in by.items():
+        for m in members:
+            at = (m, frozenset(members))
+            kept[at] = min(g, kept.get(at, g))
+    return kept
+
+
+def test_pairs_of_light_and_heavy_members_equal_all_pairs(spark, monkeypatch):
+    """Everyone light, everyone heavy, and both kinds: the kept groups are those of all pairs."""
+    rnd = random.Random(8)
+    values = {("email", f"e{i}") for i in range(12)} | {("phone", f"{i}") for i in range(20, 32)}
+    contacts = sorted({(m, *v) for m in range(24) for v in rnd.sample(sorted(values), rnd.choice([2, 4, 9]))}
+                      | {(m, kind, f"own{m}") for m in range(0, 24, 5) for kind in ("email", "phone")}
+                      | {(m, kind, f"{kind}-twin{i}") for m in (3, 4) for kind in ("email", "phone") for i in range(6)})
+    naive = [(m, f"{e}~{p}") for m, k, e in contacts if k == "email" for n, q, p in contacts if n == m and q == "phone"]
+    want = _kept(naive)
+    for limit in (10_000, 0, 12):
+        monkeypatch.setattr(dd, "PAIR_LIMIT", limit)
+        got = {(r.member_key, r.grouping_id) for r in _pairs(spark, contacts).collect()}
+        assert got <= set(naive) and _kept(got) == want, limit
+
+
+def test_member_with_very_many_shared_values_forms_few_pairs(spark):
+    """10,000 e-mails and 10,000 phones, shared with one member, and with one member each."""
+    n = 10_000
+    twins = [(m, k, f"{k}{i}") for m in (1, 2) for k in ("email", "phone") for i in range(n)]
+    got = _pairs(spark, twins).collect()
+    assert sorted((r.member_key, r.grouping_id) for r in got) == [(1, "email0~phone0"), (2, "email0~phone0")]
+    # member 1 shares each value with another member; ten of those have a phone of it, too
+    hub = [(1, k, f"{k}{i}") for k in ("email", "phone") for i in range(n)]
+    others = [(10 + i, "email", f"email{i}") for i in range(n)] + [(10 + n + i, "phone", f"phone{i}") for i in range(n)] + [(10 + i, "phone", f"phone{i}") for i in range(10)]
+    got = {(r.member_key, r.grouping_id) for r in _pairs(spark, hub + others).collect()}
+    assert {g for m, g in got if m == 1} == {f"email{i}~phone{i}" for i in range(10)} | {"email0~phone1"}
+    assert len(got) == 11 + 10

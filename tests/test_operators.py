@@ -9,6 +9,7 @@ from patronage.operators import aggregates as ag, columns as co, filters as fi,
 from patronage.operators.nearest import nearest_stores
 from patronage.operators.sequence import generate_sequence
 from patronage.operators.sizing import broadcast_if_small
+from patronage.operators.skew import left_join_known
 
 
 def plan(df):
@@ -135,3 +136,25 @@ def test_nearest_stores_against_brute_force(spark):
         order = sorted((miles((la, lo), (s[1], s[2])), s[0]) for s in stores)
         assert abs(got[k].distance - order[0][0]) < 1e-6 and abs(got[k].second_distance - order[1][0]) < 1e-6
         assert got[k].closest_store_key == order[0][1]
+
+
+def test_unknown_keys_are_dealt_over_all_tasks(spark):
+    """Nine of ten rows have no key to look up: no task of the join holds more than its share."""
+    n = 20_000
+    df = spark.range(n).select(F.col("id").alias("member_key"), F.when(F.col("id") % 20 == 0, F.lit(None)).when(F.col("id") % 10 > 0, F.lit(-1)).otherwise(F.col("id")).cast("long").alias("household_key"))
+    out = spark.range(10, n, 40).select(F.col("id").alias("household_key"), F.lit("YES").alias("flag")).unionByName(
+        spark.createDataFrame([(-1, "WRONG")], "household_key long, flag string"))
+    known = F.col("household_key").isNotNull() & (F.col("household_key") != -1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("-1", "false", "16")):
+        spark.conf.set(k, v)
+    try:
+        joined = left_join_known(df, out, ["household_key"], known, ["member_key"]).withColumn("part", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("part").count().collect()]
+        rows = joined.select("member_key", "household_key", "flag").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and max(sizes) < 1.3 * n / 16
+    want = {i: ("YES" if i % 40 == 10 else None) for i in range(n)}
+    assert len(rows) == n and {r.member_key: r.flag for r in rows} == want
