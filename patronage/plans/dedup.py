@@ -122,20 +122,24 @@ def _pair_groups(df: DataFrame, contacts: DataFrame) -> DataFrame:
     tagged = stage(_value_classes(mine))
     e, p, own = F.col("kind") == "email", F.col("kind") == "phone", F.col("n") == 1
     first = lambda cond: F.min(F.when(cond, F.concat("value", F.lit("~"))))
-    member = stage(tagged.groupBy("member_key").agg(
+    member = tagged.groupBy("member_key").agg(
         first(e).alias("e"), first(p).alias("p"), first(e & own).alias("eo"), first(p & own).alias("po"),
-        (F.count_if(e & ~own) * F.count_if(p & ~own)).alias("pairs")))
+        (F.count_if(e & ~own) * F.count_if(p & ~own)).alias("pairs"))
     strip = lambda c: F.expr(f"left({c}, length({c}) - 1)")
     lone = (member.withColumn("g", F.least(F.concat("eo", strip("p")), F.concat("e", strip("po"))))
             .filter(F.col("g").isNotNull()).select("member_key", F.col("g").alias("grouping_id")))
     shared = tagged.filter("n > 1")
     emails = shared.filter(e).select("member_key", F.col("value").alias("ve"))
     phones = shared.filter(p).select("member_key", F.col("value").alias("vp"))
-    heavy = broadcast_if_small(member.filter(F.col("pairs") > PAIR_LIMIT).select("member_key"))
-    few = lambda d: d.join(heavy, "member_key", "left_anti")
-    light = stage(few(emails).join(few(phones), "member_key"))
-    many = lambda d: stage(d.join(heavy, "member_key", "left_semi"))
-    pairs = light.select("member_key", "ve", "vp").unionByName(_heavy_groups(light, many(emails), many(phones)))
+    heavy = stage(member.filter(F.col("pairs") > PAIR_LIMIT).select("member_key"))
+    if heavy.isEmpty():
+        pairs = emails.join(phones, "member_key").select("member_key", "ve", "vp")
+    else:
+        heavy = broadcast_if_small(heavy)
+        few = lambda d: d.join(heavy, "member_key", "left_anti")
+        many = lambda d: stage(d.join(heavy, "member_key", "left_semi"))
+        light = stage(few(emails).join(few(phones), "member_key").select("member_key", "ve", "vp"))
+        pairs = light.unionByName(_heavy_groups(light, many(emails), many(phones)))
     return pairs.select("member_key", F.concat_ws("~", "ve", "vp").alias("grouping_id")).unionByName(lone)
 
 
