@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..codes import STATUS_CURRENT, STATUS_HISTORY
 from ..functions.dates import as_date, file_date
@@ -11,21 +11,67 @@ from ..operators.filters import current_only, newest_batch
 from ..operators.ranking import latest_per_key
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
+from ..operators.sizing import plan_bytes
 from ..operators.staging import stage
 
 META = ["last_updated_date", "status", "batch_id", "action_cd"]
 
 
-def dedup_source(df: DataFrame, natural_keys: list[str], tiebreak: list[str] | None = None) -> DataFrame:
-    """One row per natural key (case and outer blanks ignored), newest load file first."""
-    keys = [F.lower(F.trim(F.col(k).cast("string"))) for k in natural_keys]
+def _key_columns(df: DataFrame, keys: list[str], kinds: dict | None = None) -> dict[str, Column]:
+    """Columns without nulls that are equal where the natural keys are: text without case and
+    outer blanks, other types as they are, each of these with a flag for null. They are columns
+    and not expressions of a join, so that a stored dimension can be bucketed by them. Keys
+    whose type is not that in `kinds` are compared as text."""
+    out = {}
+    for i, k in enumerate(keys):
+        kind = df.schema[k].dataType
+        if isinstance(kind, T.StringType) or (kinds and kinds[k] != kind):
+            out[f"_k{i}"] = F.coalesce(F.lower(F.trim(F.col(k).cast("string"))), F.lit("\u0002"))
+            continue
+        empty = F.lit(0 if isinstance(kind, T.NumericType) else False if isinstance(kind, T.BooleanType) else "1970-01-01").cast(kind)
+        out |= {f"_k{i}": F.coalesce(F.col(k), empty), f"_n{i}": F.col(k).isNull()}
+    return out
+
+
+def _keyed(df: DataFrame, keys: list[str], other: DataFrame | None = None) -> DataFrame:
+    """The rows with their key columns; those of a stored dimension are kept."""
+    kinds = {k: other.schema[k].dataType for k in keys} if other is not None else None
+    made = _key_columns(df, keys, kinds)
+    same = set(made) <= set(df.columns) and set(df.columns) & KEY_COLUMNS == set(made)
+    return df if same else df.drop(*KEY_COLUMNS).withColumns(made)
+
+
+# names of the key columns of up to eight natural keys
+KEY_COLUMNS = {f"_{x}{i}" for x in "kn" for i in range(8)}
+
+
+def store_dimension(df: DataFrame, natural_keys: list[str], table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Write a dimension bucketed and sorted by its natural key, and read it back. A load then
+    joins it where it lies: only the source is shuffled. There are at least as many buckets as
+    shuffle partitions, else the join would rather move the dimension."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = sorted(_key_columns(df, natural_keys))
+    size = plan_bytes(df)
+    wanted = -(-size // BUCKET_BYTES) if size < 1 << 60 else 0  # beyond, the size is not known
+    buckets = buckets or max(least, min(wanted, MOST_BUCKETS))
+    rows = df.drop(*KEY_COLUMNS).withColumns(_key_columns(df, natural_keys)).repartition(buckets, *cols)
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, *cols).sortBy(*cols).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+BUCKET_BYTES, MOST_BUCKETS = 256 << 20, 100_000
+
+
+def _latest(df: DataFrame, natural_keys: list[str], tiebreak: list[str] | None, target: DataFrame | None = None) -> DataFrame:
     order = [file_date(F.col("etl_unique_id")).desc()] if "etl_unique_id" in df.columns else []
     order += [F.col(c) for c in (tiebreak or sorted(set(df.columns) - set(natural_keys)))]
-    return latest_per_key(df, keys, order)
+    keyed = _keyed(df, natural_keys, target)
+    return latest_per_key(keyed, [F.col(c) for c in sorted(set(keyed.columns) & KEY_COLUMNS)], order)
 
 
-def _key_text(side: str, names: list[str]) -> Column:
-    return F.concat_ws("\u0001", *[F.coalesce(F.lower(F.trim(F.col(f"{side}.{n}").cast("string"))), F.lit("\u0002")) for n in names])
+def dedup_source(df: DataFrame, natural_keys: list[str], tiebreak: list[str] | None = None) -> DataFrame:
+    """One row per natural key (case and outer blanks ignored), newest load file first."""
+    return _latest(df, natural_keys, tiebreak).drop(*KEY_COLUMNS)
 
 
 def change_set(source: DataFrame, target: DataFrame, natural_keys: list[str], surrogate: str, derived=(),
@@ -36,18 +82,20 @@ def change_set(source: DataFrame, target: DataFrame, natural_keys: list[str], su
     (NCD) in an incremental load and disappears in a full one. Derived columns come from the
     source on insert and from the target otherwise.
     """
-    names = [c for c in target.columns if c not in META and c != surrogate and c not in derived]
+    names = [c for c in target.columns if c not in META and c != surrogate and c not in derived and c not in KEY_COLUMNS]
     values = [c for c in names if c not in natural_keys]
-    s, t = source.withColumn("_in_s", F.lit(True)), target.withColumn("_in_t", F.lit(True))
-    joined = s.alias("s").join(t.alias("t"), _key_text("s", natural_keys) == _key_text("t", natural_keys), "full")
+    s = _keyed(source, natural_keys, target).withColumn("_in_s", F.lit(True))
+    t = _keyed(target, natural_keys, source).withColumn("_in_t", F.lit(True))
+    same = F.lit(True)
+    for c in sorted(set(s.columns) & KEY_COLUMNS):
+        same = same & (F.col(f"s.{c}") == F.col(f"t.{c}"))
+    joined = s.alias("s").join(t.alias("t"), same, "full" if incremental else "left")
     text = lambda side, c: F.lower(F.col(f"{side}.{c}").cast("string"))
     changed = F.lit(False)
     for c in values:
         changed = changed | ~text("s", c).eqNullSafe(text("t", c))
     action = (F.when(F.col("t._in_t").isNull(), "I").when(F.col("s._in_s").isNull(), "NCD")
               .when(changed, "U").otherwise("NCD"))
-    if not incremental:
-        joined = joined.filter(F.col("s._in_s").isNotNull())
     joined = joined.withColumn("action_cd", action)
     fresh = F.col("action_cd") != "NCD"
     cols = [F.when(fresh, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names]
@@ -63,25 +111,26 @@ def scd2_load(source: DataFrame, dimension: DataFrame, natural_keys: list[str],
     """(current partition, history partition) after the batch.
 
     Inserts, and updates when asked, are numbered after the largest current surrogate key in
-    the order of the natural key.
+    the order of the natural key. Only the rows that the batch touches are written in between;
+    the others come straight out of the join, which moves no row of a dimension that
+    `store_dimension` has written.
     """
-    changes = stage(change_set(dedup_source(source, natural_keys), newest_batch(dimension), natural_keys, surrogate,
-                               derived, incremental))
+    target = newest_batch(dimension)
+    changes = change_set(_latest(source, natural_keys, None, target), target, natural_keys, surrogate, derived, incremental)
+    touched = F.col("action_cd") != "NCD"
+    fresh = stage(changes.filter(touched))
     needs_key = F.col("action_cd") == "I"
     if new_key_on_update:
         needs_key = F.col("action_cd").isin("I", "U")
     order = [F.lower(F.trim(F.col(k).cast("string"))) if t == "string" else F.col(k)
              for k, t in changes.dtypes if k in natural_keys]
     order += [F.col(k) for k in natural_keys]
-    numbered = generate_sequence(changes.filter(needs_key).drop(surrogate), surrogate, order,
+    numbered = generate_sequence(fresh.filter(needs_key).drop(surrogate), surrogate, order,
                                  max_key(current_only(dimension), surrogate))
-    kept = changes.filter(~needs_key)
-    rows = union_all([numbered.select(*changes.columns), kept])
-    touched = F.col("action_cd") != "NCD"
-    rows = rows.withColumns({
-        "last_updated_date": F.when(touched, as_date(date)).otherwise(F.col("last_updated_date")),
-        "batch_id": F.lit(batch_id)})
-    return rows.withColumn("status", F.lit(STATUS_CURRENT)), rows.filter(touched).withColumn("status", F.lit(STATUS_HISTORY))
+    moved = union_all([numbered.select(*changes.columns), fresh.filter(~needs_key)]).withColumn("last_updated_date", as_date(date))
+    rows = union_all([moved, changes.filter(~touched)])
+    return tuple(part.withColumns({"batch_id": F.lit(batch_id), "status": F.lit(status)})
+                 for part, status in ((rows, STATUS_CURRENT), (moved, STATUS_HISTORY)))
 
 
 def scd2_process_load(work: DataFrame, dimension: DataFrame, process: str, natural_keys: list[str], surrogate: str,

@@ -97,6 +97,10 @@ left join o_src s on s.member_key = a.k left join o_cur t on t.member_key = a.k
 """
 
 
+def stored(w):
+    return w.stored_dimension("w_scd_backup", NATURAL)
+
+
 @query("scd2_dedup_source", "member_key bigint, city string, etl_unique_id string", "select member_key, city, etl_unique_id from o_src")
 def scd2_dedup_source(w):
     return scd.dedup_source(w.scd_batch, NATURAL)
@@ -108,7 +112,7 @@ CHANGE = "member_sk bigint, member_key bigint, first_name string, city string, s
 @query("scd2_change_set", CHANGE, "select member_sk, member_key, first_name, city, state, original_source, action_cd from o_chg", headline=True)
 def scd2_change_set(w):
     from ..operators.filters import newest_batch
-    return scd.change_set(scd.dedup_source(w.scd_batch, NATURAL), newest_batch(w.scd_backup), NATURAL, SK, DERIVED)
+    return scd.change_set(scd.dedup_source(w.scd_batch, NATURAL), newest_batch(stored(w)), NATURAL, SK, DERIVED)
 
 
 @query("scd2_load", CHANGE + ", last_updated_date date, batch_id string, status string", f"""
@@ -119,7 +123,7 @@ def scd2_change_set(w):
     from o_chg c left join k on k.member_key = c.member_key)
   select *, 'current' as status from r union all select *, 'history' from r where action_cd <> 'NCD'""", headline=True)
 def scd2_load(w):
-    return union_all(scd.scd2_load(w.scd_batch, w.scd_backup, NATURAL, SK, BATCH, DAY, DERIVED))
+    return union_all(scd.scd2_load(w.scd_batch, stored(w), NATURAL, SK, BATCH, DAY, DERIVED))
 
 
 @query("scd2_process_load", "member_sk bigint, member_key bigint, city string, action_cd string, status string, process string", """
@@ -135,7 +139,7 @@ def scd2_load(w):
     from c left join k on k.member_key = c.member_key)
   select *, 'current' as status, 'dedup' as process from r union all select *, 'history', 'dedup' from r where action_cd <> 'NCD'""")
 def scd2_process_load(w):
-    return union_all(scd.scd2_process_load(w.work_process, w.scd_backup, "dedup", NATURAL, SK, BATCH, DAY, DERIVED))
+    return union_all(scd.scd2_process_load(w.work_process, stored(w), "dedup", NATURAL, SK, BATCH, DAY, DERIVED))
 
 
 @query("stub_members", "store_key bigint, store_name string, district_code string, zone_code int", """
@@ -245,7 +249,7 @@ loaded("member_consent", "consent_type", "string", "consent", "consent_value", "
   select *, 'current' as status from r union all select *, 'history' from r where action_cd <> 'NCD'""")
 def dim_member(w):
     work = w.scd_batch.withColumn("process", F.lit("till"))
-    return union_all(scd.scd2_process_load(work, w.scd_backup, "till", NATURAL, SK, BATCH, DAY, DERIVED))
+    return union_all(scd.scd2_process_load(work, stored(w), "till", NATURAL, SK, BATCH, DAY, DERIVED))
 
 
 # ---------------------------------------------------------------- joined dimensions

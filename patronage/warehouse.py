@@ -12,7 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.staging import stage_table
+from .operators.staging import stage_table, staging_folder
+from .plans.scd import store_dimension
 
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -420,6 +421,14 @@ class Warehouse:
             self._frames[name] = stage_table(build(self), f"{tag}/{name}")
         return self._frames[name]
 
+    def stored_dimension(self, name: str, natural_keys: list[str]) -> DataFrame:
+        """A derived table as a load keeps it: bucketed by its natural key."""
+        key = f"{name} by {' '.join(natural_keys)}"
+        if key not in self._frames:
+            tag = hashlib.md5(self.folder.encode()).hexdigest()[:8]
+            self._frames[key] = store_dimension(self[name], natural_keys, f"dim_{tag}_{name}", f"{staging_folder(self.spark)}/{tag}/dim_{name}")
+        return self._frames[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

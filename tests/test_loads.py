@@ -103,3 +103,27 @@ def test_compare(spark):
     counts, rows, columns = hs.compare_tables(a, b, ["k"])
     assert tuple(counts.first()) == (3, 2, 2, 1) and tuple(columns.first()) == (1, 1)
     assert [tuple(r) for r in rows.collect()] == [(2, "y:yy", "q")]
+
+
+def test_stored_dimension_stays_where_it_lies(spark, tmp_path):
+    """The join of a batch with a bucketed dimension shuffles the source once and the dimension never."""
+    rows = [(i, f" Key{i} " if i else None, i if i % 7 else None, "v", D(2001, 1, 1), "current", "1") for i in range(200)]
+    old = spark.createDataFrame(rows, "sk bigint, k string, d bigint, v string, last_updated_date date, status string, batch_id string")
+    stored = scd.store_dimension(old, ["k", "d"], "t_stored_dimension", str(tmp_path / "dim"))
+    source = spark.createDataFrame([(f"key{i} " if i else None, i if i % 7 else None, "v" if i % 2 else "w") for i in range(0, 400, 3)], "k string, d bigint, v string")
+    changes = scd.change_set(scd._latest(source, ["k", "d"], None, stored), stored, ["k", "d"], "sk")
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    plain = scd.change_set(scd.dedup_source(source, ["k", "d"]), old, ["k", "d"], "sk")
+    assert sorted(map(tuple, changes.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert {r.action_cd for r in changes.collect()} == {"I", "U", "NCD"}
+    loads = [scd.scd2_load(source, d, ["k", "d"], "sk", "2", D(2001, 2, 2)) for d in (stored, old)]
+    for a, b in zip(*loads):
+        assert a.columns == b.columns and sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_keys_of_other_types_match_as_text(spark):
+    old = spark.createDataFrame([(1, 7, D(2000, 1, 1), "x", D(2001, 1, 1)), (2, None, None, "y", D(2001, 1, 1))], "sk bigint, k bigint, d date, v string, last_updated_date date")
+    src = spark.createDataFrame([(" 7", D(2000, 1, 1), "x"), (None, None, "z"), ("8", None, "n")], "k string, d date, v string")
+    got = {(r.sk, r.action_cd) for r in scd.change_set(src, old, ["k", "d"], "sk").collect()}
+    assert got == {(1, "NCD"), (2, "U"), (None, "I")}
