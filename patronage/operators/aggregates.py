@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..codes import UNKNOWN_KEY
 from ..functions.text import is_not_empty
+from .sequence import place_within
 from .skew import join_back
 
 
@@ -41,6 +42,22 @@ def group_by_as_list(df: DataFrame, keys: list[str], cols: list[str], order: lis
                  .alias("grouped_data")))
 
 
+def lists_by_place(df: DataFrame, keys: list[str], cols: list[str], order: list[str], length: int = 10_000) -> DataFrame:
+    """Rows of a key as array<struct> of a fixed length, with the key's full count.
+
+    A row's place in its key, by the order columns and then the others, says which list it is
+    in: list 0 holds the first `length` rows, and only a key's last list is shorter. What one
+    key holds changes nothing for another, no array grows with the data, and no row is lost.
+    """
+    cols = [c for c in cols if c not in order]
+    placed = place_within(df.select(*keys, *order, *cols), keys, [F.col(c) for c in [*order, *cols]], "_at")
+    lists = (placed.groupBy(*keys, F.floor(F.col("_at") / length).alias("list_no"))
+             .agg(F.array_sort(F.collect_list(F.struct("_at", *order, *cols))).alias("_rows"), F.count(F.lit(1)).alias("_size")))
+    counts = lists.groupBy(*keys).agg(F.sum("_size").alias("grouped_count"))
+    row = F.transform("_rows", lambda r: F.struct(*[r[c].alias(c) for c in [*order, *cols]]))
+    return join_back(lists, counts, keys).select(*keys, "list_no", "grouped_count", row.alias("grouped_data"))
+
+
 def first_non_empty(name: str, order: list[Column]) -> Column:
     """Aggregate: the value of the first row, in the order, whose value is not empty."""
     c = F.col(name)

@@ -12,7 +12,7 @@ from ..operators.aggregates import max_key
 from ..operators.columns import align_to_schema
 from ..operators.joins import left_lookup, update_keys
 from ..operators.ranking import latest_per_key
-from ..operators.sequence import generate_sequence
+from ..operators.sequence import generate_sequence, number_rows
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
 from .dims import NULL_TEXT, Mapping, apply_mapping
@@ -20,10 +20,12 @@ from .dims import NULL_TEXT, Mapping, apply_mapping
 IMPLIED_MATCHES = [MATCH_CODES[n] for n in ("phone_email_loyalty", "plcc_name_loyalty", "plcc_loyalty")]
 
 
-def fact_load(rows: DataFrame, target, key: str, order: list[Column], stored: DataFrame | None = None) -> DataFrame:
-    """Number new fact rows after the largest stored key and align them to the target table."""
+def fact_load(rows: DataFrame, target, key: str, order: list[Column] | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """Number new fact rows after the largest stored key and align them to the target table.
+    Keys follow an order if one is given; otherwise the rows are numbered where they lie."""
     start = 0 if stored is None else max_key(stored, key)
-    return align_to_schema(generate_sequence(rows, key, order, start), target)
+    numbered = generate_sequence(rows, key, order, start) if order else number_rows(rows, key, start)
+    return align_to_schema(numbered, target)
 
 
 # ---------------------------------------------------------------- rename-only facts

@@ -437,12 +437,22 @@ def agg_collect(w):
 @query("group_by_as_list", "tier_key int, grouped_count bigint, members bigint, smallest bigint", """
   select tier_key, count(*) as grouped_count, count(*) as members, min(member_key) as smallest from w_member group by tier_key""")
 def group_by_as_list(w):
-    # a key comes out in bounded chunks; all of them together hold every row
-    out = ag.group_by_as_list(w.member, ["tier_key"], ["city", "state"], ["member_key"])
+    # a key comes out in lists of bounded length; all of them together hold every row
+    out = ag.lists_by_place(w.member, ["tier_key"], ["city", "state"], ["member_key"])
     return out.groupBy("tier_key").agg(F.max("grouped_count").alias("grouped_count"), F.sum(F.size("grouped_data")).alias("members"),
                                        F.min(F.col("grouped_data")[0]["member_key"]).alias("smallest"))
 
 
+@query("lists_by_place", "state string, list_no bigint, grouped_count bigint, size bigint, first_key bigint, last_key bigint", """
+  select state, (r - 1) // 20 as list_no, any_value(n) as grouped_count, count(*) as size, min(member_key) as first_key, max(member_key) as last_key from (
+    select state, member_key, row_number() over (partition by state order by member_key) as r, count(*) over (partition by state) as n from w_member) x group by all""")
+def lists_by_place(w):
+    out = ag.lists_by_place(w.member, ["state"], ["city"], ["member_key"], length=20)
+    rows = F.col("grouped_data")
+    return out.select("state", "list_no", "grouped_count", F.size(rows).alias("size"), rows[0]["member_key"].alias("first_key"),
+                      F.element_at(rows, -1)["member_key"].alias("last_key"))
+
+
 @query("agg_household_identifier", "zip_code string, household_key bigint", """
   select zip_code, coalesce(arg_min(household_key, (customer_introduction_date, household_key))
     filter (where customer_introduction_date is not null), -1) as household_key from w_member group by zip_code""")

@@ -191,6 +191,19 @@ def fact_load(w):
                         "fact_click_data_id", [F.col("recipient_id").cast("bigint")], stored)
 
 
+@query("fact_load_unordered", "rows bigint, smallest bigint, largest bigint, keys bigint, events bigint", """
+  select count(*) as rows, 41 as smallest, 40 + count(*) as largest, count(*) as keys, count(distinct event_id) as events from events""")
+def fact_load_unordered(w):
+    stored = w.region.select((F.col("r_regionkey") * 10).cast("bigint").alias("fact_click_data_id"))
+    rows = fa.fact_load(fa.simple_fact("click", w.work_click, BATCH), "fact_click_data_id bigint, recipient_id string, delivery_code string, url_label string",
+                        "fact_click_data_id", stored=stored)
+    key = F.col("fact_click_data_id")
+    # distinct keys and events are counted by groups of their own, which combine
+    keys, events = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), rows.select("recipient_id").distinct()
+    return (keys.agg(F.sum("n").alias("rows"), F.min(key).alias("smallest"), F.max(key).alias("largest"), F.count(key).alias("keys"))
+            .crossJoin(F.broadcast(events.agg(F.count(F.lit(1)).alias("events")))))  # one row each
+
+
 def simple(key, name, schema, check):
     @query(key, schema, check)
     def run(w):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from patronage.operators import aggregates as ag, columns as co, filters as fi, joins as jo, ranking as rk, sets as st
 from patronage.operators.nearest import nearest_stores
-from patronage.operators.sequence import generate_sequence
+from patronage.operators.sequence import generate_sequence, number_rows, place_within
 from patronage.operators.sizing import broadcast_if_small
 from patronage.operators.skew import left_join_known
 
@@ -42,6 +42,44 @@ def test_sequence_of_nothing(spark):
     assert generate_sequence(spark.range(0), "n", [F.col("id")]).count() == 0
 
 
+def test_rows_are_numbered_where_they_lie(spark):
+    df = spark.range(0, 5000, 1, 7).withColumn("v", F.col("id") % 3)
+    start = spark.createDataFrame([(100,)], "max_key bigint")
+    out = number_rows(df, "n", start)
+    assert "rangepartitioning" not in plan(out) and "hashpartitioning(id" not in plan(out)
+    got = out.collect()
+    assert sorted(r.n for r in got) == list(range(101, 5101)) and sorted(r.id for r in got) == list(range(5000))
+    assert [r.n for r in sorted(got, key=lambda r: r.id)] == list(range(101, 5101))  # the order of the files
+    assert number_rows(df.limit(0), "n").count() == 0
+
+
+def test_place_within_a_hot_key(spark):
+    rows = [("hot", i * 37 % 3001) for i in range(3001)] + [(f"k{i % 50}", i) for i in range(500)] + [(None, i) for i in range(70)]
+    df = spark.createDataFrame(rows, "k string, v bigint").repartition(6)
+    by = {}
+    for r in place_within(df, ["k"], [F.col("v")], "at").collect():
+        by.setdefault(r.k, []).append((r.at, r.v))
+    want = {}
+    for k, v in rows:
+        want.setdefault(k, []).append(v)
+    assert {k: [v for _, v in sorted(x)] for k, x in by.items()} == {k: sorted(v) for k, v in want.items()}
+    assert all(sorted(at for at, _ in x) == list(range(len(x))) for x in by.values())
+
+
+def test_lists_of_a_key_do_not_depend_on_other_keys(spark):
+    rows = [(1, i, i * 2) for i in range(950)] + [(2, i, i) for i in range(30)] + [(None, 5, None), (None, 5, 1)]
+    def lists(rows):
+        got = ag.lists_by_place(spark.createDataFrame(rows, "k int, id bigint, v bigint").repartition(5), ["k"], ["v"], ["id"], length=100).collect()
+        return {(r.k, r.list_no): (r.grouped_count, [(x.id, x.v) for x in r.grouped_data]) for r in got}
+    before = lists(rows)
+    assert {k: len(v[1]) for k, v in before.items() if k[0] == 1} == {(1, i): 100 if i < 9 else 50 for i in range(10)}
+    assert before[(2, 0)] == (30, [(i, i) for i in range(30)]) and before[(None, 0)] == (2, [(5, None), (5, 1)])
+    assert [x for i in range(10) for x in before[(1, i)][1]] == [(i, i * 2) for i in range(950)]
+    after = lists(rows + [(1, 10_000 + i, 0) for i in range(40_000)])
+    assert {k: v for k, v in after.items() if k[0] != 1} == {k: v for k, v in before.items() if k[0] != 1}
+    assert max(len(v[1]) for v in after.values()) == 100
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark):
     df = spark.range(0, 1000).select((F.col("id") % 2).alias("k"), "id")
     out = rk.latest_per_key(df, "k", [F.col("id").desc()])
