@@ -269,7 +269,8 @@ def repeated_spans(docs: DataFrame, profile: DataFrame, n: int) -> DataFrame:
     total = first.agg(F.sum("n")).first()[0] or 0
     shard = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // SHARD_WORDS))))
     inner = (first.select("key", *DOC, "seq", "start", "seg", shard.alias("shard")).groupBy("shard").applyInArrow(_search(n), SPAN))
-    return whole.unionByName(inner)
+    # written one after the other: a shard takes much longer than a part of the join
+    return staged(whole, "whole").unionByName(staged(inner, "inner"))
 
 
 def without_repeats(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,8 +290,7 @@ def without_repeats(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", te
     sub = F.when(known, F.lit(0)).otherwise(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(LAST_ID)).bitwiseOR(F.lit(1)))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc_id"), text.alias("text"), sub.cast("long").alias("sub"))
     profile = staged(rows.mapInArrow(_profile, "doc_id long, sub long, n_words long, seq long, all_sha256 string"), "words")
-    spans = staged(repeated_spans(rows, profile, n), "spans")
-    by_doc = staged(spans.groupBy(*DOC).agg(F.collect_list(F.struct("seq", "low", "high")).alias("parts")), "parts")
+    by_doc = staged(repeated_spans(rows, profile, n).groupBy(*DOC).agg(F.collect_list(F.struct("seq", "low", "high")).alias("parts")), "parts")
     ids = broadcast_if_small(by_doc.select(*DOC))
     cut = staged(rows.join(ids, DOC, "left_semi").join(by_doc, DOC).select("doc_id", "text", "sub", "parts")
                  .mapInArrow(_cut_rows, CUT).dropDuplicates([*DOC, "seq"]), "cut")
