@@ -12,7 +12,6 @@ from ..operators.ranking import latest_per_key
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
 from ..operators.sizing import plan_bytes
-from ..operators.staging import stage
 
 META = ["last_updated_date", "status", "batch_id", "action_cd"]
 
@@ -82,6 +81,11 @@ def change_set(source: DataFrame, target: DataFrame, natural_keys: list[str], su
     (NCD) in an incremental load and disappears in a full one. Derived columns come from the
     source on insert and from the target otherwise.
     """
+    return _changes(source, target, natural_keys, surrogate, derived, "full" if incremental else "left")
+
+
+def _changes(source: DataFrame, target: DataFrame, natural_keys: list[str], surrogate: str, derived, how: str) -> DataFrame:
+    """The change set of one kind of join; of an anti join, the source rows that are inserts."""
     names = [c for c in target.columns if c not in META and c != surrogate and c not in derived and c not in KEY_COLUMNS]
     values = [c for c in names if c not in natural_keys]
     s = _keyed(source, natural_keys, target).withColumn("_in_s", F.lit(True))
@@ -89,7 +93,11 @@ def change_set(source: DataFrame, target: DataFrame, natural_keys: list[str], su
     same = F.lit(True)
     for c in sorted(set(s.columns) & KEY_COLUMNS):
         same = same & (F.col(f"s.{c}") == F.col(f"t.{c}"))
-    joined = s.alias("s").join(t.alias("t"), same, "full" if incremental else "left")
+    joined = s.alias("s").join(t.alias("t"), same, how)
+    if how == "left_anti":
+        missing = lambda c: F.lit(None).cast(target.schema[c].dataType).alias(c)
+        return joined.select(missing(surrogate), *names, *[F.col(c) if c in source.columns else missing(c) for c in derived],
+                             missing("last_updated_date"), F.lit("I").alias("action_cd"))
     text = lambda side, c: F.lower(F.col(f"{side}.{c}").cast("string"))
     changed = F.lit(False)
     for c in values:
@@ -111,26 +119,26 @@ def scd2_load(source: DataFrame, dimension: DataFrame, natural_keys: list[str],
     """(current partition, history partition) after the batch.
 
     Inserts, and updates when asked, are numbered after the largest current surrogate key in
-    the order of the natural key. Only the rows that the batch touches are written in between;
-    the others come straight out of the join, which moves no row of a dimension that
-    `store_dimension` has written.
+    the order of the natural key. Only these rows are written in between; the others come
+    straight out of the join, which moves no row of a dimension that `store_dimension` has written.
     """
     target = newest_batch(dimension)
-    changes = change_set(_latest(source, natural_keys, None, target), target, natural_keys, surrogate, derived, incremental)
-    touched = F.col("action_cd") != "NCD"
-    fresh = stage(changes.filter(touched))
-    needs_key = F.col("action_cd") == "I"
+    rows = _latest(source, natural_keys, None, target)
+    changes = lambda how: _changes(rows, target, natural_keys, surrogate, derived, how)
+    kept = changes("right" if incremental else "inner")
+    updated = F.col("action_cd") == "U"
     if new_key_on_update:
-        needs_key = F.col("action_cd").isin("I", "U")
+        fresh, kept = changes("left").filter(F.col("action_cd").isin("I", "U")), kept.filter(~updated)
+    else:
+        fresh = changes("left_anti")
     order = [F.lower(F.trim(F.col(k).cast("string"))) if t == "string" else F.col(k)
-             for k, t in changes.dtypes if k in natural_keys]
+             for k, t in fresh.dtypes if k in natural_keys]
     order += [F.col(k) for k in natural_keys]
-    numbered = generate_sequence(fresh.filter(needs_key).drop(surrogate), surrogate, order,
-                                 max_key(current_only(dimension), surrogate))
-    moved = union_all([numbered.select(*changes.columns), fresh.filter(~needs_key)]).withColumn("last_updated_date", as_date(date))
-    rows = union_all([moved, changes.filter(~touched)])
-    return tuple(part.withColumns({"batch_id": F.lit(batch_id), "status": F.lit(status)})
-                 for part, status in ((rows, STATUS_CURRENT), (moved, STATUS_HISTORY)))
+    numbered = generate_sequence(fresh.drop(surrogate), surrogate, order, max_key(current_only(dimension), surrogate)).select(*fresh.columns)
+    stamped = lambda d, status: d.withColumns({
+        "last_updated_date": F.when(F.col("action_cd") == "NCD", F.col("last_updated_date")).otherwise(as_date(date)),
+        "batch_id": F.lit(batch_id), "status": F.lit(status)})
+    return (stamped(union_all([numbered, kept]), STATUS_CURRENT), stamped(union_all([numbered, kept.filter(updated)]), STATUS_HISTORY))
 
 
 def scd2_process_load(work: DataFrame, dimension: DataFrame, process: str, natural_keys: list[str], surrogate: str,
