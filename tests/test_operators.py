@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from patronage.operators import aggregates as ag, columns as co, filters as fi, joins as jo, ranking as rk, sets as st
+from patronage.operators import nearest as near
 from patronage.operators.nearest import nearest_stores
 from patronage.operators.sequence import generate_sequence, number_rows, place_within
 from patronage.operators.sizing import broadcast_if_small
@@ -176,6 +177,35 @@ def test_nearest_stores_against_brute_force(spark):
         assert got[k].closest_store_key == order[0][1]
 
 
+def check_nearest(spark, members, stores):
+    m = spark.createDataFrame(members, "member_key int, latitude double, longitude double")
+    s = spark.createDataFrame(stores, "store_key int, latitude double, longitude double")
+    got = {r.member_key: r for r in nearest_stores(m, s).collect()}
+    for k, la, lo in members:
+        order = sorted((miles((la, lo), (x[1], x[2])), x[0]) for x in stores)
+        assert abs(got[k].distance - order[0][0]) < 1e-6 and abs(got[k].second_distance - order[1][0]) < 1e-6
+        assert miles((la, lo), next((x[1], x[2]) for x in stores if x[0] == got[k].closest_store_key)) < order[0][0] + 1e-6
+    homes, around = near.candidates(m, s)
+    return max(r["count"] for r in homes.join(around, near.CUBE).groupBy("_m").count().collect())
+
+
+def test_members_far_from_a_corner_full_of_stores_meet_few(spark, monkeypatch):
+    monkeypatch.setattr(near, "MOST", 64)
+    rnd = random.Random(9)
+    stores = [(i, rnd.uniform(40.0, 40.5), rnd.uniform(-83.5, -83.0)) for i in range(1500)]
+    members = [(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(60)]
+    members += [(100 + i, rnd.uniform(39.8, 40.7), rnd.uniform(-83.7, -82.8)) for i in range(60)]
+    assert check_nearest(spark, members, stores) <= near.MOST
+
+
+def test_stores_in_one_place_and_next_to_a_town(spark, monkeypatch):
+    """A mall of 300 stores at one point, a row of stores next to it, and two stores alone."""
+    monkeypatch.setattr(near, "MOST", 64)
+    stores = [(1000 - i, 40.0, -83.0) for i in range(300)] + [(2000 + i, 40.0 + i * 1e-5, -83.0) for i in range(1, 200)] + [(3000, 10.0, 10.0), (3001, 10.001, 10.0)]
+    members = [(1, 40.0, -83.0), (2, 40.0005, -83.0001), (3, 10.0, 10.0), (4, -40.0, 97.0), (5, 40.002, -83.0), (6, 41.0, -83.0)]
+    assert check_nearest(spark, members, stores) <= near.MOST
+
+
 def test_unknown_keys_are_dealt_over_all_tasks(spark):
     """Nine of ten rows have no key to look up: no task of the join holds more than its share."""
     n = 20_000
