@@ -8,6 +8,7 @@ from ..codes import UNKNOWN_KEY
 from ..functions.dates import as_date
 from ..functions.text import decode, is_empty, is_not_empty
 from ..operators.ranking import latest_per_key, with_key_aggregates
+from ..operators.rewrite import rewrite_keys
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
@@ -340,6 +341,14 @@ def rekey_fact(df: DataFrame, mapping: DataFrame, date) -> DataFrame:
     return out.withColumn("member_key", F.coalesce("_new", "member_key")).select(*df.columns)
 
 
+def rekey_stored(spark, path: str, mapping: DataFrame, change, parts: int = 512) -> list[int]:
+    """Re-key a table that `store_by_key` has written by member_key: only parts with an old or a
+    new key of the mapping are read and written. `change` re-keys rows, as `rekey_fact` does."""
+    valid = mapping.filter("not is_invalid")
+    touched = stage(valid.select(F.explode(F.array("old_member_key", "new_member_key")).alias("member_key")).distinct())
+    return rewrite_keys(spark, path, "member_key", touched, change, parts)
+
+
 def rekey_card_history(df: DataFrame, mapping: DataFrame, tiebreak: list[str]) -> DataFrame:
     """Card history: members that took over other members' rows keep one row per card, the
     latest, with the smallest batch id; all other rows stay as they are."""

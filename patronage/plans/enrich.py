@@ -12,6 +12,7 @@ from ..operators.columns import key_defaults
 from ..operators.joins import update_keys
 from ..operators.nearest import nearest_stores
 from ..operators.ranking import keep_best_ties, largest, latest_per_key, mark_best, newest, with_key_aggregates, yes_first
+from ..operators.rewrite import read_by_key, rewrite_keys
 from ..operators.sizing import broadcast_if_small
 from ..operators.skew import left_join_known
 from ..operators.staging import stage
@@ -441,21 +442,42 @@ SCRUB_DEFAULTS = {"current_source_key": 776, "overlay_rank_key": 0, "direct_mail
                   "address_is_prison": "UNKNOWN", "gender": "UNKNOWN", "gender_scrubbed": "UNKNOWN"}
 
 
-def scrub_prospects(member: DataFrame, history: DataFrame, since, purge_days: int, on) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(current, history, purged members per add date): prospects added since a date and older
-    than the purge period lose all but a few columns, in both partitions."""
+def _purged(since, purge_days: int, on) -> tuple[Column, Column]:
+    """(prospects to purge, those of them that were not scrubbed before)"""
     old = F.datediff(as_date(on), F.col("customer_add_date")) >= purge_days
     purge = F.coalesce((_up("record_type") == "PROSPECT") & (F.col("customer_add_date") >= as_date(since)) & old, F.lit(False))
-    fresh = purge & ~F.coalesce(F.col("current_source_key") == SCRUB_DEFAULTS["current_source_key"], F.lit(False))
-    defaults = {**key_defaults(member.schema), **SCRUB_DEFAULTS}
+    return purge, purge & ~F.coalesce(F.col("current_source_key") == SCRUB_DEFAULTS["current_source_key"], F.lit(False))
 
-    def wipe(df: DataFrame, cond: Column) -> DataFrame:
-        return df.select(*[F.col(c) if c in SCRUB_KEEPS else F.when(cond, F.lit(defaults.get(c)).cast(t)).otherwise(F.col(c)).alias(c)
-                           for c, t in df.dtypes])
 
-    current = wipe(member, fresh)
-    gone = member.filter(purge)
-    marked = history.join(gone.select("member_key").withColumn("_purge", F.lit(True)), "member_key", "left")
-    past = wipe(marked.filter("_purge").drop("_purge"), F.lit(True)).unionByName(marked.filter("_purge is null").drop("_purge"))
-    return current, past, gone.groupBy("customer_add_date").agg(F.count(F.lit(1)).alias("purge_record_count"))
+def _wiped(df: DataFrame, cond: Column) -> DataFrame:
+    defaults = {**key_defaults(df.schema), **SCRUB_DEFAULTS}
+    return df.select(*[F.col(c) if c in SCRUB_KEEPS else F.when(cond, F.lit(defaults.get(c)).cast(t)).otherwise(F.col(c)).alias(c)
+                       for c, t in df.dtypes])
+
+
+def _wiped_members(history: DataFrame, gone: DataFrame) -> DataFrame:
+    marked = history.join(broadcast_if_small(gone.select("member_key").withColumn("_purge", F.lit(True))), "member_key", "left")
+    return _wiped(marked, F.coalesce("_purge", F.lit(False))).select(*history.columns)
+
 
+def _purge_counts(gone: DataFrame) -> DataFrame:
+    return gone.groupBy("customer_add_date").agg(F.count(F.lit(1)).alias("purge_record_count"))
+
+
+def scrub_prospects(member: DataFrame, history: DataFrame, since, purge_days: int, on) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(current, history, purged members per add date): prospects added since a date and older
+    than the purge period lose all but a few columns, in both partitions."""
+    purge, fresh = _purged(since, purge_days, on)
+    gone = member.filter(purge)
+    return _wiped(member, fresh), _wiped_members(history, gone), _purge_counts(gone)
+
+
+def scrub_stored(spark, current: str, history: str, since, purge_days: int, on, parts: int = 512) -> DataFrame:
+    """The same for both partitions stored by member_key: only parts that hold a prospect to
+    purge are read again and written."""
+    purge, fresh = _purged(since, purge_days, on)
+    member = read_by_key(spark, current)
+    gone = stage(member.filter(purge).select("member_key", "customer_add_date", fresh.alias("_fresh")))
+    rewrite_keys(spark, current, "member_key", gone.filter("_fresh").select("member_key"), lambda rows: _wiped(rows, fresh), parts)
+    rewrite_keys(spark, history, "member_key", gone.select("member_key"), lambda rows: _wiped_members(rows, gone), parts)
+    return _purge_counts(gone)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators.staging import stage
+from ..operators.rewrite import read_by_key, store_by_key
+from ..operators.staging import stage, staging_folder
 from ..plans import dedup as dd, fuzzy, golden as gd
 from ..registry import CHECK_VIEWS, query
 
@@ -458,6 +461,20 @@ def rekey_fact(w):
     return dd.rekey_fact(w.tender_history, mapping(w), DAY)
 
 
+def new_path(w, name: str) -> str:
+    return f"{staging_folder(w.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("rekey_stored_fact", "trxn_id bigint, member_key bigint, tender_amount double", """
+  select trxn_id, coalesce(m.new_member_key, t.member_key) as member_key, tender_amount
+  from w_tender_history t left join o_map m on m.old_member_key = t.member_key""")
+def rekey_stored_fact(w):
+    path, changes = new_path(w, "tender"), mapping(w)
+    store_by_key(w.tender_history, "member_key", path, 64)
+    dd.rekey_stored(w.spark, path, changes, lambda rows: dd.rekey_fact(rows, changes, DAY), 64)
+    return read_by_key(w.spark, path)
+
+
 @query("rekey_card_history", "member_key bigint, tokenized_cc_nbr string, open_close_ind string, last_updated_date date", """
   with moved as (select coalesce(m.new_member_key, t.member_key) as mk, t.* from w_card_history t
     left join o_map m on m.old_member_key = t.member_key),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.joins import explode_key_list
+from ..operators.rewrite import read_by_key, store_by_key
 from ..operators.sets import union_all
+from ..operators.staging import staging_folder
 from ..plans import enrich as en, kpi
 from ..registry import CHECK_VIEWS, query
 from ..warehouse import INLINE, VIEWS
@@ -391,7 +395,7 @@ def enrich_phone_best_member(w):
     return en.phone_best_member(w.multi_phone, en.last_purchase(lines(w), "trxn_time_key", "total_line_amnt_after_discount"), latest_scores(w))
 
 
-@query("scrub_prospects", "part string, member_key bigint, first_name string, household_key bigint, current_source_key int, direct_mail_consent string, gender string, purge_record_count bigint", """
+SCRUB = ("part string, member_key bigint, first_name string, household_key bigint, current_source_key int, direct_mail_consent string, gender string, purge_record_count bigint", """
   with m as (select *, old_type = 'PROSPECT' and customer_add_date >= date '2001-02-01' and date_diff('day', customer_add_date, date '2001-08-01') >= 90 as purge from w_enr)
   select 'current' as part, member_key, case when purge then null else first_name end as first_name, case when purge then -1 else household_key end as household_key,
     case when purge then 776 else current_source_key end as current_source_key, case when purge then 'UNKNOWN' else direct_mail_consent end as direct_mail_consent,
@@ -399,14 +403,30 @@ def enrich_phone_best_member(w):
   union all select 'history', member_key, case when purge then null else first_name end, case when purge then -1 else household_key end, case when purge then 776 else current_source_key end,
     case when purge then 'UNKNOWN' else direct_mail_consent end, case when purge then 'UNKNOWN' else gender end, null from m
   union all select 'counts', date_diff('day', date '2001-01-01', customer_add_date), null, null, null, null, null, count(*) from m where purge group by customer_add_date""")
-def scrub_prospects(w):
-    member = w.enr.drop("record_type").withColumnRenamed("old_type", "record_type")
-    current, history, counts = en.scrub_prospects(member, member, "2001-02-01", 90, DAY)
+
+
+def _scrubbed(current, history, counts):
     cols = ["member_key", "first_name", "household_key", "current_source_key", "direct_mail_consent", "gender"]
     counted = counts.select(F.lit("counts").alias("part"), F.datediff("customer_add_date", F.lit("2001-01-01").cast("date")).cast("bigint").alias("member_key"), "purge_record_count")
     return union_all([current.select(F.lit("current").alias("part"), *cols), history.select(F.lit("history").alias("part"), *cols), counted], allow_missing=True)
 
 
+@query("scrub_prospects", *SCRUB)
+def scrub_prospects(w):
+    member = w.enr.drop("record_type").withColumnRenamed("old_type", "record_type")
+    return _scrubbed(*en.scrub_prospects(member, member, "2001-02-01", 90, DAY))
+
+
+@query("scrub_stored", *SCRUB)
+def scrub_stored(w):
+    member = w.enr.drop("record_type").withColumnRenamed("old_type", "record_type")
+    paths = [f"{staging_folder(w.spark)}/member-{part}-{uuid.uuid4().hex}" for part in ("current", "history")]
+    for path in paths:
+        store_by_key(member, "member_key", path, 64)
+    counts = en.scrub_stored(w.spark, *paths, "2001-02-01", 90, DAY, 64)
+    return _scrubbed(*[read_by_key(w.spark, path) for path in paths], counts)
+
+
 # ---------------------------------------------------------------- indicators
 
 VIEWS["w_kpi_member"] = """

@@ -105,6 +105,23 @@ def test_compare(spark):
     assert [tuple(r) for r in rows.collect()] == [(2, "y:yy", "q")]
 
 
+def test_compare_joins_only_ranges_that_differ(spark):
+    """Ten changed rows, three new and two lost ones among 20,000."""
+    a = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 97).cast("string").alias("v"), F.lit("W").alias("w"))
+    change = (F.col("k") % 2000 == 7)
+    b = (a.withColumn("v", F.when(change, "other").otherwise(F.col("v"))).withColumn("w", F.lit("w")).filter("k not in (11, 12)")
+         .unionByName(spark.range(30_000, 30_003).select(F.col("id").alias("k"), F.lit("1").alias("v"), F.lit("w").alias("w")))
+         .unionByName(spark.createDataFrame([(None, "x", "y")], "k bigint, v string, w string")))
+    one, two = (hs._digested(d, ["k"], ["v", "w"], b) for d in (a, b))
+    differ = hs.open_ranges(one, two)
+    assert one.join(differ, ["_r0", "_r1"], "left_semi").count() <= 15
+    counts, rows, columns = hs.compare_tables(a, b, ["k"])
+    assert tuple(counts.first()) == (20_000, 20_002, 19_998, 10) and tuple(columns.first()) == (10, 0)
+    assert sorted(r.k for r in rows.collect()) == [7 + 2000 * i for i in range(10)]
+    same = hs.compare_tables(a, a.repartition(3), ["k"])
+    assert tuple(same[0].first()) == (20_000, 20_000, 20_000, 0) and same[1].count() == 0
+
+
 def test_stored_dimension_stays_where_it_lies(spark, tmp_path):
     """The join of a batch with a bucketed dimension shuffles the source once and the dimension never."""
     rows = [(i, f" Key{i} " if i else None, i if i % 7 else None, "v", D(2001, 1, 1), "current", "1") for i in range(200)]

@@ -6,11 +6,12 @@ import random
 from pyspark.sql import functions as F
 
 from patronage.operators import aggregates as ag, columns as co, filters as fi, joins as jo, ranking as rk, sets as st
-from patronage.operators import nearest as near
+from patronage.operators import nearest as near, rewrite as rw
 from patronage.operators.nearest import nearest_stores
 from patronage.operators.sequence import generate_sequence, number_rows, place_within
 from patronage.operators.sizing import broadcast_if_small
 from patronage.operators.skew import left_join_known
+from patronage.plans import dedup as dd
 
 
 def plan(df):
@@ -226,3 +227,28 @@ def test_unknown_keys_are_dealt_over_all_tasks(spark):
     assert len(sizes) == 16 and max(sizes) < 1.3 * n / 16
     want = {i: ("YES" if i % 40 == 10 else None) for i in range(n)}
     assert len(rows) == n and {r.member_key: r.flag for r in rows} == want
+
+
+def test_only_touched_parts_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, "v", float(i)) for i in range(2000)] + [(None, "n", 0.0)]
+    schema = "member_key bigint, v string, amount double"
+    rw.store_by_key(spark.createDataFrame(rows, schema), "member_key", path, 40)
+    files = lambda: {f.relative_to(path) for f in (tmp_path / "t").rglob("*.parquet")}
+    before = files()
+    moves = spark.createDataFrame([(5, 900, False), (17, 901, False), (30, 31, True)], "old_member_key bigint, new_member_key bigint, is_invalid boolean")
+    parts = dd.rekey_stored(spark, path, moves, lambda r: dd.rekey_fact(r, moves, None), 40)
+    assert 1 <= len(parts) <= 4
+    kept = {f for f in before if int(str(f).split("=")[1].split("/")[0]) not in parts}
+    assert kept and kept == before & files()
+    new = {5: 900, 17: 901}
+    want = sorted(((new.get(k, k), v, a) for k, v, a in rows), key=repr)
+    assert sorted(map(tuple, rw.read_by_key(spark, path).collect()), key=repr) == want
+    assert rw.rewrite_keys(spark, path, "member_key", moves.select("old_member_key").limit(0), lambda r: r, 40) == []
+
+
+def test_part_left_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rw.store_by_key(spark.range(3).withColumnRenamed("id", "k"), "k", path, 50)
+    rw.rewrite_keys(spark, path, "k", spark.createDataFrame([(1,)], "k bigint"), lambda r: r.filter("k <> 1"), 50)
+    assert sorted(r.k for r in rw.read_by_key(spark, path).collect()) == [0, 2]
