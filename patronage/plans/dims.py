@@ -16,6 +16,7 @@ from ..operators.ranking import latest_per_key
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
+from .scd import scd2_process_load
 
 
 @dataclass(frozen=True)
@@ -240,6 +241,24 @@ def scoring_model(models: DataFrame, scored: dict[int, int], scoring_day, data_t
     return current, history
 
 
+# ---------------------------------------------------------------- member tables
+
+# ---- fixed values: natural key, surrogate key and columns taken over on insert only ----
+MEMBER_TABLES = {
+    "multi_email": (["member_key", "email_address"], "member_multi_email_key", ["original_source_key", "original_store_key"]),
+    "multi_phone": (["member_key", "phone_number"], "member_multi_phone_key", ["original_source_key"]),
+    "consent": (["member_key", "consent_type"], "consent_history_id", ["original_source_key"]),
+}
+
+
+def member_table_load(name: str, work: DataFrame, dimension: DataFrame, process: str, batch_id: str, date) -> tuple[DataFrame, DataFrame]:
+    """(current, history) of a table of members' addresses, phones or consents after the rows of
+    one process of the work layer. Rows that are already numbered or marked there are so anew."""
+    natural, surrogate, derived = MEMBER_TABLES[name]
+    rows = work.drop(surrogate, "last_updated_date", "action_flag", "action_cd")
+    return scd2_process_load(rows, dimension, process, natural, surrogate, batch_id, date, derived)
+
+
 # ---------------------------------------------------------------- first loads
 
 HOUSEHOLD_DATES = ["first_trxn_date", "add_date", "introduction_date", "last_store_purch_date", "last_web_purch_date",

@@ -241,6 +241,50 @@ loaded("member_multi_phone", "phone_number", "bigint", "multi_phone", "phone_con
 loaded("member_consent", "consent_type", "string", "consent", "consent_value", "string", [])
 
 
+def daily(name: str, table: str, key: str, kind: str, values: str, number: str):
+    """A day of a stored member table: new, changed and untouched rows, and rows the day does not
+    hold. Keys of stored rows follow from member and kind of row, those of new ones go on from there."""
+    natural, surrogate, derived = dm.MEMBER_TABLES[name]
+    origin = ", ".join(f"cast(member_key % {7 + i} as int) as {c}" for i, c in enumerate(derived))
+    fresh = ", ".join(f"cast(100 + member_key % {7 + i} as int) as {c}" for i, c in enumerate(derived))
+    value, *others = values.split(", ")
+    names = ", ".join([value, *others])
+    VIEWS[f"w_stored_{name}"] = f"""
+      select {number} as {surrogate}, member_key, {key}, case when member_key % 5 = 0 then 'OLD' else {value} end as {value}, {"".join(o + ", " for o in others)}{origin},
+        last_updated_date, 'current' as status, '20010731000000' as batch_id from {{w_{table}}} where member_key % 4 <> 0"""
+    VIEWS[f"w_day_{name}"] = f"""
+      select 0 as {surrogate}, member_key, {key}, {names}, {fresh}, last_updated_date, 'X' as action_flag,
+        case when member_key % 9 = 1 then 'other' else 'till' end as process from {{w_{table}}} where member_key % 11 <> 0"""
+    differ = " or ".join(f"lower(cast(s.{c} as varchar)) is distinct from lower(cast(t.{c} as varchar))" for c in [value, *others])
+    taken = ", ".join(f"case when act = 'NCD' then t.{c} else s.{c} end as {c}" for c in [value, *others])
+    first = ", ".join(f"case when act = 'I' then s.{c} else t.{c} end as {c}" for c in derived)
+    sort = f"lower(trim({key}))" if kind == "string" else key
+    columns = ", ".join([f"{surrogate} bigint", "member_key bigint", f"{key} {kind}", *[f"{c} {'date' if c.endswith('date') else 'string'}" for c in [value, *others]],
+                         *[f"{c} int" for c in derived], "action_cd string", "last_updated_date date", "status string"])
+
+    @query(f"dim_member_{name}_daily", columns, f"""
+      with s as (select * from w_day_{name} where process = 'till'),
+      c as (select t.{surrogate} as old_key, coalesce(s.member_key, t.member_key) as member_key, coalesce(s.{key}, t.{key}) as {key}, {taken}, {first}, act as action_cd, t.last_updated_date as was
+        from (select s.member_key as sm, s.{key} as sk, t.member_key as tm, t.{key} as tk,
+            case when t.member_key is null then 'I' when s.member_key is null then 'NCD' when {differ} then 'U' else 'NCD' end as act
+          from s full join w_stored_{name} t on s.member_key = t.member_key and s.{key} = t.{key}) a
+        left join s on s.member_key = sm and s.{key} = sk left join w_stored_{name} t on t.member_key = tm and t.{key} = tk),
+      n as (select member_key, {key}, (select max({surrogate}) from w_stored_{name}) + row_number() over (order by member_key, {sort}, {key}) as new_key from c where action_cd <> 'NCD'),
+      r as (select c.* exclude (old_key, was), coalesce(new_key, old_key) as {surrogate}, case when action_cd = 'NCD' then was else date '{DAY}' end as last_updated_date
+        from c left join n on n.member_key = c.member_key and n.{key} = c.{key})
+      select *, 'current' as status from r union all select *, 'history' from r where action_cd <> 'NCD'""")
+    def run(w):
+        stored_table = w.stored_dimension(f"w_stored_{name}", natural)
+        return union_all(dm.member_table_load(name, w[f"w_day_{name}"], stored_table, "till", BATCH, DAY))
+
+
+daily("multi_email", "multi_email", "email_address", "string", "email_consent, valid_email, consent_date",
+      "member_key * 4 + case when email_address like 'alt%' then 1 else 0 end")
+daily("multi_phone", "multi_phone", "phone_number", "bigint", "phone_consent, phone_type, consent_date",
+      "member_key * 4 + case when phone_type = 'HOME' then 1 else 0 end")
+daily("consent", "consent", "consent_type", "string", "consent_value, consent_date", "member_key * 4 + case when consent_type = 'SMS' then 1 else 0 end")
+
+
 @query("dim_member", CHANGE + ", status string", """
   with k as (select member_key, (select max(member_sk) from w_scd_backup where status = 'current') + row_number() over (order by member_key) as sk
     from o_chg where action_cd <> 'NCD'),
