@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import age_years, as_date
@@ -200,22 +202,83 @@ def lookup(df: DataFrame, where: str, columns: list[str], run_date) -> DataFrame
     return df.filter(where).select(*columns).withColumn("run_date", as_date(run_date))
 
 
+def _newest_run(df: DataFrame) -> DataFrame:
+    """Rows of the newest run date, found by a one-row aggregate that is joined back."""
+    return df.join(F.broadcast(df.agg(F.max("run_date").alias("run_date"))), "run_date", "left_semi")
+
+
 def feed(extract: DataFrame, constants: DataFrame, codes: dict, clean: list[str], columns: list[str], start, end=None, order: str = "ingest_date") -> DataFrame:
     """Rows of a run date (or range of dates): codes to constant ids (-1 if unknown) from the
     newest constants, delimiter and null texts removed, ordered by ingest date."""
     run = F.col("run_date")
     rows = extract.filter(run.between(as_date(start), as_date(end)) if end else run == as_date(start))
-    last = constants.agg(F.max("run_date")).first()[0]
-    out = constant_domain(rows, constants.filter(F.col("run_date") == F.lit(last)), codes, fill=-1)
+    out = constant_domain(rows, _newest_run(constants), codes, fill=-1) if codes else rows
     out = null_text_to_empty(strip_delimiter(out, clean), clean) if clean else out
     return out.select(*columns).orderBy(order)
 
 
 def snapshot_feed(extract: DataFrame, clean: list[str], columns: list[str], run_date) -> DataFrame:
     """Newest snapshot of a lookup extract, stamped with the feed's date."""
-    last = extract.agg(F.max("run_date")).first()[0]
-    rows = extract.filter(F.col("run_date") == F.lit(last)).withColumn("run_date", as_date(run_date))
-    return null_text_to_empty(strip_delimiter(rows, clean), clean).select(*columns)
+    rows = _newest_run(extract).withColumn("run_date", as_date(run_date))
+    return (null_text_to_empty(strip_delimiter(rows, clean), clean) if clean else rows).select(*columns)
+
+
+@dataclass(frozen=True)
+class FeedShape:
+    """How an extract becomes a feed: coded columns with their constant type (and default),
+    columns cleaned of the delimiter, columns of the feed (None: the extract's own, as stored).
+    A snapshot is fed whole from its newest run, others by run date."""
+
+    codes: dict = field(default_factory=dict)
+    clean: tuple[str, ...] = ()
+    columns: tuple[str, ...] | None = None
+    snapshot: bool = False
+
+
+# ---- fixed values: the twelve feeds ------------------------------------------------------
+FEEDS = {
+    "household": FeedShape({"is_express_plcc": ["FLAG"], "valid_address": ["VALID ADDRESS"], "record_type": ["RECORD TYPE"]}, ("zip_code",), (
+        "household_key", "member_count", "first_trxn_date", "is_express_plcc", "add_date", "introduction_date", "last_store_purch_date", "last_web_purch_date",
+        "account_open_date", "zip_code", "scoring_model_key", "scoring_model_segment_key", "valid_address", "record_type", "associated_member_key",
+        "ingest_date", "cc_flag", "run_date")),
+    "customer": FeedShape({
+        "valid_strict": ["FLAG"], "valid_loose": ["FLAG"], "valid_email": ["FLAG"], "valid_phone_for_sms": ["FLAG"], "phone_type": ["PHONE TYPE", "UNKNOWN"],
+        "gender": ["GENDER", "UNKNOWN"], "direct_mail_consent": ["FLAG", "UNKNOWN"], "email_consent": ["FLAG", "UNKNOWN"], "sms_consent": ["FLAG", "UNKNOWN"],
+        "deceased": ["FLAG", "UNKNOWN"], "address_is_prison": ["FLAG", "UNKNOWN"], "is_express_plcc": ["FLAG"], "ads_do_not_statement_insert": ["ADS_DO_NOT_INSERT"],
+        "ads_do_not_sell_name": ["ADS_DO_NOT_SELL"], "ads_spam_indicator": ["ADS_SPAM_INDICATOR"], "ads_return_mail_ind": ["ADS_RETURN_MAIL_INDICATOR"],
+        "gender_merch_units": ["GENDER PREF"], "gender_merch_spend": ["GENDER PREF"], "customer_age_qualifier": ["AGE QUALIFIER"], "is_dm_marketable": ["FLAG"],
+        "is_em_marketable": ["FLAG"], "is_sms_marketable": ["FLAG"], "record_type": ["RECORD TYPE"], "preferred_channel": ["CHANNEL"],
+        "dominant_shopping_channel": ["CHANNEL"], "is_loyalty_member": ["FLAG"], "tier_name": ["LOTALTY TIER"], "member_status": ["LOYALTY STATUS", "UNKNOWN"]}, (
+        "first_name", "last_name", "address1", "address2", "city", "state", "zip_code", "zip4", "first_name_scrubbed", "last_name_scrubbed", "address1_scrubbed",
+        "address2_scrubbed", "city_scrubbed", "state_scrubbed", "zip_code_scrubbed", "zip4_scrubbed", "zip_full_scrubbed", "non_us_postal_code", "country_code",
+        "country_code_scrubbed", "email_address")),
+    "transaction_detail": FeedShape({"is_shipping_cost": ["FLAG"], "markdown_type": ["MARKDOWN TYPE"], "gift_card_sales_ind": ["FLAG"], "post_void_ind": ["INDICATOR"]}),
+    "transaction_summary": FeedShape({"has_tender": ["FLAG"], "has_detail": ["FLAG"], "gift_card_sales_only_ind": ["FLAG"], "enrollment_trxn_flag": ["FLAG"]}),
+    "constants": FeedShape(columns=("constant_id", "constant_value", "constant_desc", "constant_type", "run_date"), snapshot=True),
+    "customer_dedup_mtx": FeedShape(columns=("old_member_key", "new_member_key", "customer_deduped_date", "cc_flag", "run_date")),
+    "customer_dedup_txn_mtx": FeedShape(columns=(
+        "member_key", "trxn_date", "store_id", "trxn_nbr", "exp_order_id", "register_nbr", "dedupe_run_date", "cc_flag", "run_date")),
+    "lkp_source": FeedShape(clean=("source_description",), snapshot=True),
+    "lkp_scoring_model": FeedShape(snapshot=True),
+    "lkp_scoring_model_segment": FeedShape(columns=(
+        "scoring_model_segment_key", "model_id", "segment_type", "segment_rank", "segment_description", "segment_grouping", "segment_grouping_rank",
+        "segment_in_use", "run_date"), snapshot=True),
+    "lkp_transaction_type": FeedShape(snapshot=True),
+    "lkp_discount_type": FeedShape(columns=(
+        "discount_type_key", "discount_type_code", "discount_deal_code", "discount_type_description", "discount_deal_description", "data_source", "run_date"), snapshot=True),
+}
+
+
+def export_feed(name: str, extract: DataFrame, constants: DataFrame, start, end=None, order: str = "ingest_date") -> DataFrame:
+    """One of the twelve feeds from its extract. Coded and cleaned columns that an extract of the
+    feed does not have are left out; a feed with columns of its own needs all of them."""
+    shape = FEEDS[name]
+    columns = list(shape.columns or extract.columns)
+    clean = [c for c in shape.clean if c in extract.columns]
+    if shape.snapshot:
+        return snapshot_feed(extract, clean, columns, start)
+    codes = {c: kind for c, kind in shape.codes.items() if c in extract.columns}
+    return feed(extract, constants, codes, clean, columns, start, end, order if order in columns else columns[0])
 
 
 def validate_household(df: DataFrame) -> DataFrame:

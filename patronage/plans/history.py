@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..codes import UNKNOWN_KEY
 from ..functions.dates import as_date
-from ..functions.text import is_empty, is_not_empty
+from ..functions.text import is_empty, is_not_empty, normalize_flag
 from ..operators.aggregates import max_key
 from ..operators.columns import apply_expressions, empty_to_null, rename_columns
 from ..operators.joins import left_lookup, update_keys
-from ..operators.ranking import latest_per_key, mark_best, newest
+from ..operators.ranking import largest, latest_per_key, mark_best, newest
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
@@ -55,6 +58,77 @@ def hist_dim_load(rows: DataFrame, key: str, group: list[str], order: list[Colum
     return union_all(parts).withColumn("batch_id", F.lit(batch_id))
 
 
+@dataclass(frozen=True)
+class FirstLoad:
+    """Surrogate key, how keys are given, and which row of a group is the current one."""
+
+    key: str
+    mode: str
+    group: tuple[str, ...]
+    order: tuple[str, ...]
+
+
+# ---- fixed values: keys and groups of the dimensions' first loads ------------------------
+FIRST_LOADS = {
+    "currency": FirstLoad("currency_key", "keep", ("currency_code",), ("create_date",)),
+    "discount_type": FirstLoad("discount_type_key", "keep", ("discount_type_code", "discount_deal_code"), ("create_date",)),
+    "product": FirstLoad("product_key", "keep", ("item_nbr",), ("product_key",)),
+    "ring_code": FirstLoad("ring_code_id", "per_key", ("campaign_key", "campaign_code", "cell_code", "campaign_segment_key", "ring_code"), ("create_date",)),
+    "employee": FirstLoad("employee_key", "keep", ("employee_id",), ("create_date",)),
+    "store_master": FirstLoad("store_key", "keep", ("store_id",), ("create_date",)),
+    "store_group": FirstLoad("store_group_key", "per_key", ("record_key", "active_store_number"), ("store_key",)),
+    "member": FirstLoad("member_id", "per_row", ("member_key",), ("member_key",)),
+    "member_multi_phone": FirstLoad("member_multi_phone_key", "per_row", ("member_key", "phone_number"), ("create_date",)),
+    "member_multi_email": FirstLoad("member_multi_email_key", "per_row", ("member_key", "email_address"), (
+        "consent_date_retail", "consent_date_outlet", "consent_date_next", "first_pos_consent_date")),
+    "member_consent": FirstLoad("consent_history_id", "keep", ("member_key", "consent_type"), ("create_date",)),
+    "household": FirstLoad("household_id", "per_row", ("household_key",), ("create_date",)),
+    "cs_agent": FirstLoad("cs_agent_key", "per_key", ("cs_agent_id",), ("createdate",)),
+    "kill_list": FirstLoad("kill_list_id", "per_key", ("ip_code", "household_key", "first_name", "last_name", "address_line_one", "zipcode"), ("createdate",)),
+    "reward_def": FirstLoad("reward_def_key", "per_key", ("reward_def_id",), ("createdate",)),
+    "tier": FirstLoad("tier_key", "keep", ("tier_id",), ("updatedate",)),
+    "scoring_model": FirstLoad("scoring_model_key", "keep", ("scoring_model_key",), ()),
+}
+
+
+@dataclass(frozen=True)
+class ColumnMap:
+    """What a landed file needs before its first load: new names, columns that are set to null
+    or to -1, free-text flags with their spellings (None: yes, no and unknown), expressions.
+    The maps of a warehouse are data of its own; `from_json` reads them by table."""
+
+    renames: dict = field(default_factory=dict)
+    nulls: tuple[str, ...] = ()
+    unknown: tuple[str, ...] = ()
+    flags: dict = field(default_factory=dict)
+    expressions: dict = field(default_factory=dict)
+
+    @staticmethod
+    def from_json(text: str) -> dict[str, ColumnMap]:
+        return {name: ColumnMap(m.get("renames", {}), tuple(m.get("nulls", ())), tuple(m.get("unknown", ())), m.get("flags", {}), m.get("expressions", {}))
+                for name, m in json.loads(text).items()}
+
+    def applied(self, rows: DataFrame) -> DataFrame:
+        out = rename_columns(rows, self.renames)
+        fixed = {c: F.lit(None).cast(out.schema[c].dataType if c in out.columns else "string") for c in self.nulls}
+        fixed |= {c: F.lit(UNKNOWN_KEY).cast(out.schema[c].dataType if c in out.columns else "bigint") for c in self.unknown}
+        fixed |= {c: normalize_flag(F.col(c), values) for c, values in self.flags.items()}
+        return apply_expressions(out.withColumns(fixed) if fixed else out, self.expressions)
+
+
+def first_load(name: str, rows: DataFrame, batch_id: str, columns: ColumnMap | None = None, stored: DataFrame | None = None, defaults: bool = True) -> DataFrame:
+    """First load of a dimension from its landed rows, by its keys and its map of columns. The
+    newest row by the order columns is a group's current one; further columns break ties."""
+    spec = FIRST_LOADS[name]
+    out = (columns or ColumnMap()).applied(rows)
+    if spec.key not in out.columns:
+        out = out.withColumn(spec.key, F.lit(None).cast("bigint"))
+    rest = sorted(set(out.columns) - {spec.key, *spec.group, *spec.order})
+    dated = lambda c: out.schema[c].dataType.typeName() in ("date", "timestamp")
+    order = [*[newest(c) if dated(c) else largest(c) for c in spec.order], *[F.col(c) for c in rest]]
+    return hist_dim_load(out, spec.key, list(spec.group), order, batch_id, spec.mode, stored=stored, defaults=defaults)
+
+
 # fixed values: date patterns of landed files
 FILE_DATE, FILE_STAMP, ISO_DATE = "MM/dd/yyyy HH:mm:ss", "yyyyMMddHHmmss", "yyyy-MM-dd"
 

@@ -203,6 +203,47 @@ def edw_feed_snapshot(w):
     return edw.snapshot_feed(w.exp_const, ["constant_value"], ["constant_id", "constant_type", "constant_value", "run_date"], RUN)
 
 
+VIEWS["w_feed_household"] = """
+select household_key, cast(household_key % 5 as int) as member_count, case household_key % 3 when 0 then 'M' when 1 then ' f ' else 'none' end as record_type, 'a|b' || cast(household_key % 90 as string) as zip_code,
+  date '2001-07-01' + cast(household_key % 20 as int) as ingest_date, 'A' as cc_flag, case when household_key % 7 = 0 then date '2001-07-01' else date '2001-08-01' end as run_date from {w_household}
+"""
+VIEWS["w_feed_detail"] = """
+select trxn_id as transaction_detail_id, member_key, case trxn_id % 3 when 0 then 'MALE' when 1 then 'x' else null end as markdown_type, trxn_date as ingest_date, date '2001-08-01' as run_date from {w_trxn_head}
+"""
+INLINE.update({"w_feed_household", "w_feed_detail"})
+_GENDERS = "(select lower(trim(constant_value)) as v, constant_id as id from w_exp_const where run_date = date '2001-08-01' and constant_type = 'GENDER')"
+
+
+def _as_type(constants, kind: str):
+    """The stored constants with one type under the name that a feed asks for."""
+    return constants.withColumn("constant_type", F.when(F.col("constant_type") == "GENDER", F.lit(kind)).otherwise(F.col("constant_type")))
+
+
+@query("edw_feed_household", "household_key bigint, member_count int, record_type int, zip_code string, add_date date, ingest_date date, cc_flag string", f"""
+  select household_key, member_count, coalesce(id, -1) as record_type, replace(zip_code, '|', '') as zip_code, cast(null as date) as add_date, ingest_date, cc_flag
+  from w_feed_household left join {_GENDERS} g on v = lower(trim(record_type)) where run_date = date '2001-08-01'""")
+def edw_feed_household(w):
+    rows = w["w_feed_household"]
+    filled = rows.withColumns({c: F.lit(None).cast("date" if c.endswith("date") else "string") for c in edw.FEEDS["household"].columns if c not in rows.columns})
+    return edw.export_feed("household", filled, _as_type(w.exp_const, "RECORD TYPE"), "2001-08-01")
+
+
+@query("edw_feed_detail", "transaction_detail_id bigint, member_key bigint, markdown_type int, ingest_date date", f"""
+  select transaction_detail_id, member_key, coalesce(id, -1) as markdown_type, ingest_date from w_feed_detail left join {_GENDERS} g on v = lower(trim(markdown_type))""")
+def edw_feed_detail(w):
+    return edw.export_feed("transaction_detail", w["w_feed_detail"], _as_type(w.exp_const, "MARKDOWN TYPE"), "2001-08-01")
+
+
+@query("edw_feed_lookups", "feed string, rows bigint, columns string", f"""
+  select 'constants' as feed, count(*) as rows, 'constant_id,constant_value,constant_desc,constant_type,run_date' as columns from w_exp_const where run_date = date '2001-08-01'
+  union all select 'lkp_transaction_type', count(*), 'transaction_type_key,run_date' from w_work_types""")
+def edw_feed_lookups(w):
+    constants = w.exp_const.withColumn("constant_desc", F.lit(None).cast("string"))
+    types = w.work_types.select("transaction_type_key", F.lit("2001-08-01").cast("date").alias("run_date"))
+    feeds = {"constants": edw.export_feed("constants", constants, constants, RUN), "lkp_transaction_type": edw.export_feed("lkp_transaction_type", types, constants, RUN)}
+    return union_all([d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("feed"), "rows", F.lit(",".join(d.columns)).alias("columns")) for n, d in feeds.items()])
+
+
 @query("edw_validation", "distinct_member_count bigint, loyalty_records_count bigint, active_records_count bigint, plcc_records_yes bigint, plcc_records_no bigint", """
   select count(distinct member_key) as distinct_member_count, count(loyalty_id) as loyalty_records_count, sum(case when upper(trim(member_status)) = 'ACTIVE' then 1 else 0 end) as active_records_count,
     sum(case when upper(trim(is_plcc)) = 'YES' then 1 else 0 end) as plcc_records_yes, sum(case when upper(trim(is_plcc)) = 'NO' then 1 else 0 end) as plcc_records_no from w_exp_member""")
@@ -262,6 +303,69 @@ def hist_dim_load_keep(w):
                             mode="keep", renames={"given": "first_name"}, expressions=_HIST_EXPR)
 
 
+# landed files of three dimensions, one for each way of giving keys
+VIEWS["w_land_store"] = """
+select cast(store_key as string) as store_key, store_id, store_name as name, case store_key % 4 when 0 then 'y' when 1 then ' No' when 2 then 'unknown' else ' ' end as rtl_flag,
+  'X' as price_group_code, date '2001-01-01' + cast(store_key % 30 as int) as create_date from {w_store}
+union all select cast(store_key + 100000 as string) as store_key, store_id, upper(store_name) as name, 'YES' as rtl_flag, 'Y' as price_group_code, date '2000-01-01' as create_date
+from {w_store} where store_key % 3 = 0
+union all select '0' as store_key, store_id + 900000 as store_id, store_name as name, 'n' as rtl_flag, 'Z' as price_group_code, date '2000-01-01' as create_date from {w_store} where store_key = 2
+"""
+VIEWS["w_land_agent"] = """
+select s_suppkey as cs_agent_id, s_name as agent_name, date '2001-01-01' + cast(s_suppkey % 30 as int) as createdate from {supplier}
+union all select s_suppkey as cs_agent_id, 'former ' || s_name as agent_name, date '2000-06-01' as createdate from {supplier} where s_suppkey % 4 = 1
+"""
+VIEWS["w_land_phone"] = """
+select member_key, phone_number, case phone_consent when 'YES' then 'Y' when 'NO' then '0' else 'Unknown' end as consent, last_updated_date as create_date from {w_multi_phone}
+union all select member_key, phone_number, ' ' as consent, date '1998-01-01' as create_date from {w_multi_phone} where member_key % 5 = 0
+"""
+for _n in ("w_land_store", "w_land_agent", "w_land_phone"):
+    INLINE.add(_n)
+MAPS = """{
+  "store_master": {"renames": {"name": "store_name"}, "nulls": ["price_group_code"], "unknown": ["district_key"], "flags": {"rtl_flag": {"y": "Y", "yes": "Y", "1": "Y", "n": "N", "no": "N", "0": "N", "unknown": "UNKNOWN"}}},
+  "cs_agent": {"expressions": {"agent_name": "upper(agent_name)"}},
+  "member_multi_phone": {"renames": {"consent": "phone_consent"}, "flags": {"phone_consent": null}}
+}"""
+
+
+def _first_load(w, name: str, table: str, **more):
+    return hs.first_load(name, w[table], "20010801", hs.ColumnMap.from_json(MAPS)[name], **more)
+
+
+_KEYS = "(values (-1), (0)) a(k), (values ('current'), ('history')) b(s)"
+
+
+@query("hist_load_store_master", "store_key bigint, store_id bigint, store_name string, rtl_flag string, price_group_code string, district_key bigint, status string", f"""
+  with n as (select cast(store_key as bigint) as store_key, store_id, name as store_name, case lower(trim(rtl_flag)) when 'y' then 'Y' when 'yes' then 'Y' when 'no' then 'N' when 'n' then 'N'
+      when 'unknown' then 'UNKNOWN' when '' then null end as rtl_flag, row_number() over (partition by store_id order by create_date desc) as rn from w_land_store),
+  r as (select store_key, store_id, store_name, rtl_flag, cast(null as varchar) as price_group_code, -1 as district_key, rn from n where store_key not in (-1, 0))
+  select * exclude (rn), 'current' as status from r where rn = 1 union all select * exclude (rn), 'history' from r
+  union all select k, null, null, null, null, null, s from {_KEYS}""")
+def hist_load_store_master(w):
+    return _first_load(w, "store_master", "w_land_store")
+
+
+@query("hist_load_cs_agent", "cs_agent_key bigint, cs_agent_id bigint, agent_name string, status string", f"""
+  with k as (select cs_agent_id, (select max(member_sk) from w_scd_backup) + row_number() over (order by cs_agent_id) as cs_agent_key from (select distinct cs_agent_id from w_land_agent) d),
+  r as (select cs_agent_key, cs_agent_id, upper(agent_name) as agent_name, row_number() over (partition by cs_agent_id order by createdate desc) as rn from w_land_agent join k using (cs_agent_id))
+  select * exclude (rn), 'current' as status from r where rn = 1 union all select * exclude (rn), 'history' from r union all select k, null, null, s from {_KEYS}""")
+def hist_load_cs_agent(w):
+    return _first_load(w, "cs_agent", "w_land_agent", stored=w.scd_backup.select(F.col("member_sk").alias("cs_agent_key")))
+
+
+@query("hist_load_multi_phone", "rows bigint, keys bigint, smallest bigint, largest bigint, status string, phone_consent string", """
+  with r as (select *, row_number() over (partition by member_key, phone_number order by create_date desc) = 1 as cur,
+      case consent when 'Y' then 'YES' when '0' then 'NO' when 'Unknown' then 'UNKNOWN' end as phone_consent from w_land_phone),
+  n as (select *, row_number() over (order by cur, member_key, phone_number, create_date desc) as sk from r)
+  select count(*) as rows, count(distinct sk) as keys, min(sk) as smallest, max(sk) as largest, 'current' as status, phone_consent from n where cur group by phone_consent
+  union all select count(*), count(distinct sk), min(sk), max(sk), 'history', phone_consent from n group by phone_consent""")
+def hist_load_multi_phone(w):
+    out = _first_load(w, "member_multi_phone", "w_land_phone", defaults=False)
+    key = F.col("member_multi_phone_key")
+    each = out.groupBy("status", "phone_consent", key).agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("status", "phone_consent").agg(F.sum("n").alias("rows"), F.count(key).alias("keys"), F.min(key).alias("smallest"), F.max(key).alias("largest"))
+
+
 @query("hist_date_parse", "member_id string, joined date, closed date, joined_key bigint, closed_key bigint", """
   select member_id, j as joined, c as closed, coalesce(a.date_key, -1) as joined_key, coalesce(b.date_key, -1) as closed_key from (
     select member_id, cast(try_strptime(joined, '%m/%d/%Y %H:%M:%S') as date) as j, cast(try_strptime(closed, '%m/%d/%Y %H:%M:%S') as date) as c from w_landed) x
