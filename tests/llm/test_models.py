@@ -54,6 +54,54 @@ def test_composition_is_the_cascade():
         assert got == tape
 
 
+def plain_features(model, text):
+    """The same clause by clause: tags by looking around in the words, weights of different words added up."""
+    import re
+    out, matched, clauses = dict.fromkeys(toxicity.CLASSES, 0.0), 0, 0
+    for clause in re.split(r"[.;:!?\n]+", text.lower()):
+        said = toxicity.WORD.findall(clause)
+        clauses += bool(said)
+        kinds = []
+        for w in said:
+            weights = [v for k, v in model.insults.items() if k == w or k.endswith("*") and len(k) - 1 in toxicity.STEMS and w.startswith(k[:-1])]
+            kinds.append(("insult", max(weights)) if weights else (model.fixed.get(w, "other"), 1.0))
+        for phrase in toxicity.PHRASES:
+            parts = phrase.split()
+            for i in range(len(said)):
+                if said[i:i + len(parts)] == parts:
+                    kinds[i + len(parts) - 1] = ("threat", 1.0)
+        seen = {}
+        for i, (kind, weight) in enumerate(kinds):
+            if kind in toxicity.HITS:
+                negated = "negation" in [k for k, _ in kinds[max(0, i - toxicity.SCOPE):i]]
+                tag = "neg" if negated else "rep" if "report" in [k for k, _ in kinds[:i]] else "at" if "target" in [k for k, _ in kinds] else None
+                seen[f"{kind}.{tag}" if tag else kind, said[i]] = weight
+        for (tag, _), weight in seen.items():
+            out[tag] += weight
+        matched += bool(seen)
+    x = np.array([*out.values(), 0.0])
+    x[-1] = np.log1p(toxicity.SHARE * (x[:-1] @ toxicity.FACTORS) / max(clauses, 1))
+    return x, matched
+
+
+def test_features_and_scores_equal_a_plain_version(spark, documents):
+    model = toxicity.Model({"fool": 1.0, "stink*": 0.8, "dolt": 0.55, "fools*": 0.3}, toxicity.PRIOR * 1.3, -2.0)
+    rng = np.random.default_rng(4)
+    vocabulary = ["fool", "stinker", "stinky", "dolt", "kill", "hurt", "you", "he", "not", "never", "said", "wrote", "calm", "word", "end your life", "make you regret", "x"]
+    texts = [" ".join(vocabulary[i] + rng.choice(["", "", "", ".", "!", ",", "\n"]) for i in rng.integers(0, len(vocabulary), rng.integers(0, 40))) for _ in range(300)]
+    texts += ["You said he is not a FOOL", "a fool; never said. you stinker", "said not fool you"]
+    got = {r.doc_id: (r.score, r.n_clauses) for r in toxicity.scored(documents(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        x, matched = plain_features(model, text)
+        want = 1 / (1 + np.exp(-(model.bias + np.minimum(x, 4.0) @ model.weights)))
+        assert np.allclose(model.features(text)[0], x) and got[i] == (pytest.approx(want), matched), text
+
+
+def test_threats_of_several_words():
+    assert classes("i will end your life") == {"threat.at": 1.0} == classes("i will make you regret being born")
+    assert classes("end of your life") == {} and classes("the end. your life") == {}
+
+
 def test_classes_are_ordered():
     plain, at, neg, rep = (MODEL.score(MODEL.features(t)[0]) for t in ("fool", "you fool", "not fool", "said fool"))
     assert at > plain > neg and plain > rep and plain > MODEL.score(MODEL.features("calm")[0])
