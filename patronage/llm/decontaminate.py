@@ -5,8 +5,9 @@ names has the same template. Windows of template tokens of the documents are has
 those of the benchmark. A document holds an item when enough of the item's windows are found
 with slots that agree: within a match, a value of the item stands for the value of the document
 that most of its places have. Windows with another value there do not count, and where no value
-has more places than any other, none of the windows over these places does. Different values of
-the item may stand for the same one.
+has more places than any other, none of the windows over these places does. Windows with the
+item's own values always count. Different values of the item may stand for the same one.
+Numbers may be spelled out, and common given names are names in small letters, too.
 
 Every text also has windows without placeholders for names, in small letters: leaks whose
 letter case has changed are met by those. A third form takes capitals at the start of a
@@ -37,12 +38,26 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW = 8           # template tokens; an item with fewer is one window
 LEAST_LITERALS = 4   # tokens of a window that are no placeholders (or all, in a shorter one)
 COVERAGE = 0.5       # share of an item's windows that a document must hold
-FILTER_BITS = 23     # size of the bit table that documents' windows pass first
+FILTER_BITS = 28     # size of the bit table that documents' windows pass first, at most
+SPARSE = 16          # bits of it for each window of the benchmark
+TABLE_PARTS = 8      # of the benchmark, each with a bit table of its own before they are joined
 
 # Units that follow a number
 UNITS = ("mm cm m km in inch inches ft feet foot yd yard yards mile miles mg g kg lb lbs oz pound pounds ton tons ml l litre litres "
          "liter liters gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year "
          "years percent degrees dollars dollar cents cent euro euros usd eur kmh mph w kw kwh v hz gb mb kb").split()
+# Numbers that are spelled out (without those that are also articles)
+NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+                "thirty forty fifty sixty seventy eighty ninety hundred thousand million null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf "
+                "zwanzig dreißig hundert tausend deux trois quatre cinq sept huit neuf dix onze douze vingt trente cent mille dos tres cuatro cinco seis "
+                "siete ocho nueve diez once doce veinte treinta cien mil").split()
+# Common given names that are no common words
+GIVEN_NAMES = ("alice anna anne ben bob carol carlos carla charlie clara claire dan daniel dave david diego elena eli elias emily emma eric eva eve fatima felix "
+               "fred george greta hannah hans helen henry hugo ian ines ivan jacob james jan jane jean jennifer jenny jessica jim joe john jorge jose juan "
+               "julia julie karen karl kate kevin klaus laura leo leon lena linda lisa liam louis lucas lucy luis lukas luke maria marie mario martin mary "
+               "max maya michael miguel mike mia natalie nina noah nora oliver olivia oscar pablo paul paula pedro peter philip pierre rachel ralph robert "
+               "rosa ruth sam samuel sandra sara sarah simon sofia sophie stefan stella steve susan theo thomas tim tina tom toni ursula victor walter "
+               "william wolfgang yusuf zoe").split()
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F))
 
 # Forms of a template: names inside sentences are slots, no names are, capitals that open a sentence are as well, there
@@ -55,8 +70,12 @@ KINDS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 KINDS[48:58] = 2
 
 
-def unit_hashes() -> np.ndarray:
-    return np.sort(tokens(pa.array([" ".join(UNITS)], pa.large_string()), KINDS, lower=True).hashes)
+def word_hashes(listed: list[str]) -> np.ndarray:
+    return np.unique(tokens(pa.array([" ".join(listed)], pa.large_string()), KINDS).hashes)
+
+
+def _among(hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    return listed[np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)] == hashes
 
 
 def templates(piece: pa.Array, forms: Iterable[int] = (NAMES, PLAIN)) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -67,14 +86,14 @@ def templates(piece: pa.Array, forms: Iterable[int] = (NAMES, PLAIN)) -> Iterato
     count = len(w.hashes)
     if not count:
         return
-    units = unit_hashes()
+    units, spelled, given = (word_hashes(x) for x in (UNITS, NUMBER_WORDS, GIVEN_NAMES))
     doc = np.repeat(np.arange(len(w)), np.diff(w.first))
     opens = np.zeros(count, bool)
     opens[w.first[:-1][np.diff(w.first) > 0]] = True
     byte = w.data[w.starts]
-    number = KINDS[byte] == 2
+    number = (KINDS[byte] == 2) | _among(w.hashes, spelled)
     after = np.concatenate([[False], number[:-1]]) & ~opens
-    unit = after & ~number & (units[np.minimum(np.searchsorted(units, w.hashes), len(units) - 1)] == w.hashes)
+    unit = after & ~number & _among(w.hashes, units)
     stops = np.concatenate([[0], np.cumsum(np.isin(w.data, np.frombuffer(b".!?:\n", np.uint8)))])
     fresh = opens | (stops[w.starts] > stops[np.concatenate([[0], w.ends[:-1]])])
     byte, second = first.data[first.starts], first.data[np.minimum(first.starts + 1, len(first.data) - 1)]
@@ -90,7 +109,7 @@ def templates(piece: pa.Array, forms: Iterable[int] = (NAMES, PLAIN)) -> Iterato
         slot = number | unit
         again = after & number
         if form != PLAIN:
-            name = capital & ~number if form == OPENING else capital & ~fresh & ~number
+            name = (capital if form == OPENING else capital & ~fresh) & ~number | _among(w.hashes, given)
             template[name] = NAME
             slot = slot | name
             again = again | (name & np.concatenate([[False], name[:-1]]) & ~fresh)
@@ -145,8 +164,12 @@ def _slots(v: np.ndarray, s: np.ndarray, k: int, n: int) -> list[int]:
 
 def _doc_rows(bits: bytes, plan: list[tuple[tuple[int, ...], list[int]]]):
     def run(batches):
-        table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
-        mask = np.uint64((1 << FILTER_BITS) - 1)
+        table = np.frombuffer(bits, np.uint8)
+        mask = np.uint64(8 * len(bits) - 1)
+
+        def known(h):
+            at = h & mask
+            return table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
         for b in batches:
             for lo, hi, piece in chunks(b.column(1)):
                 ids = b.column(0).slice(lo, hi - lo).to_pylist()
@@ -157,7 +180,7 @@ def _doc_rows(bits: bytes, plan: list[tuple[tuple[int, ...], list[int]]]):
                             if len(t) < n:
                                 continue
                             h, good = windows(t, s, n)
-                            for k in np.flatnonzero(good & table[h & mask]):
+                            for k in np.flatnonzero(good & known(h)):
                                 if seen.get((i, n, int(h[k]))) == k:
                                     continue  # another form of the text has this window
                                 seen[i, n, int(h[k])] = k
@@ -171,11 +194,25 @@ def _doc_rows(bits: bytes, plan: list[tuple[tuple[int, ...], list[int]]]):
     return run
 
 
-def _bit_rows(batches):
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for b in batches:
-        bits[b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+def _bit_rows(size: int):
+    def run(batches):
+        bits = np.zeros(size // 8, np.uint8)
+        for b in batches:
+            at = np.unique(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(size - 1))
+            np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
+    return run
+
+
+def bit_table(known: DataFrame) -> np.ndarray:
+    """Bits of the benchmark's windows, SPARSE for each of them but 2^FILTER_BITS at most. The
+    driver joins TABLE_PARTS tables, whatever the benchmark's partitions."""
+    count = known.count()
+    size = 1 << min(FILTER_BITS, max(3, (SPARSE * count).bit_length()))
+    bits = np.zeros(size // 8, np.uint8)
+    for r in known.select("h").coalesce(TABLE_PARTS).mapInArrow(_bit_rows(size), "bits binary").toLocalIterator():
+        bits |= np.frombuffer(r["bits"], np.uint8)
+    return bits
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -190,22 +227,20 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, coverage, n_changed): documents that hold an item.
 
-    n_windows counts the places of the item whose window is found with consistent slots;
+    n_windows counts the places of the item whose window is found, with its own values or consistent ones;
     coverage is their share of all places; n_changed counts item values that the document
     replaces. All three are those of the form of the item that the document covers best. Null, empty and blank texts hold nothing. Of an item without a window of enough
     literal tokens, only copies with its own numbers are found. Repeated rows of a document count once. A null doc_id or
     item_id has no row. Other columns are ignored.
 
-    Documents are read once and not moved. Their windows pass a bit table of fixed size, and
-    what passes is joined exactly by hash with all benchmark windows; a benchmark of any size
-    is only ever joined, its bit table has 2^FILTER_BITS bits. A window that very many
+    Documents are read once and not moved. Their windows pass a bit table whose size follows
+    from the number of benchmark windows, and what passes is joined exactly by hash with all of
+    them; a benchmark of any size is only ever joined. A window that very many
     documents hold joins on a key that can be split; all later groups are one document and
     one item.
     """
     known = item_windows(items)
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in known.select("h").mapInArrow(_bit_rows, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(r["bits"], np.uint8)
+    bits = bit_table(known)
     sizes = known.select((F.col("form") == EXACT).alias("exact"), "n").distinct().collect()  # at most WINDOW numbers for each
     plan = [(forms, sorted(r["n"] for r in sizes if r["exact"] == exact)) for forms, exact in ((TEMPLATES, False), ((EXACT,), True))]
     plan = [(forms, n) for forms, n in plan if n]
@@ -222,11 +257,12 @@ def leaks(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
     single = (F.size("by") == 1) | (F.get("by", 0)["places"] > F.get("by", 1)["places"])
     values = staged(values.select(*lines, "v", F.when(single, F.get("by", 0)["u"]).alias("kept"), (F.size("by") > 1).alias("torn")), "values")
     torn = values.filter("torn").select(*lines, "v", "kept")
-    bad = (met.select(*lines, "at", F.col("u").alias("us"), F.explode(F.arrays_zip("u", "v")).alias("x"))
+    bad = (met.filter("u <> v").select(*lines, "at", F.col("u").alias("us"), F.explode(F.arrays_zip("u", "v")).alias("x"))
            .select(*lines, "at", "us", "x.u", "x.v").join(torn, [*lines, "v"]).filter("kept is null or kept <> u")
            .select(*lines, "at", F.col("us").alias("u")).distinct())
     changed = values.groupBy(*lines).agg(F.countDistinct(F.when(F.col("kept") != F.col("v"), F.col("v"))).alias("changed"))
-    good = met.join(bad, [*lines, "at", "u"], "left_anti").join(changed, lines, "left")
+    own = F.col("u") == F.col("v")
+    good = met.filter(own).unionByName(met.filter(~own).join(bad, [*lines, "at", "u"], "left_anti").select(*met.columns)).join(changed, lines, "left")
     forms = good.groupBy("doc_id", "item_id", "form").agg(F.countDistinct("at").alias("n_windows"), F.first("total").alias("total"),
                                                           F.coalesce(F.max("changed"), F.lit(0)).alias("n_changed"))
     best = F.max(F.struct((F.col("n_windows") / F.col("total")).alias("coverage"), "n_windows", "n_changed")).alias("best")
