@@ -1,9 +1,10 @@
 """Quality rules of documents and of their hosts, in DataFrame functions only.
 
-Each text gets counts and a base verdict. Base failures are then counted by host and the
-host's failure rate is shrunk towards the rate of all hosts with an empirical beta prior, so
-that a host with few documents is not condemned by chance. Documents of a host whose shrunk
-rate is over the limit fall with it.
+Each text gets counts, a verdict for each rule and a base verdict. Failures of each rule are then
+counted by host, and the host's failure rate is shrunk towards the rate of all hosts with an
+empirical beta prior of that rule, so that a host with few documents is not condemned by
+chance. Documents of a host fall with it if its shrunk rate of any rule is over the limit:
+rules that one text may well break, such as symbols, count where a host breaks them as a habit.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK = r"[\x20\x09-\x0D]+"
 
+# fixed values of the rules that judge hosts only: percent of the characters of words, and of lines
+MAX_SYMBOL_PERCENT = 10
+MAX_DUP_LINE_PERCENT = 30
+RULES = ("base_failed", "too_short", "too_repetitive", "too_many_symbols", "too_many_dup_lines")
+
 # limits of the empirical prior's weight, in documents
 PRIOR_LEAST, PRIOR_MOST = 1.0, 1e6
 
@@ -62,7 +68,12 @@ def _covered(places: Column) -> Column:
 
 
 def rule_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(doc_id, host, counts, base_failed) for each row of docs.
+    """(doc_id, host, counts, base_failed) for each row of docs: `broken_rules` without the rest."""
+    return broken_rules(docs, id_col, text_col, host_col).drop("n_lines", *RULES[1:])
+
+
+def broken_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """(doc_id, host, counts, n_lines, and for each of RULES whether it is broken) for each row of docs.
 
     A null, empty or blank text has zero words and fails the base rule. Texts of any length
     are read whole. Windows are compared by a 64-bit hash within one text. Other columns of
@@ -77,38 +88,46 @@ def rule_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = base.select(
         "doc_id", "host", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"))
-    return counted.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+        repeated_words(F.col("words")).alias("n_repeat_words"), F.size("lines").cast("long").alias("n_lines"))
+    over = lambda part, percent, whole: 100 * F.col(part) > percent * F.col(whole)
+    short, repeats = F.col("n_words") < MIN_WORDS, over("n_repeat_words", MAX_REPEAT_PERCENT, "n_words")
+    return counted.withColumns(dict(zip(RULES, (
+        short | repeats, short, repeats, over("n_symbols", MAX_SYMBOL_PERCENT, "word_chars"), over("n_dup_lines", MAX_DUP_LINE_PERCENT, "n_lines")))))
 
 
 def host_verdicts(rows: DataFrame, limit: float = 0.5) -> DataFrame:
-    """(host, n_docs, n_failed, host_rate, host_ok) for rows with host and base_failed.
+    """(host, n_docs, n_failed, host_rate, rates, host_ok) for rows with host, base_failed
+    and any others of RULES. n_failed and host_rate are those of the base rule, `rates` has the
+    shrunk rates of all rules there are by name.
 
-    The prior is fitted by moments to the rates of all hosts: with mean m and variance v its
-    weight is m (1 - m) / v - 1 documents, held between PRIOR_LEAST and PRIOR_MOST. The shrunk
-    rate is (failed + m * weight) / (documents + weight). A null host is a host of its own.
+    The prior of a rule is fitted by moments to the rates of all hosts: with mean m and variance
+    v its weight is m (1 - m) / v - 1 documents, held between PRIOR_LEAST and PRIOR_MOST. The
+    shrunk rate is (failed + m * weight) / (documents + weight). A null host is a host of its own.
     """
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("base_failed").alias("n_failed"))
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
-    m, weight = F.col("m"), F.col("weight")
-    prior = prior.select("m", F.when(F.col("v") > 0, F.least(F.greatest(m * (1 - m) / F.col("v") - 1, F.lit(PRIOR_LEAST)), F.lit(PRIOR_MOST)))
-                         .otherwise(PRIOR_MOST).alias("weight"))
+    rules = [r for r in RULES if r in rows.columns]
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), *[F.count_if(r).alias(f"f_{r}") for r in rules])
+    rate = {r: F.col(f"f_{r}") / F.col("n_docs") for r in rules}
+    prior = hosts.agg(*[F.avg(x).alias(f"m_{r}") for r, x in rate.items()], *[F.var_pop(x).alias(f"v_{r}") for r, x in rate.items()])
+
+    def shrunk(r: str) -> Column:
+        m, v = F.col(f"m_{r}"), F.col(f"v_{r}")
+        weight = F.when(v > 0, F.least(F.greatest(m * (1 - m) / v - 1, F.lit(PRIOR_LEAST)), F.lit(PRIOR_MOST))).otherwise(PRIOR_MOST)
+        return (F.col(f"f_{r}") + m * weight) / (F.col("n_docs") + weight)
+
     # the prior is one row
-    both = hosts.join(F.broadcast(prior))
-    shrunk = (F.col("n_failed") + m * weight) / (F.col("n_docs") + weight)
-    return both.select("host", "n_docs", "n_failed", shrunk.alias("host_rate"), (shrunk <= limit).alias("host_ok"))
+    both = hosts.join(F.broadcast(prior)).select("host", "n_docs", F.col("f_base_failed").alias("n_failed"), F.struct(*[shrunk(r).alias(r) for r in rules]).alias("rates"))
+    worst = F.array_max(F.array(*[F.col(f"rates.{r}") for r in rules]))
+    return both.select("host", "n_docs", "n_failed", F.col("rates.base_failed").alias("host_rate"), "rates", (worst <= limit).alias("host_ok"))
 
 
 def quality_verdicts(docs: DataFrame, limit: float = 0.5) -> DataFrame:
-    """rule_counts plus kept: the base verdict and that of the host both pass.
+    """broken_rules plus kept: the base verdict passes, and so do those of the host for all rules.
 
     The counts are written once, in narrow rows. Failures are summed before the shuffle; the
     verdicts come back by a broadcast while the written table of hosts is small, else by a
     join that splits a host with very many documents.
     """
-    rows = staged(rule_counts(docs), "rules")
+    rows = staged(broken_rules(docs), "rules")
     hosts = staged(host_verdicts(rows, limit).select("host", "host_ok"), "hosts")
     small = broadcast_if_small(hosts)
     if small is hosts:

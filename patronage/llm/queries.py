@@ -76,14 +76,17 @@ hit as (select row, i from (select row, i, count(*) over (partition by row, k) a
 rep as (select row, count(distinct i + o) as n_repeat_words from hit, (values (0), (1), (2)) as v(o) group by row),
 c as (select doc_id, source, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
   (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
-  (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words, len(lines)::bigint as n_lines
   from d join w using (row) left join rep using (row)),
-b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c),
-h as (select source, count(*) as n, count(*) filter (base_failed) as f from b group by source),
-p as (select avg(f / n) as m, var_pop(f / n) as v from h),
-q as (select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) else 1e6 end as k from p),
-g as (select source, (f + m * k) / (n + k) <= 0.5 as ok from h, q)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and ok as kept
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, n_words < 50 as too_short, 100 * n_repeat_words > 50 * n_words as too_repetitive,
+  100 * n_symbols > 10 * word_chars as too_many_symbols, 100 * n_dup_lines > 30 * n_lines as too_many_dup_lines from c),
+r as (select source, unnest([1, 2, 3, 4, 5]) as rule, unnest([base_failed, too_short, too_repetitive, too_many_symbols, too_many_dup_lines]) as broken from b),
+h as (select source, rule, count(*) as n, count(*) filter (broken) as f from r group by source, rule),
+p as (select rule, avg(f / n) as m, var_pop(f / n) as v from h group by rule),
+q as (select rule, m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 1.0), 1e6) else 1e6 end as k from p),
+g as (select source, bool_and((f + m * k) / (n + k) <= 0.5) as ok from h join q using (rule) group by source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, too_short, too_repetitive, too_many_symbols, too_many_dup_lines,
+  not base_failed and ok as kept
 from b join g on b.source is not distinct from g.source"""
 
 

@@ -149,3 +149,16 @@ def test_coin(spark):
     got = spark.range(1000).select(mixing.coin(F.col("id").cast("string"), "mix").alias("c")).collect()
     want = [int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:13], 16) / 16 ** 13 for i in range(1000)]
     assert [r.c for r in got] == want and 0.45 < sum(want) / 1000 < 0.55
+
+
+def test_hosts_fall_by_any_rule(documents):
+    """A host whose texts pass the base rule but mostly consist of symbols, and one of repeated lines."""
+    plain = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    noisy = lambda i: " ".join(f"a{i}{k}###" for k in range(60))
+    lines = lambda i: "\n".join([" ".join(f"l{i}{k}" for k in range(60))] + [f"same {i}"] * 9)
+    rows = [(i, plain(i), f"good{i % 4}") for i in range(200)] + [(300 + i, noisy(i), "noisy") for i in range(40)] + [(400 + i, lines(i), "lines") for i in range(40)]
+    rows += [(500, noisy(1), "good1"), (501, lines(1), "good2"), (502, plain(1), "noisy"), (503, None, None)]
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(documents(rows)).collect()}
+    assert not any(got[i].base_failed for i in got if i != 503)
+    assert got[300].too_many_symbols and got[400].too_many_dup_lines and not got[0].too_many_symbols
+    assert {i for i, r in got.items() if not r.kept} == {*range(300, 340), *range(400, 440), 502, 503}
