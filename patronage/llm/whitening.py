@@ -26,7 +26,8 @@ from .staging import staged
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE, SHIFT = 1024, 100_000
-LARGEST = 2.0 ** 33    # entries beyond count as not finite; keeps sums within 38 digits
+LARGEST = 2.0 ** 53 - 2.0 ** 12  # of entries beyond, the whole number is no long; they count as not finite
+DIGIT_BITS = 125       # of a sum of products, to stay within 38 digits
 BLOCK = 4096           # rows of one matrix product
 EXACT = 2 ** 53        # whole numbers that a double holds
 SWEEPS = 60
@@ -62,13 +63,14 @@ def whole_vectors(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 def _sums(batches):
     for b in batches:
         for rows, x in whole_vectors(b.column(0)):
-            d = x.shape[1]
+            d, most = x.shape[1], int(np.abs(x).max(initial=0))
+            total = (x if most * len(x) < 2 ** 63 else x.astype(object)).sum(0).tolist()
             yield pa.RecordBatch.from_arrays([pa.array([d] * (d + 1), pa.int32()), pa.array(range(-1, d), pa.int32()),
-                                              pa.array([len(rows), *x.sum(0).tolist()], pa.int64())], names=["length", "j", "v"])
+                                              pa.array([str(v) for v in [len(rows), *total]], pa.string()), pa.array([most] * (d + 1), pa.int64())], names=["length", "j", "v", "most"])
 
 
-def _products(d: int, middle: np.ndarray):
-    """Sums of products of shifted rows, one row of the upper triangle for each task."""
+def _products(d: int, middle: np.ndarray, drop: int):
+    """Sums of products of shifted rows without their last `drop` bits, the upper triangle for each task."""
     def run(batches):
         total = np.zeros((d, d), object)
         for b in batches:
@@ -77,6 +79,7 @@ def _products(d: int, middle: np.ndarray):
                     continue
                 for i in range(0, len(x), BLOCK):
                     y = x[i:i + BLOCK] - middle
+                    y = y if not drop else (y + (1 << drop - 1)) >> drop
                     if int(np.abs(y).max()) ** 2 * len(y) < EXACT:
                         f = y.astype(np.float64)
                         total += (f.T @ f).astype(np.int64).astype(object)
@@ -147,9 +150,14 @@ def decomposed(scatter: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(vectors: DataFrame, col: str = "embedding") -> Model | None:
     """The model of all usable vectors of the most frequent length (the longer one in a tie), or
-    None without any. The driver gets one number for each pair of dimensions."""
+    None without any. The driver gets one number for each pair of dimensions.
+
+    Sums are exact while products of all rows stay within 38 digits; of larger entries, as many
+    last bits as needed are rounded away, far behind a double's.
+    """
     only = vectors.select(F.col(col).cast("array<double>").alias("v"))
-    sums = staged(only.mapInArrow(_sums, "length int, j int, v long").groupBy("length", "j").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")), "sums")
+    sums = staged(only.mapInArrow(_sums, "length int, j int, v string, most long").groupBy("length", "j").agg(
+        F.sum(F.col("v").cast("decimal(38,0)")).alias("v"), F.max("most").alias("most")), "sums")
     best = sums.filter("j = -1 and length > 0").orderBy(F.desc("v"), F.desc("length")).first()
     if best is None:
         return None
@@ -158,10 +166,11 @@ def fit(vectors: DataFrame, col: str = "embedding") -> Model | None:
     s = [total[j] for j in range(d)]
     middle = [(2 * v + n) // (2 * n) for v in s]
     rest = [v - n * m for v, m in zip(s, middle)]
-    made = only.mapInArrow(_products(d, np.array(middle, np.int64)), "i int, j int, v string")
+    drop = max(0, (2 * int(best.most)).bit_length() - (DIGIT_BITS - n.bit_length()) // 2)
+    made = only.mapInArrow(_products(d, np.array(middle, np.int64), drop), "i int, j int, v string")
     scatter = np.zeros((d, d))
     for r in made.groupBy("i", "j").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).toLocalIterator():
-        scatter[r.i, r.j] = scatter[r.j, r.i] = (n * int(r.v) - rest[r.i] * rest[r.j]) / n
+        scatter[r.i, r.j] = scatter[r.j, r.i] = ((n * int(r.v) << 2 * drop) - rest[r.i] * rest[r.j]) / n
     values, parts = decomposed(scatter, n)
     return Model(n, s, values, parts, float(np.trace(scatter)) / n)
 
@@ -195,8 +204,8 @@ def whitened(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding",
     """(vec_id, component, n, deviation, whitened, explained, identity_error): for each usable
     vector a row for each of the first `count` components, or as many as the covariance has rank.
 
-    A vector that is null, or holds a null, an infinite entry or one beyond 2^33, has no rows, nor
-    has one of another length than most. Null and repeated ids stay. Equal vectors only, one
+    A vector that is null, or holds a null, an infinite entry or one beyond LARGEST, has no rows,
+    nor has one of another length than most. Null and repeated ids stay. Equal vectors only, one
     vector or an empty table leave nothing to whiten: no rows. `deviation` is an exact
     decimal, null beyond 38 digits. Other columns are ignored.
     """

@@ -85,6 +85,18 @@ def test_large_entries_are_exact(spark):
     assert check(whitening.whitened(vectors(spark, rows)).collect(), [(i, whole(v)) for i, v in rows]) == 2
 
 
+def test_entries_near_the_limit(spark):
+    """Products beyond 38 digits lose last bits only; beyond the limit an entry is not finite."""
+    rnd = np.random.default_rng(2)
+    good = [(i, (rnd.normal(size=3) * [2.0 ** 50, 2.0 ** 49, 2.0 ** 51]).astype(np.float32).tolist()) for i in range(30)]
+    rows = whitening.whitened(vectors(spark, good + [(99, [1.0, 2.0 ** 54, 1.0])])).collect()
+    given = [(i, whole(v)) for i, v in good]
+    assert {r.vec_id for r in rows} == set(range(30)) and all(r.identity_error < 1e-9 for r in rows)
+    x = np.array([v for _, v in given], float)
+    values = np.linalg.eigvalsh(np.cov(x.T, bias=True))[::-1]
+    assert all(r.explained == pytest.approx(values[r.component - 1] / values.sum(), rel=1e-9) for r in rows) and len(rows) == 90
+
+
 @pytest.mark.parametrize("d", [1, 2, 7, 40])
 def test_factor_and_rotation(d):
     rnd = np.random.default_rng(d)
