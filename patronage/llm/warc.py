@@ -33,6 +33,7 @@ CRLF = "\r\n"
 RECORD_END = CRLF + CRLF
 READ_BYTES = 1 << 20
 ROWS_OUT = 256            # records handed back at once
+INDEX_ROWS = 5_000        # index rows handed on at once
 MIN_REVISIT_BYTES = 1000  # smaller payloads are always written in full
 
 INDEX = "file string, offset long, length long, record_id string, warc_type string"
@@ -170,12 +171,19 @@ def _normalise(target: str):
                         out.write(member)
                         rows.append((f"{target}/{name}", offset, len(member), _id(r, "warc-record-id"), r.fields.get("warc-type")))
                         offset += len(member)
-                for i in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 10_000]), (
-                        pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["file", "offset", "length", "record_id", "warc_type"])
+                        if len(rows) >= INDEX_ROWS:
+                            yield _index_batch(rows)
+                            rows = []
+                if rows:
+                    yield _index_batch(rows)
     return run
 
 
+def _index_batch(rows: list) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["file", "offset", "length", "record_id", "warc_type"])
+
+
 def _id(r: Record, name: str) -> str | None:
     value = r.fields.get(name)
     return value.removeprefix("<urn:page:").removesuffix(">") if value is not None else None
@@ -184,8 +192,8 @@ def _id(r: Record, name: str) -> str | None:
 def normalise(files: DataFrame, target: str) -> DataFrame:
     """The sidecar index of new archives in `target` with one member for each record of files.
 
-    Each file is one task's stream: what is held is one record and a read buffer, however long
-    the file. The index must be written once before it is read (a task that runs again makes
+    Each file is one task's stream: what is held is one record, a read buffer and INDEX_ROWS
+    rows of the index, however long the file. The index must be written once before it is read (a task that runs again makes
     a new file). Empty files give no rows; a broken record is an error with its reason.
     """
     spark = files.sparkSession

@@ -66,6 +66,12 @@ def test_members(spark):
         assert end == len(data) and gzip.decompress(data) == plain
 
 
+def test_index_is_handed_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(warc, "INDEX_ROWS", 3)
+    _, index = archive(spark, rows())
+    assert index.count() == len(rows()) and warc.read_records(index).count() == len(rows())
+
+
 def test_empty(spark):
     _, index = archive(spark, [])
     assert index.count() == 0 and warc.read_records(index).count() == 0
