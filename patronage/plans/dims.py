@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..codes import DATE_MODEL_END
 from ..functions.dates import as_date
 from ..functions.text import decode, is_empty
-from ..operators.aggregates import max_key_value
+from ..operators.aggregates import max_key
 from ..operators.columns import apply_expressions, rename_columns
 from ..operators.joins import left_lookup, update_keys
 from ..operators.ranking import latest_per_key
@@ -227,10 +227,10 @@ def scoring_model(models: DataFrame, scored: dict[int, int], scoring_day, data_t
     ids = [MODEL_MEMBER, MODEL_HOUSEHOLD]
     day = as_date(scoring_day)
     in_use = F.col("model_id").isin(ids) & (F.upper(F.trim("current_model_ind")) == "YES")
-    last = max_key_value(models.filter("status = 'current'"), "scoring_model_key")
-    fresh = (models.filter((F.col("status") == "current") & in_use)
+    last = max_key(models.filter("status = 'current'"), "scoring_model_key")  # one row
+    fresh = (models.filter((F.col("status") == "current") & in_use).crossJoin(F.broadcast(last))
              .withColumns({"model_version_id": F.col("model_version_id") + 1,
-                           "scoring_model_key": F.lit(last) + F.when(F.col("model_id") == MODEL_MEMBER, 1).otherwise(2),
+                           "scoring_model_key": F.col("max_key") + F.when(F.col("model_id") == MODEL_MEMBER, 1).otherwise(2),
                            "scored_record_count": decode(F.col("model_id"), scored).cast("bigint"), "effective_date": day,
                            "expiration_date": as_date(DATE_MODEL_END), "data_through_date": as_date(data_through)})
              .select(*models.columns))

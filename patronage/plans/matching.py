@@ -24,7 +24,7 @@ from ..codes import (EMPTY_CARD, MARKETABILITY_ORDER, MARKETABILITY_OTHER, MATCH
                      MCD_CARD, MCD_EMAIL, MCD_FAILED, MCD_LOYALTY, MCD_PHONE, MCD_US, UNKNOWN_KEY)
 from ..functions.text import (decode, digits_to_long, email_key, is_empty, is_not_empty, norm_text, text_to_long,
                               valid_phone)
-from ..operators.aggregates import max_key_value
+from ..operators.aggregates import max_key as largest_key
 from ..operators.ranking import with_key_aggregates
 from ..operators.sequence import generate_sequence
 from ..operators.sets import union_all
@@ -455,10 +455,9 @@ def new_member_keys(unmatched: DataFrame, member: DataFrame, max_key: int | None
     rows that meet no rule get -1. Groups are numbered in the order of their key text."""
     tagged = unmatched.drop("member_key").withColumn("mcd_criteria", mcd_classify(unmatched))
     tagged = tagged.withColumn("_group", mcd_group_key(tagged, F.col("mcd_criteria")))
-    if max_key is None:
-        max_key = max_key_value(member, "member_key")
+    start = largest_key(member, "member_key") if max_key is None else max_key
     groups = tagged.filter(F.col("_group").isNotNull()).select("_group").distinct()
-    keys = generate_sequence(groups, "member_key", [F.col("_group")], max_key)
+    keys = generate_sequence(groups, "member_key", [F.col("_group")], start)
     # rows without a rule would all meet in one task of the join
     ruled = tagged.filter(F.col("_group").isNotNull()).join(keys, "_group").drop("_group")
     other = tagged.filter(F.col("_group").isNull()).drop("_group").withColumn("member_key", F.lit(UNKNOWN_KEY).cast("bigint"))

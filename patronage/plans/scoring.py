@@ -86,23 +86,27 @@ def scoring_daily(members: DataFrame, scored: DataFrame, households: DataFrame,
                   on=None) -> DataFrame:
     """Members that were never scored get the rank of a new member."""
     fresh = members.select("member_key").distinct().join(scored.select("member_key"), "member_key", "left_anti")
-    # all rows have the same rank and model: their keys are looked up once, not joined
-    one = lambda df, cond, c: df.filter(cond).agg(F.max(c)).first()[0]
     model = F.col("model_id") == MODEL_MEMBER
-    return fresh.join(household_members(households), "member_key", "left").select(
+    # all rows have the same rank and model: their keys are one row
+    keys = (_largest(segments, model & (F.col("segment_rank") == DAILY_RANK), "scoring_model_segment_key")
+            .crossJoin(_largest(models, model, "scoring_model_key")))
+    return fresh.join(household_members(households), "member_key", "left").crossJoin(F.broadcast(keys)).select(
         "member_key", "household_key", F.lit(DAILY_RANK).alias("segment_rank"), F.lit(DAILY_TYPE).alias("segment_type"),
         F.lit(MODEL_MEMBER).alias("model_id"),
-        F.lit(one(segments, model & (F.col("segment_rank") == DAILY_RANK), "scoring_model_segment_key")).cast("bigint").alias("scoring_model_segment_key"),
-        F.lit(one(models, model, "scoring_model_key")).cast("bigint").alias("scoring_model_key"),
-        (as_date(on) if on else F.lit(None).cast("date")).alias("scoring_date"))
+        "scoring_model_segment_key", "scoring_model_key", (as_date(on) if on else F.lit(None).cast("date")).alias("scoring_date"))
+
+
+def _largest(df: DataFrame, cond: Column, name: str) -> DataFrame:
+    """One row: the largest key among the rows that meet a condition."""
+    return df.filter(cond).agg(F.max(name).cast("bigint").alias(name))
 
 
 def _with_model(df: DataFrame, segments: DataFrame, models: DataFrame, model: int) -> DataFrame:
     """Segment key by rank (one row per rank) and the key of the one model in use."""
     seg = segments.filter(F.col("model_id") == model).select(F.col("segment_rank").alias("_rank"), "scoring_model_segment_key")
-    key = models.filter(F.col("model_id") == model).agg(F.max("scoring_model_key")).first()[0]
-    return (df.join(broadcast_if_small(seg), F.col("segment_rank") == F.col("_rank"), "left")
-            .withColumns({"model_id": F.lit(model), "scoring_model_key": F.lit(key).cast("bigint")})
+    key = _largest(models, F.col("model_id") == model, "scoring_model_key")  # one row
+    return (df.join(broadcast_if_small(seg), F.col("segment_rank") == F.col("_rank"), "left").drop("model_id", "scoring_model_key")
+            .crossJoin(F.broadcast(key)).withColumn("model_id", F.lit(model))
             .select("member_key", "household_key", "segment_rank", "segment_type", "model_id", "scoring_model_segment_key",
                     "scoring_model_key", "scoring_date"))
 

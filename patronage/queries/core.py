@@ -572,8 +572,8 @@ def sort_feed(w):
 @query("take_first_value", "member_key bigint, newest date", """
   select member_key, (select max(trxn_date) from w_trxn_head) as newest from w_member""")
 def take_first_value(w):
-    newest = w.trxn_head.agg(F.max("trxn_date")).first()[0]
-    return w.member.select("member_key", F.lit(newest).alias("newest"))
+    newest = w.trxn_head.agg(F.max("trxn_date").alias("newest"))  # one row
+    return w.member.select("member_key").crossJoin(F.broadcast(newest))
 
 
 @query("generate_sequence", "trxn_id bigint, fact_id bigint", """
