@@ -191,15 +191,17 @@ def household(member: DataFrame, household_members: DataFrame) -> DataFrame:
             .withColumn("household_key", F.coalesce("_h", F.lit(UNKNOWN_KEY).cast("bigint"))).drop("_h"))
 
 
-def best_household(member: DataFrame, scoring: DataFrame, lines: DataFrame, visits: DataFrame | None = None) -> DataFrame:
+def best_household(member: DataFrame, scoring: DataFrame, lines: DataFrame, visits: DataFrame | None = None,
+                   homes: DataFrame | None = None) -> DataFrame:
     """The member of a household with the lowest latest segment (none counts 99), then the
-    latest purchase, then the smallest key."""
+    latest purchase, then the smallest key. `homes` may give the members' households as a
+    narrow frame, so that the picks do not run the earlier steps again."""
     scored = latest_per_key(scoring.filter((F.col("household_key") != UNKNOWN_KEY) & (F.col("member_key") != UNKNOWN_KEY)),
                             "member_key", [newest("last_updated_date"), F.col("segment_rank")])
     rank = F.when(F.col("segment_rank") > 0, F.col("segment_rank")).otherwise(99)
     seen = member_visits(lines) if visits is None else visits
     last = seen.groupBy("member_key").agg(F.max("last").alias("_last"))
-    known = (member.select("member_key", "household_key").join(scored.select("member_key", rank.alias("_rank")), "member_key")
+    known = ((member if homes is None else homes).select("member_key", "household_key").join(scored.select("member_key", rank.alias("_rank")), "member_key")
              .join(last, "member_key", "left"))
     best = known.groupBy("household_key").agg(F.min(F.struct("_rank", newest("_last"), "member_key"))["member_key"].alias("member_key"))
     return (member.join(best.select("member_key").withColumn("_best", F.lit("YES")), "member_key", "left")
@@ -210,10 +212,16 @@ def loyalty_flag(member: DataFrame) -> DataFrame:
     return member.withColumn("is_loyalty_member", F.when(is_not_empty(F.col("loyalty_id")), "YES").otherwise("NO"))
 
 
-def global_opt_out(member: DataFrame, kill_list: DataFrame) -> DataFrame:
+def global_opt_out(member: DataFrame, kill_list: DataFrame, homes: DataFrame | None = None) -> DataFrame:
+    """YES for members of a household on the kill list. With `homes`, the members' households as
+    a narrow frame, only that is shuffled by household and the members stay where they are."""
     out = kill_list.filter(F.col("household_key").isNotNull() & (F.col("household_key") != UNKNOWN_KEY)).select("household_key").distinct()
-    known = F.col("household_key").isNotNull() & (F.col("household_key") != UNKNOWN_KEY)
-    marked = left_join_known(member.drop("global_opt_out"), out.withColumn("global_opt_out", F.lit("YES")), ["household_key"], known, ["member_key"])
+    known, yes = F.col("household_key").isNotNull() & (F.col("household_key") != UNKNOWN_KEY), F.lit("YES").alias("global_opt_out")
+    if homes is None:
+        marked = left_join_known(member.drop("global_opt_out"), out.select("household_key", yes), ["household_key"], known, ["member_key"])
+    else:
+        gone = homes.filter(known).join(out, "household_key", "left_semi").select("member_key", yes)
+        marked = member.drop("global_opt_out").join(gone, "member_key", "left")
     return marked.select(*[c for c in member.columns if c != "global_opt_out"], "global_opt_out")
 
 
@@ -263,8 +271,8 @@ ENRICHED = ["valid_email", "email_address", "email_consent", "email_consent_date
 
 def enrich_member(member, emails, phones, consents, lines, stores, products, sources, household_members, scoring, kill_list,
                   tier_history, tiers, cards, dates, date_columns, web_stores, on) -> DataFrame:
-    """All steps in their fixed order. Each one joins to a frame with one row per member. The
-    purchase lines are read twice: once for visits, which are written and shared by four
+    """All steps in their fixed order. Each one joins to a frame with one row per member, and
+    no step reads the wide member twice. The purchase lines are read twice: once for visits, which are written and shared by four
     steps, and once for products.
 
     action_flag is U if any stored column has changed at the end, compared null-safe, else NC.
@@ -280,9 +288,10 @@ def enrich_member(member, emails, phones, consents, lines, stores, products, sou
     out = store_distance(out, stores, member)
     out = store_states(out, web_stores)
     out = household(out, household_members)
-    out = best_household(out, scoring, lines, visits)
+    homes = household(member.select("member_key"), household_members)
+    out = best_household(out, scoring, lines, visits, homes)
     out = loyalty_flag(out)
-    out = global_opt_out(out, kill_list)
+    out = global_opt_out(out, kill_list, homes)
     out = gender_merch(out, lines, products)
     out = sms(out, phones)
     out = audience(out, lines, sources, visits)
