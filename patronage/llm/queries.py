@@ -42,15 +42,15 @@ def op1(spark, folder):
 
 CHAT_SQL = r"""
 with rows as (
-  select conv_id, turn, role, coalesce(text, '') as text from conversations
-  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+  select conv_id, case when conv_id is null then row_number() over () end as alone, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, null, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, null, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
 select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
   sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10)))::bigint as formatted_chars
-from rows group by conv_id"""
+from rows group by conv_id, alone"""
 
 
 @query("op3_chat_format", CHAT_SQL)

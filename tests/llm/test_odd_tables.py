@@ -66,3 +66,19 @@ def test_two_null_ids(spark, folder, documents):
     rows = [(None, LONG), (None, "a b c " + LONG)]
     got = sorted(r.n_removed for r in QUERIES["op9_substring_dedup"](spark, folder(documents=documents(rows))).collect())
     assert got == [0, 60]
+
+
+def test_conversations(spark, folder):
+    """Null ids, turns, roles and texts: the query and its SQL give the same rows."""
+    import duckdb
+    from patronage.llm.queries import ORACLES
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (1, None, None, "no role"), (None, 0, "user", "alone"), (None, 1, "assistant", "alone"), (None, 0, "user", "alone"),
+            (2, 0, "assistant", "<|im_end|> <\\|x"), (2, 0, "assistant", "same turn"), (3, 1, "", "")]
+    path = folder(conversations=spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, turns string, n long"))
+    got = QUERIES["op3_chat_format"](spark, path).collect()
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{path}/conversations.parquet/*.parquet'")
+    cur = con.execute(ORACLES["op3_chat_format"])
+    names = [d[0] for d in cur.description]
+    assert sorted((tuple(r[c] for c in names) for r in got), key=repr) == sorted(cur.fetchall(), key=repr)
+    assert len(got) == 7
