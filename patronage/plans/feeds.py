@@ -10,6 +10,7 @@ from ..operators.joins import left_lookup
 from ..operators.ranking import latest_per_key
 from ..operators.sets import union_all
 from ..operators.sizing import broadcast_if_small
+from ..operators.skew import left_join_known
 from ..operators.staging import stage
 from . import matching as mt
 
@@ -47,7 +48,8 @@ def till(feed: DataFrame, lk: mt.Lookups, stores: DataFrame, record_info: DataFr
     matched = matched.join(broadcast_if_small(stores.select("store_key", "retail_web_flag")), "store_key", "left")
     out = complete(matched, lk.member, record_info, card_type, mt.till_source_key(F.col("retail_web_flag"), F.col("match_key")))
     loyalty = lk.member.select("member_key", F.col("loyalty_id").alias("member_loyalty"))
-    return out.join(loyalty, "member_key", "left")
+    # rows with a new key or none have no stored member, and need not meet one
+    return left_join_known(out, loyalty, ["member_key"], F.col("match_status"), ["etl_unique_id"])
 
 
 def card_account(feed: DataFrame, lk: mt.Lookups, record_info: DataFrame, card_type: DataFrame) -> DataFrame:
