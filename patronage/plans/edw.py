@@ -176,11 +176,13 @@ def dedup_map(history: DataFrame, business_date, run_date) -> DataFrame:
 
 def dedup_transactions(lines: DataFrame, history: DataFrame, stores: DataFrame, translation: DataFrame, business_date, run_date) -> DataFrame:
     """Transactions of members that took over other members."""
-    touched = (after_business_date(history.filter("not is_invalid"), business_date)
-               .groupBy(F.col("new_member_key").alias("member_key")).agg(F.max("last_updated_date").alias("last_updated_date")))
-    heads = lines.select("member_key", "trxn_id", "trxn_date", "store_key", "register_nbr", "trxn_nbr").distinct()
+    touched = stage(after_business_date(history.filter("not is_invalid"), business_date)
+                    .groupBy(F.col("new_member_key").alias("member_key")).agg(F.max("last_updated_date").alias("last_updated_date")))
+    # lines of other members go before the distinct, which shuffles all that is left
+    heads = (lines.select("member_key", "trxn_id", "trxn_date", "store_key", "register_nbr", "trxn_nbr")
+             .join(broadcast_if_small(touched), "member_key").distinct())
     order = latest_per_key(translation, "trxn_id", [newest("ingest_date"), F.col("exp_order_id")]).select("trxn_id", "exp_order_id")
-    out = (heads.join(touched, "member_key").join(broadcast_if_small(stores.select("store_key", "store_id")), "store_key", "left")
+    out = (heads.join(broadcast_if_small(stores.select("store_key", "store_id")), "store_key", "left")
            .join(order, "trxn_id", "left")
            .select("member_key", "trxn_date", "store_id", "trxn_nbr", "exp_order_id", "register_nbr", "last_updated_date").distinct())
     return change_flag(out, business_date, run_date, "last_updated_date")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from patronage.operators import staging
+from patronage.plans import edw
 
 
 def plan(df) -> str:
@@ -18,3 +21,18 @@ def test_tables_out_of_large_ones_are_written_where_their_rows_lie(spark, tmp_pa
     assert staging.stage_table(source.selectExpr("id + 1 as id"), "large-source", [source]).count() == 1000
     assert staging.stage_table(source, "unknown-source").count() == 1000
     assert ["Rebalance" in p for p in plans] == [True, False, True]
+
+
+def test_dedup_transactions_drop_other_members_before_the_distinct(spark):
+    day = dt.date(2001, 5, 1)
+    lines = spark.createDataFrame([(1, 10, day, 5, "r", "n"), (1, 10, day, 5, "r", "n"), (2, 11, day, 5, "r", "n"), (None, 12, day, 5, "r", "n")],
+                                  "member_key bigint, trxn_id bigint, trxn_date date, store_key bigint, register_nbr string, trxn_nbr string")
+    history = spark.createDataFrame([(7, 1, False, day), (8, 1, False, day), (9, 2, True, day)],
+                                    "old_member_key bigint, new_member_key bigint, is_invalid boolean, last_updated_date date")
+    stores = spark.createDataFrame([(5, 105)], "store_key bigint, store_id bigint")
+    orders = spark.createDataFrame([(10, "X10", day)], "trxn_id bigint, exp_order_id string, ingest_date date")
+    out = edw.dedup_transactions(lines, history, stores, orders, "2001-03-01", "2001-08-01")
+    assert [(r.member_key, r.store_id, r.exp_order_id) for r in out.collect()] == [(1, 105, "X10")]
+    # the plan is printed from the top: both distincts stand above the join to the changed members
+    text = plan(out)
+    assert text.count("Aggregate [") == 2 and text.rindex("Aggregate [") < text.index("Join Inner")
