@@ -11,7 +11,7 @@ from ..functions.text import is_not_empty
 from ..operators.columns import key_defaults
 from ..operators.joins import update_keys
 from ..operators.nearest import nearest_stores
-from ..operators.ranking import keep_best_ties, largest, latest_per_key, mark_best, newest, with_key_aggregates, yes_first
+from ..operators.ranking import largest, latest_per_key, mark_best, newest, with_key_aggregates, yes_first
 from ..operators.rewrite import read_by_key, rewrite_keys
 from ..operators.sizing import broadcast_if_small
 from ..operators.skew import left_join_known
@@ -389,10 +389,10 @@ def email_activity(emails: DataFrame, deliveries: DataFrame, clicks: DataFrame,
 
 
 def last_purchase(lines: DataFrame, time: str, amount: str) -> DataFrame:
-    """Spend at the newest purchase moment of each member."""
-    at = lines.filter(F.col("member_key") != UNKNOWN_KEY)
-    newest_rows = keep_best_ties(at, ["member_key"], F.struct(-F.unix_date("trxn_date"), -F.col(time)))
-    return newest_rows.groupBy("member_key", "trxn_date", time).agg(F.sum(amount).alias("last_spend"))
+    """Spend at the newest purchase moment of each member; a purchase without a date comes first.
+    The lines are read once and add up to moments before a member's moments are compared."""
+    moments = lines.filter(F.col("member_key") != UNKNOWN_KEY).groupBy("member_key", "trxn_date", time).agg(F.sum(amount).alias("last_spend"))
+    return latest_per_key(moments, "member_key", [-F.unix_date("trxn_date"), -F.col(time)])
 
 
 def email_best_member(emails: DataFrame, purchases: DataFrame, scoring: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from patronage.operators import staging
-from patronage.plans import edw
+from patronage.plans import edw, enrich as en
 
 
 def plan(df) -> str:
@@ -36,3 +36,14 @@ def test_dedup_transactions_drop_other_members_before_the_distinct(spark):
     # the plan is printed from the top: both distincts stand above the join to the changed members
     text = plan(out)
     assert text.count("Aggregate [") == 2 and text.rindex("Aggregate [") < text.index("Join Inner")
+
+
+def test_last_purchase_reads_the_lines_once(spark):
+    d = dt.date
+    lines = spark.createDataFrame([
+        (1, d(2001, 1, 1), 5, 1.0), (1, d(2001, 1, 2), 5, 2.0), (1, d(2001, 1, 2), 7, 4.0), (1, d(2001, 1, 2), 7, 8.0),
+        (2, None, 3, 1.0), (2, d(2001, 1, 2), 9, 2.0), (3, d(2001, 1, 1), None, 1.0), (3, d(2001, 1, 1), 2, 2.0),
+        (-1, d(2001, 1, 1), 1, 9.0), (None, d(2001, 1, 1), 1, 9.0)], "member_key bigint, trxn_date date, at int, amount double")
+    out = en.last_purchase(lines, "at", "amount")
+    assert sorted(map(tuple, out.collect())) == [(1, d(2001, 1, 2), 7, 12.0), (2, None, 3, 1.0), (3, d(2001, 1, 1), None, 1.0)]
+    assert plan(out).count("LogicalRDD") == 1
