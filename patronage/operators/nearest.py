@@ -64,8 +64,12 @@ def nearest_stores(members: DataFrame, stores: DataFrame, member_key="member_key
     members without coordinates get nulls, ties go to the smaller store key."""
     homes, around = candidates(members, stores, member_key, store_key, lat, lon)
     # ranked by the straight line, which grows with the distance and needs no trigonometry
-    line = sum(((F.col(f"_{c}") - F.col(f"_s{c}")) * (F.col(f"_{c}") - F.col(f"_s{c}")) for c in "xyz"), F.lit(0.0))
-    pairs = homes.join(broadcast_if_small(around), CUBE).select("_m", "_mlat", "_mlon", "_s", "_slat", "_slon", line.alias("_d"))
+    line = lambda s: sum(((F.col(f"_{c}") - s[f"_s{c}"]) * (F.col(f"_{c}") - s[f"_s{c}"]) for c in "xyz"), F.lit(0.0))
+    # a member meets the stores of its cube as one list and hands on two of them: pairs with all
+    # of them, up to MOST for a member, are never rows that have to be sorted
+    ranked = F.sort_array(F.transform("_list", lambda s: F.struct(line(s).alias("_d"), s["_s"], s["_slat"], s["_slon"])))
+    two = homes.join(broadcast_if_small(_lists(around)), CUBE).select("_m", "_mlat", "_mlon", F.slice(ranked, 1, 2).alias("_two"))
+    pairs = two.select("_m", "_mlat", "_mlon", F.inline("_two"))
     top = latest_per_key(pairs, "_m", [F.col("_d"), F.col("_s")], n=2, rank_col="_r")
     miles = haversine_miles(F.col("_mlat"), F.col("_mlon"), F.col("_slat"), F.col("_slon"))
     place = lambda i, c: F.max(F.when(F.col("_r") == i, c))
@@ -109,6 +113,14 @@ def candidates(members: DataFrame, stores: DataFrame, member_key="member_key", s
 
 
 STORE = ["_s", "_slat", "_slon", "_sx", "_sy", "_sz"]
+PARTS = 64       # lists of a cube that is too small to be cut
+
+
+def _lists(around: DataFrame) -> DataFrame:
+    """The stores of each cube in one list of at most MOST. Cubes of the finest side are not cut;
+    their stores are dealt over several lists."""
+    part = F.when(F.col("side") > FINEST, F.lit(0)).otherwise(F.pmod(F.xxhash64(*STORE), F.lit(PARTS)).cast("int"))
+    return stage(around.groupBy(*CUBE, part.alias("_part")).agg(F.collect_list(F.struct(*STORE)).alias("_list")).drop("_part"))
 
 
 def _uncrowded(homes: DataFrame, around: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -209,7 +209,7 @@ def enrich_preferred_store(w):
        "distance_to_sec_closest_store double", """
   select member_key, pd as distance_to_preferred_store, k1 as closest_store_key, k2 as second_closest_store_key, d1 as distance_to_closest_store, d2 as distance_to_sec_closest_store from o_dist""")
 def enrich_store_distance(w):
-    return en.store_distance(en.preferred_store(w.enr, lines(w), w.store), w.store)
+    return en.store_distance(en.preferred_store(w.enr, lines(w), w.store), w.store, w.enr)
 
 
 WEB_STORES = [10, 20, 30]
@@ -221,7 +221,7 @@ STATES = """case when pref in (10, 20, 30) and pd = -1 then 'E-COMMERCE' when pr
 
 @query("enrich_store_state", "member_key bigint, preferred_store_state string, closest_store_state string, second_closest_store_state string", f"select member_key, {STATES} from o_dist")
 def enrich_store_state(w):
-    return en.store_states(en.store_distance(en.preferred_store(w.enr, lines(w), w.store), w.store), WEB_STORES)
+    return en.store_states(en.store_distance(en.preferred_store(w.enr, lines(w), w.store), w.store, w.enr), WEB_STORES)
 
 
 def _hhm(w):
