@@ -56,6 +56,16 @@ union all select constant_id + 500 as constant_id, constant_type, constant_value
 for _n in ("w_exp_member", "w_exp_trans", "w_exp_order", "w_exp_cards", "w_visits", "w_mailids", "w_snap", "w_dedup_hist", "w_exp_const"):
     INLINE.add(_n)
 
+# of w_trxn: what the extracts read of each line, and what the summary adds up
+HEAD = ["trxn_id", "member_key", "store_key", "trxn_date"]
+LINE = [*HEAD, "trxn_seq_nbr", "gift_card_sales_ind"]
+SUMMED = ["product_key", "units", "total_line_amnt_after_discount"]
+
+
+def _translation(w):
+    return w.view("w_exp_trans", w_trxn_head=w.view("w_trxn_head"))
+
+
 FLAG = f"case when last_updated_date <= date '{BUSINESS}' then 'NC' when {{added}} = last_updated_date then 'A' else 'C' end as cc_flag"
 
 
@@ -130,7 +140,11 @@ INLINE.add("w_exp_line")
 
 @query("edw_transaction_detail", "trxn_id bigint, store_id string, exp_order_id string, invoicenumber string, gift string, cc_flag string, ingest_date date", TRX_SQL.format(gift="gift_card_sales_ind", rows="w_exp_line"))
 def edw_transaction_detail(w):
-    return edw.transactions(w.exp_line, w.exp_trans, w.exp_order, w.store, BUSINESS, RUN, "gift_card_sales_ind").withColumnRenamed("gift_card_sales_ind", "gift")
+    lines = w.narrow("w_trxn", LINE)
+    # an order's reference holds none of the sums
+    sums = w.view("w_exp_sum", w_trxn=lines.withColumns({c: F.lit(None).cast("int") for c in SUMMED}))
+    orders = w.view("w_exp_order", w_exp_sum=sums)
+    return edw.transactions(w.view("w_exp_line", w_trxn=lines), _translation(w), orders, w.store, BUSINESS, RUN, "gift_card_sales_ind").withColumnRenamed("gift_card_sales_ind", "gift")
 
 
 @query("edw_transaction_summary", "trxn_id bigint, store_id string, exp_order_id string, invoicenumber string, gift string, cc_flag string, ingest_date date", TRX_SQL.format(gift="gift_card_sales_only_ind", rows="w_exp_sum"))
