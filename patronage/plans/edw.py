@@ -55,6 +55,11 @@ def _visits(rows: DataFrame, place: str, names: list[str]) -> DataFrame:
     """The places of a member's first and second row by (visits of the place, date): row-wise,
     so both may be the same place, as in the reference."""
     rows, key = rows.select("member_key", "trxn_id", "trxn_date", place), ["member_key", place]
+    if len(names) == 1:  # no row but the newest of a place can be the first: two aggregates find it
+        newest_row = F.min(F.struct(newest("trxn_date").alias("day"), "trxn_id"))
+        places = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), newest_row.alias("_last"))
+        first = F.min(F.struct(-F.col("_n"), F.col("_last.day"), F.col(place).isNull(), F.col(place).alias("place"), F.col("_last.trxn_id")))
+        return places.groupBy("member_key").agg(first.alias("_first")).select("member_key", F.col("_first.place").alias(names[0]))
     # a place can bring no more than its newest rows: all others are only counted
     last = latest_per_key(rows, key, [F.col("trxn_date").desc(), F.col("trxn_id")], n=len(names))
     counted = join_back(last, rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key)

@@ -122,7 +122,7 @@ _PREF = "case when {m} = 0 and {w} > 0 then 'WO' when {w} = 0 and {m} > 0 then '
   left join (select * from o_xzone where r = 1) z on z.member_key = m.member_key left join w_store s on cast(s.store_id as varchar) = f.p
   left join o_browse b on b.member_key = m.member_key left join w_snap n on n.member_key = m.member_key where m.record_type <> 'PROSPECT' or m.record_type is null""", headline=True)
 def edw_customer(w):
-    return edw.customer(w.exp_member, w.exp_sum, w.exp_trans, w.store, w.exp_cards, w.visits, w.mailids, w.snap, BUSINESS, RUN, DAY)
+    return edw.customer(w.exp_member, w.view("w_exp_sum", w_trxn=w.narrow("w_trxn", [*HEAD, *SUMMED])), _translation(w), w.store, w.exp_cards, w.visits, w.mailids, w.snap, BUSINESS, RUN, DAY)
 
 
 TRX_SQL = """

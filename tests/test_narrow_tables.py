@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from patronage import warehouse
+from patronage.plans import edw
 from patronage.queries import REGISTRY
 from patronage.warehouse import Warehouse
 
@@ -63,3 +66,17 @@ def test_lines_are_written_with_the_columns_of_the_job(shop, name, lines):
     again = REGISTRY[name].build(w).select(*[c for c, _ in REGISTRY[name].schema]).collect()
     assert got and sorted(map(str, got)) == sorted(map(str, again))
     assert not any(n.startswith("w_trxn") for n, _, _ in written[before:])
+
+
+def test_preferred_place_is_found_without_a_window(spark):
+    d = dt.date
+    rows = spark.createDataFrame([
+        (1, 10, d(2001, 1, 1), "a"), (1, 11, d(2001, 1, 2), "b"), (1, 12, d(2001, 1, 1), "a"),  # more visits win over a later one
+        (2, 10, d(2001, 1, 1), "a"), (2, 11, d(2001, 1, 2), "b"),  # the later one
+        (3, 11, d(2001, 1, 1), "b"), (3, 10, d(2001, 1, 1), "c"), (3, 12, d(2001, 1, 1), None),  # place, nulls last
+        (4, 10, None, "a"), (4, 11, d(1999, 1, 1), "b"),  # no date comes last
+        (5, 10, d(2001, 1, 1), None), (None, 10, d(2001, 1, 1), "n")], "member_key bigint, trxn_id bigint, trxn_date date, place string")
+    out = edw._visits(rows, "place", ["first"])
+    assert {r.member_key: r.first for r in out.collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: None, None: "n"}
+    assert {r.member_key: r.first for r in edw._visits(rows, "place", ["first", "second"]).collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: None, None: "n"}
+    assert "Window" not in plan(out)
