@@ -80,3 +80,17 @@ def test_preferred_place_is_found_without_a_window(spark):
     assert {r.member_key: r.first for r in out.collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: None, None: "n"}
     assert {r.member_key: r.first for r in edw._visits(rows, "place", ["first", "second"]).collect()} == {1: "a", 2: "b", 3: "b", 4: "b", 5: None, None: "n"}
     assert "Window" not in plan(out)
+
+
+def test_customers_are_dealt_before_their_columns_are_computed(shop, monkeypatch):
+    w, written = shop
+    monkeypatch.setattr(warehouse, "TASK_BYTES", 500)
+    rows = REGISTRY["golden_eligible"].build(w).collect()
+    plans = {n: p for n, _, p in written}
+    assert "w_dup_member" not in plans and rows
+    for name in ("w_member", "w_dup_card", "w_dup_email", "w_dup_phone"):
+        assert "Rebalance" not in plans[name] and "Repartition" in plans[name]
+    assert plans["w_member"].index("Project") < plans["w_member"].index("Repartition")
+    small = Warehouse(w.spark, w.folder)
+    monkeypatch.setattr(warehouse, "TASK_BYTES", 1 << 20)
+    assert sorted(map(str, REGISTRY["golden_eligible"].build(small).collect())) == sorted(map(str, rows))
