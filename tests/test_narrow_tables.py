@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from patronage import warehouse
-from patronage.plans import edw
+from patronage.plans import dedup as dd, edw
 from patronage.queries import REGISTRY
 from patronage.warehouse import Warehouse
 
@@ -54,6 +54,7 @@ def split(columns: str) -> list[str]:
     return out
 
 
+@pytest.mark.parametrize("name,lines", [("trxn_unify", 4), ("edw_transaction_detail", 6), ("edw_customer", 7)])
 def test_lines_are_written_with_the_columns_of_the_job(shop, name, lines):
     w, written = shop
     got = REGISTRY[name].build(w).select(*[c for c, _ in REGISTRY[name].schema]).collect()
@@ -94,3 +95,13 @@ def test_customers_are_dealt_before_their_columns_are_computed(shop, monkeypatch
     small = Warehouse(w.spark, w.folder)
     monkeypatch.setattr(warehouse, "TASK_BYTES", 1 << 20)
     assert sorted(map(str, REGISTRY["golden_eligible"].build(small).collect())) == sorted(map(str, rows))
+
+
+def test_rekeying_joins_the_members_to_their_contacts_once(shop, monkeypatch):
+    w, written = shop
+    calls, inputs, values = [], dd.dedup_inputs, dd.contact_values
+    monkeypatch.setattr(dd, "dedup_inputs", lambda *a: calls.append("inputs") or inputs(*a))
+    monkeypatch.setattr(dd, "contact_values", lambda *a: calls.append("contacts") or values(*a))
+    out = REGISTRY["rekey_fact"].build(w)
+    assert out.count() == 50 and sorted(calls) == ["contacts", "inputs"]
+    assert "w_tender_history" not in [n for n, _, _ in written]
