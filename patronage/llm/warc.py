@@ -134,12 +134,10 @@ def parse(pieces: Iterator[bytes]) -> Iterator[Record]:
         return True
 
     while True:
-        while held[:2] == b"\r\n":
+        while fill(2) and held[:2] == b"\r\n":  # a piece may begin anywhere in the end of a record
             del held[:2]
-        if not fill(1):
+        if not held:
             return
-        if held[:1] in b"\r\n" and len(held) < 2 and fill(2):
-            continue
         at = 0
         while (end := held.find(b"\r\n\r\n", at)) < 0:
             at = max(0, len(held) - 3)

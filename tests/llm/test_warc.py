@@ -85,6 +85,26 @@ def test_streams(size, monkeypatch):
         assert [r.body for r in warc.parse(warc.inflated(io.BytesIO(data)))] == [b"\r\n\r\n", b""]
 
 
+def test_pieces_begin_anywhere():
+    """A piece that begins with the line ends between two records once was taken for a header."""
+    record = lambda body: b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+    bodies = [b"one", b"", b"\r\n\r\n", b"two\r\n"]
+    plain = b"".join(map(record, bodies))
+    for i in range(len(plain) + 1):
+        for j in range(i, len(plain) + 1):
+            assert [r.body for r in warc.parse(iter([plain[:i], plain[i:j], plain[j:]]))] == bodies
+    assert list(warc.parse(iter([]))) == list(warc.parse(iter([b"\r\n", b"\r\n"]))) == []
+
+
+@pytest.mark.parametrize("size", [2, 3, 5, 11, 64])
+def test_round_trip_in_small_pieces(spark, monkeypatch, size):
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    pages = [(i, "u", "x" * (i % 23), "r", 1) for i in range(200)]
+    _, index = archive(spark, pages)
+    got = sorted((int(r.record_id), r.body.decode()) for r in warc.read_records(index).collect())
+    assert got == [(i, t) for i, _, t, *_ in pages]
+
+
 def test_broken():
     for plain in (b"WARC/1.0\r\nContent-Length: 9\r\n\r\nshort", b"HTTP/1.1 200\r\n\r\n", b"WARC/1.0\r\nContent"):
         with pytest.raises(ValueError):
