@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.plans import feeds as fd, matching as mt
+from patronage.queries import REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -135,3 +136,52 @@ def test_statement_feed_keeps_the_largest_key(spark, lk):
     assert sorted({r.etl_unique_id for r in rows.collect()}) == ["s1", "s2", "u3"]
     got = {r.etl_unique_id: (r.match_key, r.member_key) for r in fd.card_statement(primary, users, lk, info, None).collect()}
     assert got["s1"] == (12, 2) and got["u3"] == (12, 1) and got["s2"][0] == 92
+
+
+# ---------------------------------------------------------------- kill lists
+
+def test_kill_lists(spark):
+    frame = lambda *keys: spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "transaction_id string, nr int")
+    customers, lines = mt.kill_lists(frame("a", "b", "c", "d", None, "d"), [frame("a", "a", None), frame("b")], [frame("a", "x", "x", None), frame("b", "y"), frame("c", "z")])
+    assert sorted(r.nr for r in customers.collect()) == [2, 3, 4, 5]  # an admin line alone (c) makes no transaction
+    assert [sorted(r.nr for r in d.collect()) for d in lines] == [[1, 2, 3], [1], [1]]
+
+
+def test_kill_list_texts_keep_their_width(spark):
+    rows = spark.createDataFrame([(n, 12, "é", 7, 99, "L" * 30) for n in mt.LINE_LAYOUTS], "line_type string, store_id long, record_type string, sku int, employee_id int, filler_footer string")
+    got = {r.line_type: r.line for r in rows.select("line_type", mt.line_text(rows).alias("line")).collect()}
+    assert set(got) == {"sale", "non_merchandise", "discount", "admin", "tender"} and {len(x) for x in got.values()} == {182}
+    assert all(x.startswith("é 000000012000") and x.endswith("00000000L") for x in got.values())
+    assert got["sale"][57:77] == "7".rjust(20) and got["admin"][63:70] == "0000099"
+    one = spark.createDataFrame([("x@y", None, 5, "C" * 40)], "email_address string, city string, transaction_nbr int, customer_number string")
+    text = one.select(mt.customer_text(one).alias("t")).first().t
+    assert len(text) == 647 and text[45:55] == "0000000005" and text[76:116] == "x@y".rjust(40) and "C" * 21 in text and "C" * 22 not in text
+
+
+def as_text(layout, **values):
+    return "".join(str(values.pop(c, "")).rjust(n, pad)[:n] for c, n, pad in layout) if values.keys() <= {c for c, _, _ in layout} else None
+
+
+def test_kill_list_query_gives_the_lines_of_all_types(spark, tmp_path):
+    """Orders 5 and 100010 have customer records of another number; order 3 has a tender, but no item; item 9 has no order."""
+    day = dt.datetime(2001, 5, 2)
+    orders = [(n, 40 + n, "O", 1234.0, day, "2-HIGH") for n in (1, 3, 5, 100010)]
+    item = lambda order, number: (order, 8, 3, number, 2.0, 5000.0, 0.1, 0.0, "R" if number == 1 else "N", "F", day)
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([item(1, 1), item(1, 5), item(5, 1), item(5, 2), item(5, 5), item(5, None), item(9, 1)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    at = mt.LINE_LAYOUTS
+    five, far = {"transaction_number": 5, "transaction_date_iso": "20010502"}, {"register_id": 1, "transaction_number": 10, "transaction_date_iso": "20010502"}
+    line = five | {"store_id": 4, "transaction_time": 500, "item_number": 8}
+    other = line | {"non_merchandise_number": 9, "non_merchandise_quantity": 2, "non_merchandise_amount": 5000}
+    lines = [as_text(at["sale"], **line, transaction_sequence_number=1, sku=9, retail_quantity=2, retail_amount_sign="-", retail_amount=5000, retail_sales_discount_amount=500),
+             as_text(at["non_merchandise"], **other, transaction_sequence_number=2), as_text(at["non_merchandise"], **other),
+             as_text(at["discount"], **line, transaction_sequence_number=5, discount_amount=500, ring_code="0500"),
+             as_text(at["admin"], **five, employee_id=45), as_text(at["admin"], **far, employee_id=100050),
+             as_text(at["tender"], **five, tender_type=2, tender_amount=1234, tender_number=51000045),
+             as_text(at["tender"], **far, tender_type=2, tender_amount=1234, tender_number=51100049)]
+    customers = [as_text(mt.CUSTOMER_LAYOUT, transaction_date="20010502", transaction_register=9000, transaction_nbr=5, customer_number="C45"),
+                 as_text(mt.CUSTOMER_LAYOUT, transaction_date="20010502", transaction_register=9001, transaction_nbr=10, customer_number="C100050")]
+    got = REGISTRY["kill_list"].run(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted([("line", x, 8) for x in lines] + [("customer", x, 2) for x in customers])
